@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+from . import decontaminate, mixing
+from .decontaminate import op10_contained_items
 from .jaccard_join import op3_jaccard_components
+from .language import op5_language_id
+from .mixing import op8_mix_sources
+from .quality import op9_quality_discriminant
 
 QUERIES = {
     "op3_jaccard_components": op3_jaccard_components,
+    "op5_language_id": op5_language_id,
+    "op8_mix_sources": op8_mix_sources,
+    "op9_quality_discriminant": op9_quality_discriminant,
+    "op10_contained_items": op10_contained_items,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op8_mix_sources": mixing.ORACLE_SQL,
+    "op10_contained_items": decontaminate.ORACLE_SQL,
+}
