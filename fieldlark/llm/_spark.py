@@ -43,8 +43,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def hot_join(left: DataFrame, right: DataFrame, on: list[str] | str, how: str = "inner") -> DataFrame:
-    """Join whose left side may hold a third of its rows under one key; `right` has one row for each key."""
-    return spread(left).join(spread(right), on, how)
+    """Join whose left side may hold a third of its rows under one key; `right` has one row for each key.
+
+    The right side mostly comes from an aggregation over the same key, whose partitioning a join would reuse; dealt out
+    anew, both sides are shuffled for the join, and AQE can split the hot key. A left side that already has the key's
+    partitioning needs `spread` too.
+    """
+    return left.join(spread(right), on, how)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

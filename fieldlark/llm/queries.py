@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing
+from . import decontaminate, knn, mixing, warc
 from .decontaminate import op10_contained_items
 from .jaccard_join import op3_jaccard_components
+from .knn import op4_voronoi_knn
 from .language import op5_language_id
 from .mixing import op8_mix_sources
 from .quality import op9_quality_discriminant
+from .warc import op1_warc_transactions
 
 QUERIES = {
+    "op1_warc_transactions": op1_warc_transactions,
     "op3_jaccard_components": op3_jaccard_components,
+    "op4_voronoi_knn": op4_voronoi_knn,
     "op5_language_id": op5_language_id,
     "op8_mix_sources": op8_mix_sources,
     "op9_quality_discriminant": op9_quality_discriminant,
@@ -18,6 +22,8 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_warc_transactions": warc.ORACLE_SQL,
+    "op4_voronoi_knn": knn.ORACLE_SQL,
     "op8_mix_sources": mixing.ORACLE_SQL,
     "op10_contained_items": decontaminate.ORACLE_SQL,
 }
