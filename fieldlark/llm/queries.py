@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import decontaminate, knn, mixing, warc
 from .decontaminate import op10_contained_items
+from .extract import op2_main_text
 from .jaccard_join import op3_jaccard_components
 from .knn import op4_voronoi_knn
 from .language import op5_language_id
@@ -13,6 +14,7 @@ from .warc import op1_warc_transactions
 
 QUERIES = {
     "op1_warc_transactions": op1_warc_transactions,
+    "op2_main_text": op2_main_text,
     "op3_jaccard_components": op3_jaccard_components,
     "op4_voronoi_knn": op4_voronoi_knn,
     "op5_language_id": op5_language_id,
