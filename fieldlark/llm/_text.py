@@ -9,7 +9,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: Bytes of text that are hashed at once; one longer text is a chunk of its own.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _BASE = U(0x9E3779B97F4A7C15)
 _seeds = np.random.RandomState(20240229)
 _VALUE = _seeds.randint(0, 2**63, 256, dtype=np.int64).astype(U) * U(2) + U(1)
