@@ -108,30 +108,42 @@ def predict(documents: DataFrame, names: list[str], matrix: np.ndarray, id_col:
     model = documents.sparkSession.sparkContext.broadcast(matrix)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pa.array([*names, "und"])
         for batch in batches:
-            best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
-            for _, bucket, first, letters in grams(batch.column(1)):
-                n = np.diff(first)
-                log = np.zeros((len(n), len(names)))
-                if names and len(bucket):
-                    some = np.flatnonzero(n)
-                    log[some] = np.add.reduceat(model.value[bucket], first[some], axis=0, dtype=np.float64)
-                # a document's evidence counts as EVIDENCE n-grams at most: neighbours overlap and aren't independent
-                log *= np.minimum(1, EVIDENCE / np.maximum(n, 1))[:, None]
-                if names:
-                    p = np.exp(log - log.max(1, keepdims=True))
-                    b, s = p.argmax(1), p.max(1) / p.sum(1)
-                    b, s = np.where(letters > 0, b, len(names)), np.where(letters > 0, s, 0.0)
-                else:
-                    b, s = np.zeros(len(n), np.int64), np.zeros(len(n))
-                best.append(b)
-                score.append(s)
-            yield pa.RecordBatch.from_arrays([batch.column(0), known.take(pa.array(np.concatenate(best))), pa.array(np.concatenate(score))], names=["doc_id", "lang_pred", "score"])
+            lang, score = classified(batch.column(1), names, model.value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), lang, score], names=["doc_id", "lang_pred", "score"])
 
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def classified(column: pa.Array, names: list[str], matrix: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """The best language of each text, `und` without letters, and its posterior."""
+    best, score = [np.zeros(0, np.int64)], [np.zeros(0)]
+    for _, bucket, first, letters in grams(column):
+        n = np.diff(first)
+        b, s = np.full(len(n), len(names)), np.zeros(len(n))
+        some = np.flatnonzero((n > 0) & (letters > 0))
+        if names and len(some):
+            log = np.add.reduceat(matrix[bucket], first[:-1][n > 0], axis=0, dtype=np.float64)[letters[n > 0] > 0]
+            # a document's evidence counts as EVIDENCE n-grams at most: neighbours overlap and aren't independent
+            log *= np.minimum(1, EVIDENCE / n[some])[:, None]
+            p = np.exp(log - log.max(1, keepdims=True))
+            b[some], s[some] = p.argmax(1), p.max(1) / p.sum(1)
+        best.append(b)
+        score.append(s)
+    return pa.array([*names, "und"]).take(pa.array(np.concatenate(best))), pa.array(np.concatenate(score))
+
+
+def identified(documents: DataFrame, names: list[str], matrix: np.ndarray, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose language is identified with a score of at least `least`."""
+    model = documents.sparkSession.sparkContext.broadcast(matrix)
+
+    @F.arrow_udf("double")
+    def certainty(text: pa.Array) -> pa.Array:
+        return classified(text, names, model.value)[1]  # 0 for `und`
+
+    return documents.where(certainty(F.col(text_col).cast("string")) >= least)
+
+
 def op5_language_id(spark, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document; learnt from the documents that are not held out."""
     docs = table(spark, sf_dir, "documents")

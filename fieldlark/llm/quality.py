@@ -164,6 +164,16 @@ def scored(statistics: DataFrame, model: Discriminant) -> DataFrame:
     return statistics.select("doc_id", "x").mapInArrow(run, "doc_id long, score double")
 
 
+def accepted(documents: DataFrame, model: Discriminant, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text scores at least `threshold`."""
+
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        return pa.array(model.score(statistics(text)))
+
+    return documents.where(score(F.col(text_col).cast("string")) >= threshold)
+
+
 def held_out(n: int, remainder: int, column: str = "doc_id"):
     """crc32 of the id as text modulo n; a null id is never held out, nor trained on."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n == remainder, F.lit(False))

@@ -8,8 +8,10 @@ from .extract import op2_main_text
 from .jaccard_join import op3_jaccard_components
 from .knn import op4_voronoi_knn
 from .language import op5_language_id
+from .licenses import op6_license_scan
 from .mixing import op8_mix_sources
 from .quality import op9_quality_discriminant
+from .toxicity import op7_toxicity_svm
 from .warc import op1_warc_transactions
 
 QUERIES = {
@@ -18,6 +20,8 @@ QUERIES = {
     "op3_jaccard_components": op3_jaccard_components,
     "op4_voronoi_knn": op4_voronoi_knn,
     "op5_language_id": op5_language_id,
+    "op6_license_scan": op6_license_scan,
+    "op7_toxicity_svm": op7_toxicity_svm,
     "op8_mix_sources": op8_mix_sources,
     "op9_quality_discriminant": op9_quality_discriminant,
     "op10_contained_items": op10_contained_items,
