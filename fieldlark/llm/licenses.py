@@ -1,6 +1,7 @@
 """Licence scan: a trained paragraph classifier, in DataFrame and SQL functions only.
 
-Sparse features are word n-grams (1 to 3 words) of the templates that negative paragraphs hardly ever have. A multinomial
+Sparse features are word n-grams (1 to 3 words) of the templates that negative paragraphs hardly ever have
+and that hold a word which is such a feature itself. A multinomial
 logistic regression (spark.ml) learns the family of windows cut from the templates against the class `unknown`, paragraphs
 of a bounded sample of documents. The unknown class is calibrated: its logit is shifted so that on windows and paragraphs
 left out of the fit the log loss is least. A paragraph's family counts when it beats unknown, and is confirmed when its
@@ -152,7 +153,9 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     common = negative.select(F.explode(ngrams(F.col("w"))).alias("gram")).groupBy("gram").count()
     share = negative.count() * 0.002
     features = known.select(F.explode(ngrams(F.col("w"))).alias("gram")).distinct().join(common, "gram", "left").where(F.coalesce("count", F.lit(0)) <= share)
-    vocabulary = [r["gram"] for r in features.select("gram").orderBy("gram").limit(FEATURES).collect()]
+    found = [r["gram"] for r in features.select("gram").orderBy("gram").limit(FEATURES).collect()]
+    single = {g for g in found if " " not in g}
+    vocabulary = [g for g in found if single & set(g.split(" "))]
     classes = [*TEMPLATES, UNKNOWN]
     number = F.create_map(*(F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))))
     rows = positive.unionAll(negative).select(number[F.col("family")].alias("label"), ngrams(F.col("w")).alias("grams"), F.pmod(F.xxhash64(F.array_join("w", " ")), F.lit(5)).alias("fold"))
@@ -162,11 +165,10 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def scan(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, paragraph, family, probability, similarity, confirmed: every paragraph that a family wins."""
     spark = documents.sparkSession
-    single = {g for g in model.vocabulary if " " not in g}
-    heads = sorted(single | {g.split(" ")[0] for g in model.vocabulary if not single & set(g.split(" "))})
+    heads = [g for g in model.vocabulary if " " not in g]  # every feature holds one of them
     weights = spark.createDataFrame(list(zip(model.vocabulary, model.weights, strict=True)), "gram string, weights array<double>")
     some = paragraphs(documents, id_col, text_col).where(F.arrays_overlap("w", F.array(*map(F.lit, heads))))
-    some = some.withColumn("grams", ngrams(F.col("w")))
+    some = stored(some.withColumn("grams", ngrams(F.col("w"))))  # few: paragraphs with a feature word
     found = some.select("row", "doc_id", "paragraph", F.explode("grams").alias("gram")).join(F.broadcast(weights), "gram")
     classes = range(len(model.classes))
     logits = found.groupBy("row", "doc_id", "paragraph").agg(*(F.sum(F.col("weights")[i]).alias(f"l{i}") for i in classes))
