@@ -67,10 +67,11 @@ def feature_matrix(long: DataFrame, parcels: DataFrame, max_null_share: float =
     names = features if features is not None else [r["feature"] for r in long.select("feature").distinct().orderBy("feature").collect()]
     if not names:
         raise ValueError("no slice has enough data")
-    wide = parcels.select(id_col).distinct().join(long.groupBy(id_col).pivot("feature", names).agg(F.first("value")), id_col, "left")
-    nulls = F.size(F.filter(F.array(*(F.col(f"`{c}`") for c in names)), lambda x: x.isNull()))
-    most = int(max_null_share * len(names))
-    return wide.where(nulls <= most).na.fill(fill, names), wide.where(nulls > most)
+    # nulls are counted on the rows: a predicate over all pivoted columns would multiply in the optimizer
+    filled = long.where(F.col("feature").isin(names)).groupBy(id_col).agg(F.count("value").alias("_filled"))
+    wide = parcels.select(id_col).distinct().join(long.groupBy(id_col).pivot("feature", names).agg(F.first("value")), id_col, "left").join(filled, id_col, "left")
+    enough = F.coalesce(F.col("_filled"), F.lit(0)) >= len(names) - int(max_null_share * len(names))
+    return wide.where(enough).drop("_filled").na.fill(fill, names), wide.where(~enough).drop("_filled")
 
 
 def out_of_range(matrix: DataFrame, names: list[str], low: float = 0.0, high: float = 1.0) -> DataFrame:

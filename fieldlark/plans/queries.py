@@ -47,7 +47,7 @@ _Z = f"{_E}, z AS (SELECT uid, image_profile, start_date, end_incl, band, count(
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as observations: parcel = user, band = event type, slice = week."""
-    profile = F.coalesce(*(F.when(F.col("event_type") == k, v) for k, v in _PROFILE.items()))
+    profile = F.try_element_at(F.create_map(*(F.lit(x) for pair in _PROFILE.items() for x in pair)), F.col("event_type"))
     monday = D.monday_before(F.col("ts"))
     return table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("uid"), profile.alias("image_profile"), monday.alias("start_date"), F.date_add(monday, 6).alias("end_incl"), F.col("event_type").alias("band"), "value")
 
@@ -88,13 +88,13 @@ def period_counts(spark, sf_dir):
 WITH {_E}, c AS (SELECT uid, image_profile, start_date, end_incl, band, value, count(*) AS n FROM e WHERE value IS NOT NULL GROUP BY ALL),
 m AS (SELECT uid, image_profile, start_date, end_incl, band, arg_max(value, n * 1e9 - value) AS majority, arg_min(value, n * 1e9 + value) AS minority FROM c GROUP BY ALL),
 s AS (SELECT uid, image_profile, start_date, end_incl, band, count(value) AS count, round(sum(value), 4) AS sum, round(avg(value), 6) AS mean, round(median(value), 6) AS median, round(stddev_pop(value), 6) AS std,
-  min(value) AS min, max(value) AS max, round(max(value) - min(value), 6) AS range, round(var_pop(value), 4) AS variance FROM e GROUP BY ALL)
+  min(value) AS min, max(value) AS max, round(max(value) - min(value), 6) AS range FROM e GROUP BY ALL)
 SELECT * FROM s JOIN m USING (uid, image_profile, start_date, end_incl, band)
 """
 )
 def slice_stats(spark, sf_dir):
     out = FE.statistics(observations(spark, sf_dir), ["uid", *FE.KEYS])
-    return rounded(rounded(out, "mean", "median", "std", "range"), "sum", "variance", digits=4)
+    return rounded(rounded(out.drop("variance"), "mean", "median", "std", "range"), "sum", digits=4)
 
 
 @query(
