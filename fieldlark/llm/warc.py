@@ -33,17 +33,15 @@ _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _LAST = (1 << 63) - 1
 
 
-def base32_sha1(text: Column) -> Column:
-    """Upper-case base32 of the SHA-1 of a string or binary: 5 hexadecimal digits make 4 characters."""
-    digits = F.sha1(text)
+def base32(digits: Column) -> Column:
+    """Upper-case base32 of 40 hexadecimal digits: 5 of them make 4 characters."""
 
     def letter(i: Column) -> Column:
         five = F.conv(F.substr(digits, (5 * F.floor(i / 4) + 1).cast("int"), F.lit(5)), 16, 10).cast("int")
         value = F.call_function("shiftright", five, (15 - 5 * (i % 4)).cast("int")).bitwiseAND(F.lit(31))
         return F.substr(F.lit(_BASE32), value + 1, F.lit(1))
 
-    letters = F.transform(F.sequence(F.lit(0), F.lit(31)), letter)
-    return F.concat_ws("", letters)
+    return F.concat_ws("", F.transform(F.sequence(F.lit(0), F.lit(31)), letter))
 
 
 def _uuid(text: Column) -> Column:
@@ -57,11 +55,11 @@ def _record(kind: Column, fields: list[tuple[str, Column]], block: Column) -> Co
 
 
 def captures(pages: DataFrame, date: str, revisit_from: int = 0) -> DataFrame:
-    """page_id, url, payload, digest, refers_to (null for responses), capture (record id), original (record id)."""
+    """page_id, url, payload, digest (hexadecimal), date, kind, capture (record id), original (record id; null for responses)."""
     url = F.regexp_replace(F.coalesce(F.col("url").cast("string"), F.lit("")), "[\r\n]", " ")
     base = pages.select(
         F.col("page_id").cast("long").alias("page_id"), url.alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"), F.monotonically_increasing_id().alias("row")
-    ).withColumn("digest", base32_sha1(F.col("payload").cast("binary")))
+    ).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
     order = F.struct(F.coalesce("page_id", F.lit(_LAST)).alias("id"), "row")
     firsts = base.where(F.octet_length("payload") >= revisit_from).groupBy("digest").agg(F.min(order).alias("first"))
     joined = hot_join(base, firsts, "digest", "left")
@@ -87,7 +85,7 @@ def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
     own = lambda kind: _uuid(F.concat(F.lit(f"{kind}:"), F.col("capture")))
     records = F.array(
         _record(F.col("kind"), [
-            ("WARC-Record-ID", F.col("capture")), at, to, ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
+            ("WARC-Record-ID", F.col("capture")), at, to, ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.col("digest")))),
             ("WARC-Profile", F.when(F.col("kind") == "revisit", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
             ("WARC-Refers-To", F.col("original")), ("Content-Type", F.lit("application/http; msgtype=response")),
         ], answer),
