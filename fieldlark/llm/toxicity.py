@@ -57,14 +57,16 @@ def kernel(words: np.ndarray, z: np.ndarray) -> np.ndarray:
     inner[0] = 1
     total = np.zeros(n)
     for x in words.T:
-        same = [x == c for c in z]
+        same = [(x == c) * (lam * lam) for c in z]
         for j in range(m):
-            total += lam * lam * same[j] * inner[P - 1, j]
+            total += same[j] * inner[P - 1, j]
         for i in range(P - 1, 0, -1):
+            inner[i] *= lam
             run = np.zeros(n)
             for j in range(m):
-                run = lam * run + lam * lam * same[j] * inner[i - 1, j]
-                inner[i, j + 1] = lam * inner[i, j + 1] + run
+                run *= lam
+                run += same[j] * inner[i - 1, j]
+                inner[i, j + 1] += run
     return total
 
 
@@ -95,13 +97,16 @@ class Landmarks:
         self.pairs = _pairs(padded, 2).T if self.z else np.zeros((256, 0), np.float32)
 
     def values(self, words: np.ndarray) -> np.ndarray:
-        """Relative kernel values of zero-padded words; 0 where fewer than three character pairs are shared."""
+        """Relative kernel values of zero-padded words; 0 where fewer than four character pairs are shared (FAINT takes more)."""
         out = np.zeros((len(words), len(self.z)))
         shared = _pairs(words, 4) @ self.pairs
-        for j, z in enumerate(self.z):
-            near = np.flatnonzero(shared[:, j] >= 3)
-            if len(near):
-                out[near, j] = np.minimum(1, kernel(words[near], z) / self.own[j])
+        size = (words != 0).sum(1)
+        for low, high in ((0, 8), (8, 11), (11, 15), (15, WIDTH)):  # no longer than its words are
+            fits = (size > low) & (size <= high)
+            for j, z in enumerate(self.z):
+                near = np.flatnonzero(fits & (shared[:, j] >= 4))
+                if len(near):
+                    out[near, j] = np.minimum(1, kernel(words[near, :high], z) / self.own[j])
         return np.where(out < FAINT, 0, out**2)
 
 
