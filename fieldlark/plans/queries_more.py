@@ -149,13 +149,13 @@ def zonal_eroded(spark, sf_dir):
 
 @query()
 def zonal_half_pixels(spark, sf_dir):
-    """Counts in quarters of a pixel; tested against brute force."""
+    """Counts in quarters of a pixel; tested on polygons of known area."""
     return ZO.zonal_stats(grid(spark, sf_dir), polygons(spark, sf_dir), ["image_profile"], rule="centre_2x").select("uid", "count", "mean")
 
 
 @query()
 def zonal_coverage(spark, sf_dir):
-    """Pixels that are covered by half; tested against brute force."""
+    """Pixels that are covered by half; tested on polygons of known area."""
     return ZO.zonal_stats(grid(spark, sf_dir), polygons(spark, sf_dir), ["image_profile"], rule="coverage").select("uid", "count", "mean")
 
 
