@@ -70,16 +70,6 @@ def kernel(words: np.ndarray, z: np.ndarray) -> np.ndarray:
     return total
 
 
-def _pairs(words: np.ndarray, reach: int) -> np.ndarray:
-    """Which of 256 classes of ordered character pairs, at most `reach` apart, each row has."""
-    out = np.zeros((len(words), 257), np.float32)
-    row = np.arange(len(words))[:, None]
-    for d in range(1, reach + 1):
-        a, b = words[:, :-d].astype(np.int64), words[:, d:].astype(np.int64)
-        out[row, np.where((a > 0) & (b > 0), (a * 31 + b * 7) & 255, 256)] = 1
-    return out[:, :256]
-
-
 def _bytes(z: str) -> np.ndarray:
     return np.frombuffer(z.encode(), np.uint8)
 
@@ -91,20 +81,44 @@ class Landmarks:
     def __post_init__(self) -> None:
         self.z = [_bytes(s) for s in self.strings]
         self.own = np.array([kernel(z[None, :], z)[0] for z in self.z])
-        padded = np.zeros((len(self.z), WIDTH), np.uint8)
-        for i, z in enumerate(self.z):
-            padded[i, : len(z)] = z
-        self.pairs = _pairs(padded, 2).T if self.z else np.zeros((256, 0), np.float32)
+        # one bit for each of a landmark's bytes and one for the carry, several landmarks in an integer: (integer, bits) of each
+        self.bits, integer, at = [], 0, 0
+        for z in self.z:
+            if at + len(z) + 1 > 64:
+                integer, at = integer + 1, 0
+            self.bits.append((integer, ((1 << len(z)) - 1) << at))
+            at += len(z) + 1
+        self.match = np.zeros((integer + 1, 256), np.uint64)  # for each byte the bits of the places where it stands
+        for z, (i, mask) in zip(self.z, self.bits, strict=True):
+            for j, c in enumerate(z.tolist()):
+                self.match[i, c] |= np.uint64((mask & -mask) << j)
+
+    def common(self, words: np.ndarray) -> np.ndarray:
+        """Whether each row of zero-padded words has a common subsequence of P characters with each landmark: elsewhere the kernel is 0.
+
+        The length of the longest one, by bit-parallel steps over the words' characters for several landmarks at once.
+        """
+        out = np.zeros((len(words), len(self.z)), bool)
+        for i, match in enumerate(self.match):
+            here = [(j, np.uint64(mask)) for j, (k, mask) in enumerate(self.bits) if k == i]
+            fields = np.bitwise_or.reduce([mask for _, mask in here], initial=np.uint64(0))
+            v = np.full(len(words), fields)
+            for x in words.T:
+                u = v & match[x]
+                v = ((v + u) | (v ^ u)) & fields
+            for j, mask in here:
+                out[:, j] = np.bitwise_count(v & mask) + P <= len(self.z[j])
+        return out
 
     def values(self, words: np.ndarray) -> np.ndarray:
-        """Relative kernel values of zero-padded words; 0 where fewer than four character pairs are shared (FAINT takes more)."""
+        """Relative kernel values of zero-padded words, squared; 0 below FAINT."""
         out = np.zeros((len(words), len(self.z)))
-        shared = _pairs(words, 4) @ self.pairs
         size = (words != 0).sum(1)
         for low, high in ((0, 8), (8, 11), (11, 15), (15, WIDTH)):  # no longer than its words are
-            fits = (size > low) & (size <= high)
+            fits = np.flatnonzero((size > low) & (size <= high))
+            common = self.common(words[fits, :high])
             for j, z in enumerate(self.z):
-                near = np.flatnonzero(fits & (shared[:, j] >= 4))
+                near = fits[common[:, j]]
                 if len(near):
                     out[near, j] = np.minimum(1, kernel(words[near, :high], z) / self.own[j])
         return np.where(out < FAINT, 0, out**2)

@@ -271,6 +271,24 @@ def test_subsequence_kernel_by_definition():
         assert abs(toxicity.kernel(row, np.frombuffer(t.encode(), np.uint8))[0] - slow(s, t)) < 1e-12
 
 
+def test_filter_keeps_every_value_of_the_kernel():
+    """Gapped and inserted-character words against the kernel of all words with all landmarks."""
+    import numpy as np
+
+    r = random.Random(2)
+    strings = ["scum", "noob", "aaaa", "\x02idiot", "pathetic", "réêen", *("".join(r.choice("abcdeé") for _ in range(9)) for _ in range(12))]
+    landmarks = toxicity.Landmarks(strings)
+    words = ["s*c**u*m", "s**c**u**m", "noob", "n.o.o.b", "\x02idiot", "\x02i-d-i-o-t", "p..a.t.h.e.t.i.c"]
+    words += ["".join(c + "*" * r.choice((0, 0, 1, 2)) for c in r.choice(strings)) for _ in range(300)] + ["".join(r.choice("abcdeé*") for _ in range(r.randrange(1, 16))) for _ in range(300)]
+    rows = np.zeros((len(words), toxicity.WIDTH), np.uint8)
+    for i, w in enumerate(words):
+        b = w.encode()[: toxicity.WIDTH]
+        rows[i, : len(b)] = list(b)
+    full = np.stack([np.minimum(1, toxicity.kernel(rows, z) / own) for z, own in zip(landmarks.z, landmarks.own, strict=True)], axis=1)
+    assert np.allclose(landmarks.values(rows), np.where(full < toxicity.FAINT, 0, full**2), atol=1e-12)
+    assert landmarks.values(rows)[0, 0] > 0 and landmarks.values(rows)[2, 1] == 1
+
+
 def test_licences(spark):
     lines = [(1, "Released under the MIT License."), (2, "some text\nLicensed under CC BY-NC 4.0.\nmore"), (3, "This work is licensed under the GNU General Public License, version 3."), (4, "Licensed under the Apache License, Version 2.0."), *((10 + (i or 0), t) for i, t in AWKWARD)]
     docs = documents(spark, lines)
