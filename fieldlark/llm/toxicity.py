@@ -143,12 +143,19 @@ class Reader:
     """Finds, chunk by chunk, the words that resemble a landmark; remembers words that were compared before."""
 
     def __init__(self, landmarks: Landmarks):
-        self.landmarks, self.known, self.place, self.rows = landmarks, np.zeros(0, T.U), np.zeros(0, np.int64), [np.zeros((1, len(landmarks.z)))]
+        self.landmarks = landmarks
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.place, self.rows = np.zeros(0, T.U), np.zeros(0, np.int64), [np.zeros((1, len(self.landmarks.z)))]
 
     def _look_up(self, h: np.ndarray, raw, start, end) -> np.ndarray:
         """For each distinct hash the row of its values in `table`."""
         at = np.minimum(np.searchsorted(self.known, h), max(len(self.known) - 1, 0))
         new = np.flatnonzero(self.known[at] != h) if len(self.known) else np.arange(len(h))
+        if len(self.known) and len(self.known) + len(new) > REMEMBER:
+            self._forget()  # and compare all words of the chunk anew
+            new = np.arange(len(h))
         if len(new):
             windows, word = _matrix(raw, start[new], end[new])
             v = self.landmarks.values(windows)
@@ -158,8 +165,6 @@ class Reader:
             place = np.zeros(len(new), np.int64)
             place[some] = sum(map(len, self.rows)) + np.arange(len(some))
             self.rows = [np.concatenate([*self.rows, best[some]])]
-            if len(self.known) + len(new) > REMEMBER:
-                self.known, self.place = self.known[:0], self.place[:0]
             known, where = np.concatenate((self.known, h[new])), np.concatenate((self.place, place))
             order = np.argsort(known, kind="stable")
             self.known, self.place = known[order], where[order]
@@ -176,8 +181,6 @@ class Reader:
             if not len(w):
                 continue
             h, index, inverse = np.unique(w, return_index=True, return_inverse=True)
-            if len(self.known) > REMEMBER:
-                self.known, self.place = self.known[:0], self.place[:0]
             place = self._look_up(h, raw, start[index], end[index])[inverse]
             hit = np.flatnonzero(place)
             values = self.rows[0][place[hit]]

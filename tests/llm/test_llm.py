@@ -289,6 +289,22 @@ def test_filter_keeps_every_value_of_the_kernel():
     assert landmarks.values(rows)[0, 0] > 0 and landmarks.values(rows)[2, 1] == 1
 
 
+def test_reader_with_little_memory(monkeypatch):
+    """Forgetting words changes no value, and leaves no more rows than those of the words known."""
+    import pyarrow as pa
+
+    r = random.Random(4)
+    pool = ["idiot", "id.iot", "scum", "s*cum", "noob", *(f"w{i}" for i in range(30))]
+    texts = pa.array([" ".join(r.choice(pool) for _ in range(12)) for _ in range(60)])
+    monkeypatch.setattr(toxicity.T, "CHUNK", 100)
+    landmarks = toxicity.Landmarks(["idiot", "scum", "noob"])
+    want = [(i, v.tolist()) for i, v in toxicity.Reader(landmarks).sentences(texts)]
+    monkeypatch.setattr(toxicity, "REMEMBER", 14)
+    reader = toxicity.Reader(landmarks)
+    assert [(i, v.tolist()) for i, v in reader.sentences(texts)] == want and want
+    assert len(reader.rows[0]) <= len(reader.known) + 1
+
+
 def test_licences(spark):
     lines = [(1, "Released under the MIT License."), (2, "some text\nLicensed under CC BY-NC 4.0.\nmore"), (3, "This work is licensed under the GNU General Public License, version 3."), (4, "Licensed under the Apache License, Version 2.0."), *((10 + (i or 0), t) for i, t in AWKWARD)]
     docs = documents(spark, lines)
