@@ -336,6 +336,39 @@ def test_raking_beyond_the_driver_is_the_same(spark, monkeypatch):
     assert key(mixing.rake(cells, goals, 3)) == want
 
 
+def test_bounded_raking_beyond_the_driver_is_the_same(spark, monkeypatch):
+    cells = spark.createDataFrame([("a", "x", "t", 10), ("a", "y", "t", 30), ("b", "x", "u", 20), ("b", "y", "t", 5)], "source string, lang string, topic string, tokens long")
+    goals = mixing._targets(cells, None)
+    key = lambda df: {(r["source"], r["lang"], r["topic"]): round(r["weight"], 9) for r in df.collect()}
+    monkeypatch.setattr(mixing, "MOST_ROUNDS", 3)
+    want = key(mixing.rake_bounded(cells, goals, 0.8))
+    monkeypatch.setattr(mixing, "MOST_CELLS", 0)
+    assert key(mixing.rake_bounded(cells, goals, 0.8)) == want
+
+
+def test_final_probabilities_meet_the_marginals(spark):
+    """Skewed cells, of which raking without the bound would take more than all; and a value with too few tokens."""
+    sizes = {("a", "x", "t"): 900, ("a", "y", "t"): 60, ("a", "x", "u"): 50, ("b", "x", "t"): 40, ("b", "y", "u"): 300, ("b", "y", "t"): 20}
+    docs = spark.createDataFrame([(i, "w" + " w" * (9 if k[2] == "t" else 59), k[1], k[0]) for k, n in sizes.items() for i in range(n)], "doc_id long, text string, lang string, source string")
+    for b in ("a", "c"):
+        docs = docs if b != "c" else docs.unionByName(docs.limit(1).withColumn("source", F.lit("c")))
+        goals = {"source": {"a": 0.5, "b": 0.5, "c": 0.2}, "lang": {"x": 0.5, "y": 0.5}}
+        named = mixing._with_cells(docs, "text", "source", "lang", {c: f"mix_{c}" for c in ("n", *mixing.DIMENSIONS)})
+        cells = named.groupBy(*(F.col(f"mix_{d}").alias(d) for d in mixing.DIMENSIONS)).agg(F.sum("mix_n").alias("tokens"))
+        want = mixing._targets(cells, goals)
+        raked = mixing.rake_bounded(cells, want, 0.5).collect()
+        whole = sum(r["tokens"] for r in raked)
+        kept = sum(r["tokens"] * r["weight"] for r in raked)
+        assert all(0 <= r["weight"] <= 1 for r in raked) and abs(kept - 0.5 * whole) < 1e-4 * whole
+        for d in mixing.DIMENSIONS:
+            for v, share in want[d].items():
+                held = sum(r["tokens"] * r["weight"] for r in raked if r[d] == v)
+                if b == "c" and d == "source":
+                    assert abs(held - (10 if v == "c" else (kept - 10) / 2)) < 1e-4 * kept
+                else:
+                    assert abs(held / kept - share) < 1e-4
+
+
 def test_mixing_awkward_rows(spark):
     docs = documents(spark, AWKWARD)
     out = mixing.mixed(docs, keep=1.0)
