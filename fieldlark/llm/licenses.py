@@ -1,14 +1,14 @@
 """Licence scan: a trained paragraph classifier, in DataFrame and SQL functions only.
 
-Sparse features are word n-grams (1 to 3 words) of the templates that negative paragraphs hardly ever have
-and that hold a word which is such a feature itself. A multinomial
+Sparse features are word n-grams (1 to 3 words) of the templates that negative paragraphs hardly ever have. Lines with a
+phrase of a template, or within one, are no negatives, however many documents have them. A multinomial
 logistic regression (spark.ml) learns the family of windows cut from the templates against the class `unknown`, paragraphs
 of a bounded sample of documents. The unknown class is calibrated: its logit is shifted so that on windows and paragraphs
 left out of the fit the log loss is least. A paragraph's family counts when it beats unknown, and is confirmed when its
 trigrams agree with one of the family's templates.
 
-Scoring reads each document once: paragraphs without any feature word can only be unknown (all their features are 0) and go
-at once; for the others the weights of their n-grams, a table of at most FEATURES rows, are joined and summed.
+Scoring reads each document once: paragraphs without any feature can only be unknown (all their features are 0) and go
+at once, mostly by their words alone: a phrase of common words is looked for only where its rarest word is; for the others the weights of their n-grams, a table of at most FEATURES rows, are joined and summed.
 
 Null or empty texts have no paragraphs. A null doc_id is kept as null. Repeated rows are reported once each (documents are
 numbered by row). Paragraphs are lines; empty ones count for the numbering. Ties go to the family that comes first.
@@ -16,6 +16,8 @@ numbered by row). Paragraphs are lines; empty ones count for the numbering. Ties
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,6 +99,12 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(f, t) for f, texts in TEMPLATES.items() for t in texts], "family string, text string").select("family", words(F.col("text")).alias("w"))
 
 
+def sentences(spark: SparkSession) -> DataFrame:
+    """(family, w): the sentences of templates that have several, with a trigram each, as lines of their own may be."""
+    parts = [(f, x) for f, texts in TEMPLATES.items() for t in texts if len(found := re.split(r"(?<=[.;]) ", t)) > 1 for x in found]
+    return spark.createDataFrame(parts, "family string, text string").select("family", words(F.col("text")).alias("w")).where(F.size("w") >= 3)
+
+
 def paragraphs(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, doc_id, paragraph, w): the lines of whole texts as word arrays."""
     lines = documents.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\r?\n")).alias("paragraph", "line"))
@@ -105,10 +113,11 @@ def paragraphs(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 class Model:
-    """Classes, the weights of features by class, intercepts with the calibrated shift of `unknown`."""
+    """Classes, the weights of features by class, intercepts with the calibrated shift of `unknown`, the rarest words of phrases of common words."""
 
     def __init__(self, classes: list[str], vocabulary: list[str], weights: list[list[float]], intercepts: list[float]):
         self.classes, self.vocabulary, self.weights, self.intercepts = classes, vocabulary, weights, intercepts
+        self.rarest: dict[str, str] = {}
 
 
 def _fit(rows: DataFrame, classes: list[str], vocabulary: list[str]):
@@ -144,31 +153,40 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     windows = known.select(
         "family", "w", F.explode(F.array(*map(F.lit, WINDOWS))).alias("n")
     ).select("family", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - F.col("n") + 1, F.lit(1))), lambda i: F.slice("w", i, F.col("n")))).alias("w"))
-    # each template itself counts as often as its windows
-    positive = windows.unionAll(known.crossJoin(spark.range(12)).select("family", "w"))
+    # each template itself counts as often as its windows, and so does each sentence of one
+    positive = windows.unionAll(known.unionAll(sentences(spark)).crossJoin(spark.range(12)).select("family", "w"))
     sample = documents.where(F.col(text_col).isNotNull()).select(id_col, text_col).orderBy(F.xxhash64(id_col), id_col).limit(NEGATIVE_DOCUMENTS)
-    template_grams = known.select(F.explode(ngrams(F.col("w"), (3,))).alias("gram")).distinct().agg(F.collect_set("gram").alias("all"))  # of the templates alone
-    negative = paragraphs(sample, id_col, text_col).where(F.size("w") > 0).crossJoin(F.broadcast(template_grams))
-    negative = stored(negative.where(F.size(F.array_intersect(ngrams(F.col("w"), (3,)), "all")) < 2).select(F.lit(UNKNOWN).alias("family"), "w"))
+    grams = lambda orders, name: known.select(F.explode(ngrams(F.col("w"), orders)).alias("gram")).agg(F.collect_set("gram").alias(name))
+    negative = paragraphs(sample, id_col, text_col).where(F.size("w") > 0).crossJoin(F.broadcast(grams((1, 2), "short"))).crossJoin(F.broadcast(grams((3,), "all")))  # of the templates alone
+    notice = F.arrays_overlap(ngrams(F.col("w"), (3,)), "all") | F.array_contains("short", F.array_join("w", " "))
+    negative = stored(negative.where(~notice).select(F.lit(UNKNOWN).alias("family"), "w"))
     common = negative.select(F.explode(ngrams(F.col("w"))).alias("gram")).groupBy("gram").count()
     share = negative.count() * 0.002
     features = known.select(F.explode(ngrams(F.col("w"))).alias("gram")).distinct().join(common, "gram", "left").where(F.coalesce("count", F.lit(0)) <= share)
     found = [r["gram"] for r in features.select("gram").orderBy("gram").limit(FEATURES).collect()]
     single = {g for g in found if " " not in g}
-    vocabulary = [g for g in found if single & set(g.split(" "))]
+    # of each phrase without a feature word the rarest word
+    plain = [g for g in found if not single & set(g.split(" "))]
+    often = {r["gram"]: r["count"] for r in common.where(F.col("gram").isin({w for g in plain for w in g.split(" ")})).collect()} if plain else {}  # the words of the templates
+    rarest = {g: min(g.split(" "), key=lambda w: (often.get(w, 0), w)) for g in plain}
     classes = [*TEMPLATES, UNKNOWN]
     number = F.create_map(*(F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))))
     rows = positive.unionAll(negative).select(number[F.col("family")].alias("label"), ngrams(F.col("w")).alias("grams"), F.pmod(F.xxhash64(F.array_join("w", " ")), F.lit(5)).alias("fold"))
-    return _fit(rows, classes, vocabulary)
+    model = _fit(rows, classes, found)
+    model.rarest = rarest
+    return model
 
 
 def scan(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, paragraph, family, probability, similarity, confirmed: every paragraph that a family wins."""
     spark = documents.sparkSession
-    heads = [g for g in model.vocabulary if " " not in g]  # every feature holds one of them
+    array = lambda values: F.array(*map(F.lit, values)).cast("array<string>")
+    heads = F.arrays_overlap("w", array([g for g in model.vocabulary if " " not in g]))  # every feature holds one of them, but those of model.rarest
+    if model.rarest:
+        heads = heads | (F.arrays_overlap("w", array(sorted(set(model.rarest.values())))) & F.arrays_overlap(ngrams(F.col("w"), (2, 3)), array(model.rarest)))
     weights = spark.createDataFrame(list(zip(model.vocabulary, model.weights, strict=True)), "gram string, weights array<double>")
-    some = paragraphs(documents, id_col, text_col).where(F.arrays_overlap("w", F.array(*map(F.lit, heads))))
-    some = stored(some.withColumn("grams", ngrams(F.col("w"))))  # few: paragraphs with a feature word
+    some = paragraphs(documents, id_col, text_col).where(heads)
+    some = stored(some.withColumn("grams", ngrams(F.col("w"))))  # few: paragraphs with a feature
     found = some.select("row", "doc_id", "paragraph", F.explode("grams").alias("gram")).join(F.broadcast(weights), "gram")
     classes = range(len(model.classes))
     logits = found.groupBy("row", "doc_id", "paragraph").agg(*(F.sum(F.col("weights")[i]).alias(f"l{i}") for i in classes))

@@ -313,6 +313,16 @@ def test_licences(spark):
     assert got == {(1, 0, "mit"), (2, 1, "cc-by-nc"), (3, 0, "gpl"), (4, 0, "apache-2.0")}
 
 
+def test_frequent_notices(spark):
+    """A third of the documents hold a short notice; and prose has the words of it, but not the phrase."""
+    r = random.Random(6)
+    prose = lambda n: " ".join(r.choice("the of seat river sun stone walk green house".split()) + " " + r.choice("rights reserved all released under mit license free".split()) for _ in range(n))
+    rows = [(i, "\n".join([prose(12), prose(30), *(["All rights reserved."] if i % 3 == 0 else []), prose(20), *(["Released under the MIT License."] if i == 7 else [])])) for i in range(300)]
+    docs = documents(spark, rows)
+    got = {(x["doc_id"], x["paragraph"], x["family"]) for x in licenses.scan(docs, licenses.train(docs)).where("confirmed").collect()}
+    assert got == {(7, 3, "mit")} | {(i, 2, "proprietary") for i in range(0, 300, 3)}
+
+
 # ------------------------------------------------------------- mixing and the pipeline
 
 
