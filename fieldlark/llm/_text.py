@@ -8,8 +8,8 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-#: Bytes of text that are hashed at once; one longer text is a chunk of its own.
-CHUNK = 1 << 20
+#: Bytes of text that are dealt with at once. One longer text is a chunk of its own, hashed in pieces of that many bytes.
+CHUNK = 1 << 18
 _BASE = U(0x9E3779B97F4A7C15)
 _seeds = np.random.RandomState(20240229)
 _VALUE = _seeds.randint(0, 2**63, 256, dtype=np.int64).astype(U) * U(2) + U(1)
@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
+    """Powers of the base and of its inverse modulo 2**64; of a piece's length at most."""
     if len(_powers[0]) < n:
         size, inverse = max(n, CHUNK + 1), U(pow(int(_BASE), -1, 1 << 64))
         for i, base in enumerate((_BASE, inverse)):
@@ -60,18 +60,47 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 def words(raw: np.ndarray, at: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the words, the index of each row's first word (and the end), starts and ends of the words."""
-    n = len(raw)
-    if not n:
+    parts, last = [], 0  # `last`: where the word began that the piece before may have cut
+    for lo in range(0, len(raw), CHUNK):
+        h, starts, ends = _piece(raw[lo : lo + CHUNK], at - lo, separators)
+        starts, ends = starts + lo, ends + lo
+        if parts and len(h) and starts[0] == lo and parts[-1][2][-1:].tolist() == [lo] and lo not in at:
+            with np.errstate(over="ignore"):
+                parts[-1][0][-1] += h[0] * U(pow(int(_BASE), lo - last, 1 << 64))
+            parts[-1][2][-1] = ends[0]
+            h, starts, ends = h[1:], starts[1:], ends[1:]
+        if len(h):
+            parts.append((h, starts, ends))
+            last = int(starts[-1])
+    if not parts:
         return np.zeros(0, U), np.zeros(len(at), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    h, starts, ends = parts[0] if len(parts) == 1 else (np.concatenate(x) for x in zip(*parts, strict=True))
+    return mix(h), np.searchsorted(starts, at), starts, ends
+
+
+def _piece(raw: np.ndarray, at: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Polynomial hashes (not mixed yet), starts and ends of the words of one piece, whose edges may cut words."""
+    n = len(raw)
     inside = ~separators[raw]
     first = np.zeros(n + 1, bool)
-    first[at] = True
+    first[at[(at >= 0) & (at <= n)]] = True
     starts = np.flatnonzero(inside & np.concatenate(([True], first[1:n] | ~inside[:-1])))
     ends = np.flatnonzero(inside & np.concatenate((first[1:n] | ~inside[1:], [True]))) + 1
     power, inverse = _power(n + 1)
     total = np.zeros(n + 1, U)
     np.cumsum(_VALUE[raw] * power[:n], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts]), np.searchsorted(starts, at), starts, ends
+    return (total[ends] - total[starts]) * inverse[starts], starts, ends
+
+
+def counts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How often each row has each byte value: rows x 256."""
+    rows = len(at) - 1
+    out = np.zeros(rows * 256, np.int64)
+    for lo in range(0, len(raw), CHUNK):
+        x = raw[lo : lo + CHUNK]
+        row = np.searchsorted(at, np.arange(lo, lo + len(x)), "right") - 1 if rows > 1 else 0
+        out += np.bincount(row * 256 + x.astype(np.int64), minlength=rows * 256)
+    return out.reshape(rows, 256)
 
 
 def shingles(w: np.ndarray, at: np.ndarray, k: int = 5) -> list[np.ndarray]:

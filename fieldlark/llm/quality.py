@@ -52,7 +52,8 @@ def statistics(column: pa.Array) -> np.ndarray:
     out = []
     for _, raw, at in T.chunks(column):
         rows = len(at) - 1
-        count = lambda x: np.diff(np.concatenate(([0], np.cumsum(x[raw])))[at]).astype(float)  # noqa: E731, B023
+        each = T.counts(raw, at)
+        count = lambda x: each[:, x].sum(1).astype(float)  # noqa: E731, B023
         w, first, starts, ends = T.words(raw, at, T.SPACE)
         lines, line_at, _, _ = T.words(raw, at, _LINES)
         n, m = np.diff(first).astype(float), np.diff(line_at).astype(float)
