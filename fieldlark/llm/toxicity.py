@@ -42,8 +42,8 @@ VOCABULARY, TRAIN = 4000, 2000
 WIDTH = 24
 #: Stands for the start of a word, which a landmark may include.
 START = 2
-#: Words whose comparison a task remembers.
-REMEMBER = 2_000_000
+#: Windows that are compared at once, and words whose comparison a task remembers.
+BLOCK, REMEMBER = 1 << 14, 1_000_000
 _END = np.zeros(256, bool)
 _END[[10, 13, 33, 46, 63]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -124,19 +124,21 @@ class Landmarks:
         return np.where(out < FAINT, 0, out**2)
 
 
-def _matrix(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zero-padded windows of words, the first with START before it, and the word each belongs to."""
+def _windows(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Zero-padded windows of words, the first with START before it, and the word each belongs to; BLOCK windows at a time."""
     letters = np.flatnonzero(~T.NONWORD[raw])
     if len(letters):  # what stands before a word's first letter doesn't count
         start = np.minimum(letters[np.minimum(np.searchsorted(letters, start), len(letters) - 1)].clip(min=start), end - 1)
     size = end - start + 1
     many = np.maximum(1, -(-(size - WIDTH // 2) // (WIDTH // 2)))
-    word = np.repeat(np.arange(len(size)), many)
-    step = np.arange(len(word)) - np.repeat(np.cumsum(many) - many, many)
-    at = (start[word] - 1 + step * (WIDTH // 2))[:, None] + np.arange(WIDTH)
-    out = np.where(at < end[word][:, None], _LOWER[raw[np.clip(at, 0, len(raw) - 1)]], 0).astype(np.uint8)
-    out[step == 0, 0] = START
-    return out, word
+    words = np.repeat(np.arange(len(size)), many)
+    steps = np.arange(len(words)) - np.repeat(np.cumsum(many) - many, many)
+    for lo in range(0, len(words), BLOCK):
+        word, step = words[lo : lo + BLOCK], steps[lo : lo + BLOCK]
+        at = (start[word] - 1 + step * (WIDTH // 2))[:, None] + np.arange(WIDTH)
+        out = np.where(at < end[word][:, None], _LOWER[raw[np.clip(at, 0, len(raw) - 1)]], 0).astype(np.uint8)
+        out[step == 0, 0] = START
+        yield out, word
 
 
 class Reader:
@@ -147,32 +149,35 @@ class Reader:
         self._forget()
 
     def _forget(self) -> None:
-        self.known, self.place, self.rows = np.zeros(0, T.U), np.zeros(0, np.int64), [np.zeros((1, len(self.landmarks.z)))]
+        self.known, self.place, self.rows = np.zeros(0, T.U), np.zeros(0, np.int64), np.zeros((1, len(self.landmarks.z)))
 
     def _look_up(self, h: np.ndarray, raw, start, end) -> np.ndarray:
-        """For each distinct hash the row of its values in `table`."""
+        """For each distinct hash the row of its values in `rows`, 0 without any."""
         at = np.minimum(np.searchsorted(self.known, h), max(len(self.known) - 1, 0))
         new = np.flatnonzero(self.known[at] != h) if len(self.known) else np.arange(len(h))
         if len(self.known) and len(self.known) + len(new) > REMEMBER:
             self._forget()  # and compare all words of the chunk anew
             new = np.arange(len(h))
         if len(new):
-            windows, word = _matrix(raw, start[new], end[new])
-            v = self.landmarks.values(windows)
-            best = np.zeros((len(new), v.shape[1]))
-            np.maximum.at(best, word[(hit := v.any(1))], v[hit])
-            some = np.flatnonzero(best.any(1))
-            place = np.zeros(len(new), np.int64)
-            place[some] = sum(map(len, self.rows)) + np.arange(len(some))
-            self.rows = [np.concatenate([*self.rows, best[some]])]
-            known, where = np.concatenate((self.known, h[new])), np.concatenate((self.place, place))
-            order = np.argsort(known, kind="stable")
-            self.known, self.place = known[order], where[order]
-            if len(new) == len(h):
-                return place
-        at = np.searchsorted(self.known, h)
-        found = self.place[np.minimum(at, len(self.known) - 1)]
-        return found
+            place, held = np.zeros(len(new), np.int64), len(self.rows)
+            order, rows = np.argsort(start[new], kind="stable"), [self.rows]
+            for part in np.split(order, np.flatnonzero(np.diff(start[new[order]] // T.CHUNK)) + 1):  # by stretches of a long text
+                lo, hi = start[new[part[0]]], end[new[part[-1]]]
+                for windows, word in _windows(raw[lo:hi], start[new[part]] - lo, end[new[part]] - lo):
+                    v = self.landmarks.values(windows)
+                    hit = np.flatnonzero(v.any(1))
+                    for w, x in zip(part[word[hit]].tolist(), v[hit], strict=True):
+                        if not place[w]:
+                            place[w], held = held, held + 1
+                            rows.append(x[None, :].copy())
+                        else:
+                            mine = rows[place[w] - len(self.rows) + 1]
+                            np.maximum(mine, x, out=mine)
+            if len(rows) > 1:
+                self.rows = np.concatenate(rows)
+            at = np.searchsorted(self.known, h[new])
+            self.known, self.place = np.insert(self.known, at, h[new]), np.insert(self.place, at, place)
+        return self.place[np.searchsorted(self.known, h)]  # all of them are known now
 
     def sentences(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         """(row, values) of every sentence with a resembling word, in order."""
@@ -183,16 +188,15 @@ class Reader:
             h, index, inverse = np.unique(w, return_index=True, return_inverse=True)
             place = self._look_up(h, raw, start[index], end[index])[inverse]
             hit = np.flatnonzero(place)
-            values = self.rows[0][place[hit]]
+            values = self.rows[place[hit]]
             spelled = self._spelled(raw, start, end, first)
             if spelled:
                 hit = np.concatenate((hit, [x[0] for x in spelled]))
                 values = np.concatenate((values, [x[1] for x in spelled]))
             if not len(hit):
                 continue
-            ends = np.concatenate(([0], np.cumsum(_END[raw])))
             doc = np.searchsorted(first, hit, "right") - 1
-            sentence = ends[start[hit]]
+            sentence = np.searchsorted(np.flatnonzero(_END[raw]), start[hit])
             order = np.lexsort((sentence, doc))
             doc, sentence, values = doc[order], sentence[order], values[order]
             head = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (sentence[1:] != sentence[:-1]))))
@@ -207,8 +211,8 @@ class Reader:
         for lo, hi in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
             if hi - lo >= SHORTEST:
                 text = raw[start[lo:hi]]
-                windows, _ = _matrix(text, np.array([0]), np.array([len(text)]))
-                if (v := self.landmarks.values(windows).max(0)).any():
+                v = np.max([self.landmarks.values(x).max(0) for x, _ in _windows(text, np.array([0]), np.array([len(text)]))], axis=0)
+                if v.any():
                     out.append((lo, v))
         return out
 
