@@ -1,46 +1,54 @@
 """Main-text extraction: template deduction from equivalence classes of tokens across the pages of a host.
 
 Tokens are the element paths of a page (tag and class names, without inline markup) and its text blocks under them. Spark
-counts each token on each page and folds the counts into an occurrence vector, represented by an xor of hashes of
-(page, count): tokens of a host with equal vectors form an equivalence class. Classes that are frequent on the host
-(SUPPORT of its pages) are valid; nested by their paths they are the host's template. Text blocks of valid classes are
-constants of the template, the other positions are slots. The slot container is the deepest box on a template
-path that holds most of the variable text of the host. All pages of all hosts are counted; a hot host is combined before the shuffle,
-and only template rows (each on at least half of the host's pages) leave that step.
-
-A page's text is the content of its remaining slots: its article elements where it has some, else its main element, else
-the host's slot container, else the whole body; without navigation, headers, footers, asides, notices, adverts, forms,
-reader comments, scripts, styles and, outside an article or main element, template constants.
+folds each token's counts on the host's pages into an occurrence vector (two sums of hashes of (page, count)); tokens of a host
+with equal vectors form an equivalence class. A class is valid if it has several tokens, is on SUPPORT of at least LEAST_PAGES pages, and is
+ordered: its tokens begin in the same order on each of its pages. The element tokens of valid classes, nested by their
+paths, are the host's template; its text tokens are the constants of the template. The text between them is variable, and each path of
+variable text belongs to the deepest template element around it, a slot. The container is the deepest template element that
+holds MOST_TEXT of the host's variable text. All pages of all hosts are counted; a hot host is combined before the
+shuffle, and only template rows leave that step.
+
+A page's text is what stands in its slots. Tags and class names only name slots: those in article elements count where
+there are some, else those in the main element, else those in the container, else all; navigation, headers, footers, asides,
+notices, adverts, forms, reader comments, scripts and styles are none. Constants of the template go, in articles too. A page of which
+constants are more than MOST_CONSTANT (MOST_ELSEWHERE outside articles) is a copy of its neighbours, and keeps them.
 
 Null or empty html, or html without text: empty text. Null url: pages of the nameless host. Pages are read whole, cut-off
-markup included. Repeated rows give repeated results. Character references are decoded after the markup is cut.
+markup included. Repeated rows give repeated results and count as pages of their own. Character references are decoded after the
+markup is cut. Extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import html as entities
-import json
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._spark import hot_join, small, stored, table
 
-#: Share of a host's pages that a template token is on, the least pages of a host with a template, and the share of the
-#: variable text that the slot container must hold.
-SUPPORT, LEAST_PAGES, MOST_TEXT = 0.5, 3, 0.6
+#: Share of a host's pages that a template class is on, the least pages of a host with a template, and the share of the
+#: variable text that the container must hold.
+SUPPORT, LEAST_PAGES, MOST_TEXT = 0.9, 4, 0.9
+#: Share of the text in a page's articles, or elsewhere, from which on its constants aren't a template but a copied text.
+MOST_CONSTANT, MOST_ELSEWHERE = 0.5, 0.8
+#: Characters of templates that are broadcast at most; beyond that they are joined to the pages.
+MOST_BROADCAST = 1 << 25
 
 # Elements by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|textarea|iframe|svg|math|object|select|title"
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
+RAW = "script|style|noscript|template|textarea|iframe|svg|object|select|title"
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br math mfrac mi mn mo mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext".split())
 SKIPPED = frozenset("nav aside footer form head dialog menu button fieldset legend input option datalist menuitem".split())
-#: Elements that can be the slot container; paragraphs, lists and headings are parts of one.
-BOXES = ("html", "body", "div", "section", "main", "article", "center", "table", "td", "layer")
+#: Elements that can be the container, and elements that are article text whatever their class names say.
+BOXES = ("html", "body", "div", "section", "main", "article", "center", "table", "layer")
+PROSE = frozenset("html body p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption dt dd br".split())
 #: Class, id and role words that mark what is not the article.
 NOISE = re.compile(
     r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|aside|rail|ads?|adverts?|advertisement|advertising|adsense|promo|promotion|sponsor(?:ed)?|banner|cookies?|consent|gdpr|"
@@ -48,6 +56,8 @@ NOISE = re.compile(
     r"footer|masthead|toolbar|pagination|pager|widget|form|login|search|skip|hidden|contentinfo|complementary|copyright|legal|disclaimer)(?:$|[\s_-])",
     re.I,
 )
+#: Words that mark inline text as none of the article's.
+INLINE_NOISE = re.compile(r"(?:^|\s)(?:ad|ads|advert|advertisement|sponsored|share|social|comments?)(?:$|\s)", re.I)
 HEADER = re.compile(r"(?:^|[\s_-])(?:header|topbar|site-title|branding)(?:$|[\s_-])", re.I)
 
 _PIECE = re.compile(
@@ -56,7 +66,7 @@ _PIECE = re.compile(
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*|[^>]*)(?:>|\Z)""",
     re.S | re.I,
 )
-_ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPACES = re.compile(r"\s+")
 _CLOSES = {t: frozenset(x.split()) for t, x in {"p": "p", "li": "li p", "dt": "dt dd p", "dd": "dt dd p", "tr": "tr td th p", "td": "td th p", "th": "td th p", "option": "option"}.items()}
 _BARRIER = {"p": frozenset(), "li": frozenset("ul ol menu".split()), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "tr": frozenset(["table"]), "td": frozenset(["tr", "table"]), "th": frozenset(["tr", "table"])}
@@ -70,10 +80,47 @@ class _Element:
         self.tag, self.path, self.noise, self.role = tag, path, noise, role
 
 
+_HIDES = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+_ARTICLE, _MAIN = re.compile(r"(?:^|\s)article(?:$|\s)"), re.compile(r"(?:^|\s)main(?:$|\s)")
+
+
+def _attributes(attrs: str | None) -> tuple[str, bool]:
+    """The class, id and role words of an element, and whether it is hidden."""
+    names, gone = "", False
+    for name, value in _ATTR.findall(attrs or ""):
+        value, name = value.strip("\"'"), name.lower()
+        if name in ("hidden", "aria-hidden"):
+            gone |= value.lower() != "false"
+        elif name == "style":
+            gone |= bool(_HIDES.search(value))
+        elif value:
+            names += " " + value
+    return names, gone
+
+
+def _role(up: str, tag: str, names: str) -> str:
+    """article; spare for an article whose names say otherwise (it counts if there is no other); main; or ''."""
+    if up in ("article", "spare"):
+        return up
+    if tag == "article" or _ARTICLE.search(names):
+        return "spare" if NOISE.search(names) else "article"
+    return "main" if up == "main" or tag == "main" or _MAIN.search(names) else ""
+
+
+def _is_noise(up: _Element, tag: str, names: str, role: str) -> bool:
+    """Whether an element is none of the article's, by its tag or names; an outermost article or main element never is by its names."""
+    if tag in SKIPPED:
+        return True
+    named = names and tag not in PROSE and (role == up.role or role == "")
+    in_article = role in ("article", "spare")
+    return bool(named and NOISE.search(names)) or not in_article and (tag == "header" or bool(named and HEADER.search(names)))
+
+
 def blocks(page: str) -> tuple[list[tuple[str, str, bool, str]], list[str]]:
-    """Text blocks (path, text, noise, 'article', 'main' or '') in page order, and the path of every block element."""
+    """Text blocks (path, text, noise, role) in page order, and the path of every block element."""
     stack, out, paths, text = [_Element("", "", False, "")], [], [], []
-    at = 0
+    at, muted = 0, ""  # `muted`: the inline element whose text is hidden, by its tag
+    depth = 0
 
     def flush() -> None:
         if text:
@@ -84,22 +131,33 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, str]], list[str]]:
                 out.append((e.path, s, e.noise, e.role))
 
     for m in _PIECE.finditer(page):
-        if m.start() > at:
+        if m.start() > at and not muted:
             text.append(page[at : m.start()])
         at = m.end()
         tag = m["tag"]
         if tag is None:
             continue
-        tag = tag.lower()
+        tag, end = tag.lower(), bool(m["end"])
         if tag in INLINE:
-            if tag == "br":
+            if tag == muted:
+                depth += -1 if end else 1
+                if not depth:
+                    muted = ""
+            elif not end and not muted and m["attrs"] and tag not in VOID:
+                names, gone = _attributes(m["attrs"])
+                if gone or INLINE_NOISE.search(names):
+                    muted, depth = tag, 1
+            if tag == "br" and not muted:
                 text.append(" ")
             continue
-        if tag in ("td", "th") and len(stack) > 1:  # the cells of a row are one block
-            text.append(" ")
+        muted = ""  # a block element ends what inline markup hid
+        names, gone = ("", False) if end else _attributes(m["attrs"])
+        cell = tag in ("td", "th")
+        if cell and len(stack) > 1 and stack[-1].tag not in ("td", "th") and not gone and not NOISE.search(names):
+            text.append(" ")  # the cells of a row are one block
             continue
         flush()
-        if m["end"]:
+        if end:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     del stack[i:]
@@ -115,25 +173,15 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, str]], list[str]]:
                     break
                 if t in wall or t in ("div", "article", "section", "main", "table", "body", "blockquote"):
                     break
-        if tag in VOID:
+        if tag in VOID or cell and not gone and not NOISE.search(names):
             continue
-        up, names, gone = stack[-1], "", False
-        for name, value in _ATTR.findall(m["attrs"] or ""):
-            value = value.strip("\"'")
-            if name.lower() in ("hidden", "aria-hidden"):
-                gone |= value.lower() != "false"
-            elif value:
-                names += " " + value
-        role = up.role
-        if tag == "article" or re.search(r"(?:^|\s)article(?:$|\s)", names):
-            role = "article"
-        elif not role and (tag == "main" or re.search(r"(?:^|\s)main(?:$|\s)", names)):
-            role = "main"
-        noise = up.noise or gone or tag in SKIPPED or tag != "body" and bool(names and NOISE.search(names)) or role != "article" and (tag == "header" or bool(names and HEADER.search(names)))
+        up = stack[-1]
+        role = _role(up.role, tag, names)
+        noise = up.noise or gone or _is_noise(up, tag, names, role)
         e = _Element(tag, f"{up.path}>{tag}{'.' + '.'.join(sorted(set(names.split()))) if names else ''}", noise, role)
         stack.append(e)
         paths.append(e.path)
-    if at < len(page):
+    if at < len(page) and not muted:
         text.append(page[at:] if not page[at:].startswith("<") else "")
     flush()
     return out, paths
@@ -146,8 +194,9 @@ def _hash(s: str) -> int:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, token, path, chars, text, page, n): each page's tokens with their counts; text blocks outside noise only."""
-    names = ["host", "token", "path", "is_text", "chars", "page", "n"]
+    """Each page's tokens with their counts and the place of the first; text blocks outside noise only."""
+    names = ["host", "token", "path", "is_text", "chars", "page", "n", "at"]
+    kinds = (pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
     for batch in batches:
         rows: list[tuple] = []
         for host, page, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
@@ -160,54 +209,100 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     x = seen.setdefault((p, s), [0, 0])
                     x[0] += 1
                     x[1] += len(s)
-            rows += [(host, _hash(f"{p}\0{s}"), p, bool(s), c, page, n) for (p, s), (n, c) in seen.items()]
+            rows += [(host, _hash(f"{p}\0{s}"), p, bool(s), c, page, n, i) for i, ((p, s), (n, c)) in enumerate(seen.items())]
+            if len(rows) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                rows = []
         cols = zip(*rows, strict=True) if rows else [()] * len(names)
-        kinds = (pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int32())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
 
+def _steps(path: str | Column) -> Column:
+    return F.filter(F.split(path, ">"), lambda x: x != "")
+
+
+def _around(path: str) -> Column:
+    """A path and the paths around it, the outermost first."""
+    steps = _steps(path)
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(steps), F.lit(1))), lambda i: F.concat(F.lit(">"), F.array_join(F.slice(steps, 1, i), ">")))
+
+
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): a JSON text with the hashes of the host's constant text blocks and its slot container.
+    """(host, constants, slots, container): hashes of the host's constant text blocks, paths of the slots, and that of their container.
 
-    `pages` has host, page (any number of the page's own) and html.
+    `pages` has host, page (a number of the page's own) and html.
     """
-    tokens = pages.select("host", "page", "html").mapInArrow(_tokens, "host string, token long, path string, is_text boolean, chars long, page long, n int")
+    tokens = stored(pages.select("host", "page", "html").mapInArrow(_tokens, "host string, token long, path string, is_text boolean, chars long, page long, n int, at int"))
+    h = F.xxhash64("page", "n")
     vectors = stored(
         tokens.groupBy("host", "token").agg(
-            F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.first("path").alias("path"), F.first("is_text").alias("is_text")
+            F.struct(F.bit_xor(h).alias("x"), F.sum(h.bitwiseAND(F.lit((1 << 31) - 1))).alias("s")).alias("vector"),
+            F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.first("path").alias("path"), F.first("is_text").alias("is_text"),
         )
-    )
-    hosts = stored(vectors.where("path = '' and not is_text").select("host", F.col("pages").alias("all_pages")))
-    frequent = vectors.join(small(hosts), "host").where((F.col("pages") >= SUPPORT * F.col("all_pages")) & (F.col("all_pages") >= LEAST_PAGES))
-    # classes: tokens of one host with one occurrence vector; nested under the longest path that all of them share
-    classes = frequent.groupBy("host", "vector").agg(F.count("*").alias("size"), F.min("path").alias("root"), F.max("pages").alias("pages"))
-    valid = stored(frequent.drop("pages").join(classes, ["host", "vector"]).where("size >= 2 or is_text"))
-    constants = valid.where("is_text").groupBy("host").agg(F.collect_set("token").alias("constants"))
-    # the slot container: the deepest frequent path under which most of the variable text is
-    slots = vectors.where("is_text").join(valid.where("is_text").select("host", "token"), ["host", "token"], "left_anti").groupBy("host", "path").agg(F.sum("chars").alias("chars"))
-    steps = F.filter(F.split("path", ">"), lambda x: x != "")
-    boxes = F.regexp_extract("path", ">([^>.]*)[^>]*$", 1).isin(*BOXES)
-    under = slots.select("host", "chars", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size(steps), F.lit(1))), lambda i: F.concat(F.lit(">"), F.array_join(F.slice(steps, 1, i), ">")))).alias("path"))
-    whole = slots.groupBy("host").agg(F.sum("chars").alias("whole"))
-    held = under.where(boxes).groupBy("host", "path").agg(F.sum("chars").alias("chars")).join(small(stored(whole)), "host").where(F.col("chars") >= MOST_TEXT * F.col("whole"))
-    held = held.join(valid.where("not is_text").select("host", "path").distinct(), ["host", "path"], "left_semi")
-    container = held.groupBy("host").agg(F.max_by("path", F.size(F.split("path", ">"))).alias("container"))
-    merged = hosts.select("host").join(constants, "host", "left").join(container, "host", "left")
-    return stored(merged.select("host", F.to_json(F.struct("constants", "container")).alias("template")))
-
-
-def page_text(page: str | None, template: dict) -> str:
-    """The text of a page's remaining slots."""
-    found, _ = blocks(page or "")
-    roles = {role for _, _, noise, role in found if not noise}
-    wanted = "article" if "article" in roles else "main" if "main" in roles else ""
-    clean = [(p, s) for p, s, noise, role in found if not noise and (not wanted or role == wanted or wanted == "main" and role == "article")]
+    )
+    hosts = small(stored(vectors.where("path = '' and not is_text").select("host", F.col("pages").alias("all_pages"))))
+    frequent = vectors.join(hosts, "host").where((F.col("pages") >= SUPPORT * F.col("all_pages")) & (F.col("all_pages") >= LEAST_PAGES))
+    large = stored(frequent.groupBy("host", "vector").agg(F.count("*").alias("size")).where("size > 1"))
+    members = stored(frequent.where("path <> ''").join(small(large.select("host", "vector")), ["host", "vector"], "left_semi").select("host", "vector", "token", "path", "is_text"))
+    # ordered: on each page the same sequence of tokens
+    placed = tokens.select("host", "token", "page", "at").join(small(members.select("host", "token", "vector")), ["host", "token"])
+    orders = placed.groupBy("host", "vector", "page").agg(F.xxhash64(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"])).alias("o"))
+    valid = stored(orders.groupBy("host", "vector").agg(F.min("o").alias("a"), F.max("o").alias("b")).where("a = b").select("host", "vector"))
+    template = stored(members.join(small(valid), ["host", "vector"], "left_semi"))
+    constants = template.where("is_text").select("host", "token")
+    nodes = stored(template.where("not is_text").select("host", "path").distinct())
+    # variable text, by the template elements around it; the deepest of them is its slot
+    variable = vectors.where("is_text").join(small(constants), ["host", "token"], "left_anti").groupBy("host", "path").agg(F.sum("chars").alias("chars"))
+    around = stored(variable.select("host", "chars", F.col("path").alias("own"), F.explode(_around("path")).alias("path")).join(small(nodes), ["host", "path"], "left_semi"))
+    depth = F.size(_steps("path"))
+    slots = around.groupBy("host", "own").agg(F.max_by("path", depth).alias("slot")).groupBy("host").agg(F.sort_array(F.collect_set("slot")).alias("slots"))
+    whole = small(stored(variable.groupBy("host").agg(F.sum("chars").alias("whole"))))
+    box = F.regexp_extract("path", ">([^>.]*)[^>]*$", 1).isin(*BOXES)
+    held = around.where(box).groupBy("host", "path").agg(F.sum("chars").alias("chars")).join(whole, "host").where(F.col("chars") >= MOST_TEXT * F.col("whole"))
+    container = held.groupBy("host").agg(F.max_by("path", depth).alias("container"))
+    texts = constants.groupBy("host").agg(F.sort_array(F.collect_set("token")).alias("constants"))
+    return stored(texts.join(slots, "host", "full").join(container, "host", "full").select("host", "constants", "slots", "container"))
+
+
+@dataclass(frozen=True)
+class Template:
+    """What extraction needs of a host's template."""
+
+    constants: frozenset[int] = frozenset()
+    slots: frozenset[str] = frozenset()
+    container: str | None = None
+
+    @staticmethod
+    def of(constants, slots, container) -> Template:
+        return Template(frozenset(constants or ()), frozenset(slots or ()), container)
+
+    def holds(self, path: str) -> bool:
+        """Whether a slot of the template is around a path, inside the container."""
+        box = self.container
+        if box is None or path != box and not path.startswith(box + ">"):
+            return False
+        while path and path not in self.slots:
+            path = path.rpartition(">")[0]
+        return bool(path)
+
+
+NO_TEMPLATE = Template()
+
+
+def page_text(page: str | None, template: Template = NO_TEMPLATE) -> str:
+    """The text in a page's slots."""
+    clean = [(p, s, role) for p, s, noise, role in blocks(page or "")[0] if not noise]
+    roles = {role for _, _, role in clean}
+    wanted = next((x for x in ("article", "spare", "main") if x in roles), "")
+    clean = [(p, s) for p, s, role in clean if not wanted or role == wanted]
+    if template.constants:
+        slots = [(p, s) for p, s in clean if _hash(f"{p}\0{s}") not in template.constants]
+        most = MOST_CONSTANT if wanted in ("article", "spare") else MOST_ELSEWHERE
+        whole = sum(len(s) for _, s in clean)
+        if whole - sum(len(s) for _, s in slots) <= most * whole:
+            clean = slots
     if not wanted:
-        constants = template.get("constants") or ()
-        slots = [(p, s) for p, s in clean if not constants or _hash(f"{p}\0{s}") not in constants]
-        box = template.get("container")
-        inside = [(p, s) for p, s in slots if box and (p == box or p.startswith(box + ">"))]
-        clean = inside or slots or clean
+        clean = [(p, s) for p, s in clean if template.holds(p)] or clean
     return "\n\n".join(s for _, s in clean)
 
 
@@ -215,26 +310,29 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for rows of (page_id, url, html)."""
     url, html = F.coalesce(F.col("url").cast("string"), F.lit("")), F.col("html").cast("string")
     rows = pages.select("page_id", "url", F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)).alias("host"), html.alias("html"))
-    learnt = templates(rows.select("host", F.coalesce(F.col("page_id").cast("long"), F.xxhash64("url", "html")).alias("page"), "html"))
-    guarded = small(learnt)
-    joined = rows.join(guarded, "host", "left") if guarded is not learnt else hot_join(rows, learnt, "host", "left")
+    learnt = templates(rows.select("host", F.xxhash64("page_id", "url", "html").alias("page"), "html"))
+    spark, kinds = pages.sparkSession, "page_id long, url string, text string, n_chars long"
+    rows = rows.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html", "host")
+    letters = F.coalesce(F.size("constants"), F.lit(0)) * 20 + F.coalesce(F.length(F.array_join("slots", ">")), F.lit(0)) + F.length("host")
+    if (learnt.agg(F.sum(letters).alias("n")).first()["n"] or 0) <= MOST_BROADCAST:
+        known = spark.sparkContext.broadcast({r["host"]: Template.of(r["constants"], r["slots"], r["container"]) for r in learnt.collect()})  # MOST_BROADCAST characters at most
+        joined = rows
+    else:
+        known = None
+        joined = hot_join(rows, learnt, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, dict] = {}
         for batch in batches:
-            text = []
-            for body, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                key = t or "{}"
-                if key not in known:
-                    if len(known) > 1000:
-                        known.clear()
-                    known[key] = json.loads(key)
-                    known[key]["constants"] = frozenset(known[key].get("constants") or ())
-                text.append(page_text(body, known[key]))
+            bodies, hosts = batch.column("html").to_pylist(), batch.column("host").to_pylist()
+            if known is None:
+                found = (Template.of(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("constants", "slots", "container")), strict=True))
+            else:
+                found = (known.value.get(x, NO_TEMPLATE) for x in hosts)
+            text = [page_text(body, t) for body, t in zip(bodies, found, strict=True)]
             n = pa.array(np.array([len(s) for s in text], np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(text, pa.string()), n], names=["page_id", "url", "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(text, pa.string()), n], names=["page_id", "url", "text", "n_chars"])
 
-    return joined.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html", "template").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return joined.mapInArrow(run, kinds)
 
 
 def op2_main_text(spark, sf_dir: str) -> DataFrame:
