@@ -1,20 +1,28 @@
-"""Exact top-k search: Voronoi join over pivots with summary bounds.
+"""Exact top-k search: Voronoi join over pivots with summary bounds, own cells first.
 
-Data vectors go to the cell of their nearest pivot. For each cell Spark keeps a summary: how many vectors, the largest
-distance to the pivot, the largest norm. For a query q the cell's scores lie in q.p -+ |q| r, and no score exceeds
-|q| times the largest norm; the k-th best lower bound over all cells is a score that is surely reached, so a query is
-replicated only to cells whose upper bound is not below it. Cells are cut into chunks and a cell's queries into blocks,
-so that a group never grows with the data; each group is solved by one matrix product, and the best k of each query are
-merged by a window whose per-group limit Spark applies before its shuffle.
+Data vectors go to the cell of their nearest pivot; the number of pivots grows with the square root of the table, up to
+MOST_PIVOTS. For each cell Spark keeps a summary of its vectors relative to the pivot: how many, the largest distance, the
+largest norm, the range of their components along AXES common directions (those in which the pivots vary most), and the
+largest rest beside these directions. A query's scores in a cell are bounded by the least of three figures: q.p + |q| times the
+largest distance, |q| times the largest norm, and q.p plus the best corner of the ranges plus |rest of q| times the largest rest.
+
+In a first round each query is solved in the cells with the nearest pivots (by score) that hold more than k vectors, which gives a
+k-th score that is surely reached. In the second it is replicated only to those other cells whose bound is not below that score. Cells
+are cut into chunks and a cell's queries into blocks, so that a group never grows with the data; each group is solved by
+one matrix product, and the best k of each query are merged by a window whose per-group limit Spark applies before its shuffle.
+How much the bounds spare depends on the data: nothing where vectors point evenly into all directions, most where they are clustered
+(`report` gives the replicated share).
 
 Scores are integer inner products, exact as long as they stay below 2**63. Vectors that are null or hold null or non-finite
 components take no part; a vector of another length than the query's is no candidate of it. A null vec_id takes no
-part. Repeated rows are candidates of their own, but no row with the query's id is a candidate of it.
+part. Repeated rows are candidates of their own, but no row with the query's id is a candidate of it. Extra columns are not
+read, whatever their names. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +31,8 @@ from pyspark.sql import functions as F
 
 from ._spark import stored, table
 
-#: Pivots (a bounded sample, by hash of the id), vectors of a chunk, queries of a block.
-PIVOTS, CHUNK, BLOCK = 64, 1024, 1024
+#: Pivots at least and at most (a bounded sample, by hash of the id), common directions, vectors of a chunk, queries of a block.
+LEAST_PIVOTS, MOST_PIVOTS, AXES, CHUNK, BLOCK = 16, 2048, 16, 1024, 1024
 
 
 def integer_vectors(embeddings: DataFrame, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -49,41 +57,134 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64) if most < 2**53 else a @ b.T
 
 
-def _cells(batches: Iterator[pa.RecordBatch], pivots: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Cell (nearest pivot of the vector's length, or one cell for a length without pivots), distance, norm."""
+@dataclass
+class Pivots:
+    """The pivots of one length of vector, and the common directions as columns."""
+
+    p: np.ndarray
+    axes: np.ndarray
+
+    @staticmethod
+    def of(rows: np.ndarray) -> Pivots:
+        _, _, directions = np.linalg.svd(rows - rows.mean(0), full_matrices=False)
+        return Pivots(rows, directions[:AXES].T)
+
+    def nearest(self, x: np.ndarray) -> np.ndarray:
+        return ((self.p**2).sum(1) - 2 * x @ self.p.T).argmin(1)
+
+
+def _cells(batches: Iterator[pa.RecordBatch], pivots: dict[int, Pivots]) -> Iterator[pa.RecordBatch]:
+    """Cell of each vector: its nearest pivot, or one cell for a length without pivots."""
     for batch in batches:
-        cell, far, norm = (np.zeros(batch.num_rows, t) for t in (np.int32, float, float))
-        dim = np.zeros(batch.num_rows, np.int32)
+        cell, dim = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows, np.int32)
         for rows, v in _matrices(batch.column(1)):
-            x = v.astype(float)
-            norm[rows], dim[rows] = np.sqrt((x**2).sum(1)), v.shape[1]
+            dim[rows] = v.shape[1]
             if (p := pivots.get(v.shape[1])) is not None:
-                d = np.maximum((x**2).sum(1)[:, None] - 2 * x @ p.T + (p**2).sum(1), 0)
-                cell[rows] = d.argmin(1)
-                far[rows] = np.sqrt(((x - p[cell[rows]]) ** 2).sum(1))
-            else:
-                far[rows] = norm[rows]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(dim), pa.array(cell), pa.array(far), pa.array(norm)], names=["vec_id", "v", "dim", "cell", "far", "norm"])
+                for lo in range(0, len(rows), 4096):
+                    cell[rows[lo : lo + 4096]] = p.nearest(v[lo : lo + 4096].astype(float))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(dim), pa.array(cell)], names=["vec_id", "v", "dim", "cell"])
+
+
+#: Places of a summary's figures: ranges along the axes from 0 on, and these.
+_COUNT, _FAR, _NORM, _REST = -1, -2, -3, -4
 
 
-def _replicas(batches: Iterator[pa.RecordBatch], summary: dict[int, tuple], k: int) -> Iterator[pa.RecordBatch]:
-    """(query, cell) for every cell that may hold one of the query's k best."""
+def _summed(batches: Iterator[pa.RecordBatch], pivots: dict[int, Pivots]) -> Iterator[pa.RecordBatch]:
+    """This task's summaries as (dim, cell, place, least, most, n)."""
+    found: dict[tuple[int, int, int], list] = {}
     for batch in batches:
-        ids, vectors = batch.column(0), batch.column(1)
-        for rows, v in _matrices(vectors):
-            if v.shape[1] not in summary:
+        cells = batch.column(1).to_numpy()
+        for rows, v in _matrices(batch.column(0)):
+            d, x, cell = v.shape[1], v.astype(float), cells[rows]
+            p = pivots.get(d)
+            y = x - p.p[cell] if p else x
+            z = y @ p.axes if p else np.zeros((len(x), 0))
+            rest = np.sqrt(np.maximum((y**2).sum(1) - (z**2).sum(1), 0))
+            figures = {_FAR: np.sqrt((y**2).sum(1)), _NORM: np.sqrt((x**2).sum(1)), _REST: rest, _COUNT: rest, **{j: z[:, j] for j in range(z.shape[1])}}
+            order = np.argsort(cell, kind="stable")
+            head = np.flatnonzero(np.concatenate(([True], np.diff(cell[order]) > 0)))
+            many = np.diff(np.append(head, len(order)))
+            for place, f in figures.items():
+                f = f[order]
+                for c, lo, hi, n in zip(cell[order[head]].tolist(), np.minimum.reduceat(f, head).tolist(), np.maximum.reduceat(f, head).tolist(), many.tolist(), strict=True):
+                    old = found.setdefault((d, c, place), [lo, hi, 0])
+                    old[:] = min(old[0], lo), max(old[1], hi), old[2] + n
+    cols = zip(*((*k, *v) for k, v in found.items()), strict=True) if found else [()] * 6
+    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["dim", "cell", "place", "least", "most", "n"])
+
+
+@dataclass
+class Summary:
+    """The summaries of all cells of one length of vector."""
+
+    cells: np.ndarray
+    p: np.ndarray
+    axes: np.ndarray
+    count: np.ndarray
+    far: np.ndarray
+    norm: np.ndarray
+    rest: np.ndarray
+    least: np.ndarray
+    most: np.ndarray
+
+    def bounds(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(q.p, no score of the cell is above this) for each query and cell; a little is added for rounding."""
+        size = np.sqrt((q**2).sum(1))[:, None]
+        mid, z = q @ self.p.T, q @ self.axes
+        beside = np.sqrt(np.maximum(size**2 - (z**2).sum(1)[:, None], 0))
+        corner = np.maximum(z, 0) @ self.most.T + np.minimum(z, 0) @ self.least.T
+        high = np.minimum(np.minimum(mid + size * self.far, size * self.norm), mid + corner + beside * self.rest)
+        return mid, high + 1e-6 * (1 + size * (self.norm + self.far + np.sqrt((self.p**2).sum(1))))
+
+
+def _summaries(placed: DataFrame, pivots: dict[int, Pivots]) -> dict[int, Summary]:
+    """Of each length; the driver gets at most AXES + 4 rows for each pivot, and as many for each further length."""
+    part = placed.select("v", "cell").mapInArrow(lambda b: _summed(b, pivots), "dim int, cell int, place int, least double, most double, n long")
+    rows = part.groupBy("dim", "cell", "place").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.sum("n").alias("n")).collect()
+    out = {}
+    for d in {r["dim"] for r in rows}:
+        own = {(r["cell"], r["place"]): r for r in rows if r["dim"] == d}
+        cells = np.array(sorted({c for c, _ in own}))
+        p = pivots[d] if d in pivots else Pivots(np.zeros((1, d)), np.zeros((d, 0)))
+        get = lambda place, key: np.array([own[c, place][key] for c in cells.tolist()], float)  # noqa: B023, E731
+        ranges = [np.stack([get(j, k) for j in range(p.axes.shape[1])], 1) if p.axes.shape[1] else np.zeros((len(cells), 0)) for k in ("least", "most")]
+        out[d] = Summary(cells, p.p[cells], p.axes, get(_COUNT, "n"), get(_FAR, "most"), get(_NORM, "most"), get(_REST, "most"), *ranges)
+    return out
+
+
+def _first(batches: Iterator[pa.RecordBatch], summary, k: int) -> Iterator[pa.RecordBatch]:
+    """(query, cell) for the cells with the best pivots that hold more than k vectors together."""
+    for batch in batches:
+        for rows, v in _matrices(batch.column(1)):
+            if (s := summary.value.get(v.shape[1])) is None:
+                continue
+            mid, _ = s.bounds(v.astype(float))
+            order = np.argsort(-mid, axis=1, kind="stable")
+            before = np.cumsum(s.count[order], axis=1) - s.count[order]
+            at, c = np.nonzero(before <= k)
+            yield _rows(batch, rows[at], v.shape[1], s.cells[order[at, c]])
+
+
+def _second(batches: Iterator[pa.RecordBatch], summary, k: int) -> Iterator[pa.RecordBatch]:
+    """(query, cell) for every other cell that may hold a score as good as the query's k-th (column 2; none: all cells)."""
+    for batch in batches:
+        reached = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
+        for rows, v in _matrices(batch.column(1)):
+            if (s := summary.value.get(v.shape[1])) is None:
                 continue
-            cells, p, count, far, norm = summary[v.shape[1]]
-            q = v.astype(float)
-            size = np.sqrt((q**2).sum(1))[:, None]
-            mid, slack = q @ p.T, 1e-6 * (1 + size * (norm + far + np.sqrt((p**2).sum(1))))
-            low, high = mid - size * far - slack, np.minimum(mid + size * far, size * norm) + slack
-            order = np.argsort(-low, axis=1)
-            enough = (np.cumsum(count[order], axis=1) > k).argmax(1)  # k besides the query itself
-            sure = np.where(count.sum() > k, np.take_along_axis(low, order, 1)[np.arange(len(q)), enough], -np.inf)
-            at, c = np.nonzero(high >= sure[:, None])
-            take = pa.array(rows[at])
-            yield pa.RecordBatch.from_arrays([ids.take(take), vectors.take(take), pa.array(np.full(len(at), v.shape[1], np.int32)), pa.array(cells[c].astype(np.int32))], names=["query_id", "q", "dim", "cell"])
+            mid, high = s.bounds(v.astype(float))
+            order = np.argsort(-mid, axis=1, kind="stable")
+            done = np.zeros(mid.shape, bool)
+            np.put_along_axis(done, order, np.cumsum(s.count[order], axis=1) - s.count[order] <= k, axis=1)
+            sure = np.where(np.isnan(reached[rows]), -np.inf, reached[rows])
+            at, c = np.nonzero((high >= sure[:, None]) & ~done)
+            yield _rows(batch, rows[at], v.shape[1], s.cells[c])
+
+
+def _rows(batch: pa.RecordBatch, rows: np.ndarray, dim: int, cells: np.ndarray) -> pa.RecordBatch:
+    take = pa.array(rows)
+    return pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(np.full(len(rows), dim, np.int32)), pa.array(cells.astype(np.int32))], names=["query_id", "q", "dim", "cell"])
 
 
 def _solve(k: int):
@@ -113,28 +214,48 @@ def _solve(k: int):
     return run
 
 
-def top_k(data: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """(query_id, rank, vec_id, score) from (vec_id, v) of integer vectors; `queries` has the same columns."""
-    sample = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()  # PIVOTS rows
-    pivots = {d: np.array([r["v"] for r in sample if len(r["v"]) == d], float) for d in {len(r["v"]) for r in sample}}
-    placed = stored(data.mapInArrow(lambda b: _cells(b, pivots), "vec_id long, v array<long>, dim int, cell int, far double, norm double"))
-    groups = placed.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("far").alias("far"), F.max("norm").alias("norm"))
-    rows = groups.orderBy("dim", "cell").collect()  # PIVOTS rows, and one for each further length
-    summary = {}
-    for d in {r["dim"] for r in rows}:
-        own = [r for r in rows if r["dim"] == d]
-        cells = np.array([r["cell"] for r in own])
-        p = pivots[d][cells] if d in pivots else np.zeros((1, d))
-        summary[d] = (cells, p, *(np.array([float(r[c]) for r in own]) for c in ("n", "far", "norm")))
-    asked = stored(queries.mapInArrow(lambda b: _replicas(b, summary, k), "query_id long, q array<long>, dim int, cell int"))
+def _pivots(data: DataFrame) -> dict[int, Pivots]:
+    """By length of vector, from a sample of about as many vectors as there shall be pivots."""
+    n = data.count()
+    wanted = min(MOST_PIVOTS, max(LEAST_PIVOTS, int(n**0.5)))
+    share = min(1.0, 1.5 * wanted / max(n, 1))
+    lot = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = data.where(lot).limit(2 * wanted).collect()  # a bounded sample; which vectors are pivots changes no result
+    rows = {d: np.unique(np.array([r["v"] for r in sample if len(r["v"]) == d], float), axis=0) for d in {len(r["v"]) for r in sample}}
+    return {d: Pivots.of(x) for d, x in rows.items() if d and len(x) > 1}
+
+
+def _solved(placed: DataFrame, groups: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score): the k best of each chunk for the queries that were sent to its cell."""
     load = asked.groupBy("dim", "cell").agg(F.count("*").alias("asked"))
     plan = F.broadcast(stored(groups.join(load, ["dim", "cell"]).select("dim", "cell", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"), F.ceil(F.col("asked") / BLOCK).cast("int").alias("blocks"))))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = placed.join(plan, ["dim", "cell"]).select("dim", "cell", F.pmod(F.xxhash64("vec_id"), "chunks").cast("int").alias("chunk"), each("blocks").alias("block"), "vec_id", "v")
     right = asked.join(plan, ["dim", "cell"]).select("dim", "cell", each("chunks").alias("chunk"), F.pmod(F.xxhash64("query_id"), "blocks").cast("int").alias("block"), "query_id", "q")
     keys = ["dim", "cell", "chunk", "block"]
-    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_solve(k), "query_id long, vec_id long, score long")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_solve(k), "query_id long, vec_id long, score long")
+
+
+def top_k(data: DataFrame, queries: DataFrame, k: int = 5, report: dict | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score) from (vec_id, v) of integer vectors; `queries` has the same columns.
+
+    `report` gets the (query, cell) pairs there are, and those that the bounds left to be compared.
+    """
+    pivots = _pivots(data)
+    schema = "query_id long, q array<long>, dim int, cell int"
+    placed = stored(data.mapInArrow(lambda b: _cells(b, pivots), "vec_id long, v array<long>, dim int, cell int"))
+    found = _summaries(placed, pivots)
+    summary = data.sparkSession.sparkContext.broadcast(found)
+    groups = stored(placed.groupBy("dim", "cell").agg(F.count("*").alias("n")))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    first = stored(queries.mapInArrow(lambda b: _first(b, summary, k), schema))
+    near = stored(_solved(placed, groups, first, k).withColumn("rank", rank).where(F.col("rank") <= k))
+    reached = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "score")
+    second = stored(queries.join(reached, "vec_id", "left").select("vec_id", "v", "score").mapInArrow(lambda b: _second(b, summary, k), schema))
+    if report is not None:
+        lengths = {r["d"]: r["n"] for r in queries.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect()}
+        report |= {"pairs": sum(n * len(found[d].cells) for d, n in lengths.items() if d in found), "compared": first.count() + second.count()}
+    best = near.drop("rank").unionAll(_solved(placed, groups, second, k))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
