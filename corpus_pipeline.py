@@ -31,7 +31,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no language that was learnt, or without a letter, go."""
-    names, matrix = language.train(docs)
+    names, matrix = language.train(docs.where(~quality.held_out(3, 1) & F.col("doc_id").isNotNull()))
     return language.identified(docs, names, matrix, LANGUAGE) if names else docs
 
 
