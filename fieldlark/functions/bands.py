@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Markers, scales and ranges of byte images.
 NODATA, HIGHEST = 255, 250
 #: Scale and offset of packed bytes, by index.
 PACKING = {"ndvi": (0.004, -0.08), "bsi": (0.004, -0.08), "dprvi": (0.004, 0.0), "rvi": (0.004, 0.0)}

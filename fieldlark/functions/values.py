@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Right-closed bins of pixel counts.
+# Edges of the right-closed bins of pixel counts; the divisors and the log constant of the scaling rules stand in them.
 EDGES = (0, 1, 5, 10, 20, 30, 40, 50, 100, 200, 1000, 5000, 10000)
 
 
@@ -23,9 +23,22 @@ def log_scaled(value: Column) -> Column:
     return F.when(value > 0, F.ln(value) * 0.21714724095 + 1)
 
 
-def min_max(value: Column, *by: str) -> Column:
-    w = Window.partitionBy(*by)
-    return F.try_divide(value - F.min(value).over(w), F.max(value).over(w) - F.min(value).over(w))
+def min_max(rows: DataFrame, value: str, *by: str, name: str = "min_max") -> DataFrame:
+    """A column brought to 0..1 within each group of `by`, or over all rows; null where all values are equal."""
+    ends = rows.groupBy(*(F.col(c).alias(f"_{c}") for c in by)).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    joined = rows.join(ends, on) if by else rows.crossJoin(F.broadcast(ends))  # without groups a single row
+    return joined.withColumn(name, F.try_divide(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo"))).drop("_lo", "_hi", *(f"_{c}" for c in by))
+
+
+def numeric_columns(rows: DataFrame) -> DataFrame:
+    """(name, numeric) of every text column: whether all values that are there read as numbers, and there is one. One pass."""
+    names = [f.name for f in rows.schema if f.dataType.simpleString() == "string"]
+    bad = lambda c: F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast("double").isNull())
+    found = rows.agg(*(e.alias(f"{k}{i}") for i, c in enumerate(names) for k, e in (("b", bad(c)), ("n", F.count(f"`{c}`")))))
+    return found.select(F.inline(F.array(*(F.struct(F.lit(c).alias("name"), ((F.col(f"b{i}") == 0) & (F.col(f"n{i}") > 0)).alias("numeric")) for i, c in enumerate(names)))))
 
 
 def clipped(value: Column, low: float | None = None, high: float | None = None) -> Column:

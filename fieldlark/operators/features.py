@@ -15,15 +15,20 @@ def statistics(values: DataFrame, keys: list[str], value: str = "value") -> Data
 
     Minority and majority are the least and most frequent values, the smaller one of equals.
     """
-    v = F.col(value)
-    counts = values.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count("*").alias("_n"))
-    rank = F.struct("_n", -F.col("_v")).alias("_r")
-    ends = counts.groupBy(*keys).agg(F.max_by("_v", rank).alias("majority"), F.min_by("_v", F.struct("_n", "_v")).alias("minority"))
-    base = values.groupBy(*keys).agg(
-        F.count(v).alias("count"), F.sum(v).alias("sum"), F.avg(v).alias("mean"), F.median(v).alias("median"), F.stddev_pop(v).alias("std"),
-        F.min(v).alias("min"), F.max(v).alias("max"), (F.max(v) - F.min(v)).alias("range"), F.var_pop(v).alias("variance"),
+    counts = values.groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_m"))
+    # all from the counts of distinct values, so that one group by the keys alone remains
+    v, there = F.col("_v"), F.col("_v").isNotNull()
+    n = F.sum(F.when(there, F.col("_m")).otherwise(0))
+    x = v.cast("double")
+    out = counts.groupBy(*keys).agg(
+        n.alias("count"), F.sum(x * F.col("_m")).alias("sum"), F.sum(x * x * F.col("_m")).alias("_squares"), F.percentile(x, F.lit(0.5), F.col("_m")).alias("median"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.max_by("_v", F.when(there, F.struct("_m", -v))).alias("majority"), F.min_by("_v", F.when(there, F.struct("_m", "_v"))).alias("minority"),
     )
-    return base.join(ends, keys, "left")
+    mean = F.try_divide(F.col("sum"), F.col("count"))
+    out = out.withColumns({"mean": mean, "range": F.col("max") - F.col("min")})
+    spread = F.when(F.col("min") == F.col("max"), 0.0).otherwise(F.greatest(F.col("_squares") / F.col("count") - F.col("mean") * F.col("mean"), F.lit(0.0)))
+    out = out.withColumn("variance", F.when(F.col("count") > 0, spread)).withColumn("std", F.sqrt("variance"))
+    return out.select(*keys, "count", "sum", "mean", "median", "std", "min", "max", "range", "variance", "majority", "minority")
 
 
 def wanted_slices(zonal: DataFrame, profiles: list[str], start: str, end: str, bands: list[str] | None = None, reducer: str | None = None) -> DataFrame:
@@ -81,10 +86,25 @@ def out_of_range(matrix: DataFrame, names: list[str], low: float = 0.0, high: fl
     return bounds.select(F.inline(rows)).where((F.col("lowest") < low) | (F.col("highest") > high))
 
 
+def feature_rows(matrix: DataFrame, id_col: str = "uid") -> DataFrame:
+    """The features as rows, one for each parcel and feature."""
+    return matrix.unpivot(id_col, [c for c in matrix.columns if c != id_col], "feature", "value")
+
+
 def one_parcel(matrix: DataFrame, uid: str, id_col: str = "uid") -> DataFrame:
     """A parcel's features as rows."""
-    names = [c for c in matrix.columns if c != id_col]
-    return matrix.where(F.col(id_col) == uid).unpivot(id_col, names, "feature", "value")
+    return feature_rows(matrix.where(F.col(id_col) == uid), id_col)
+
+
+def with_features(sample: DataFrame, matrix: DataFrame, id_col: str = "uid") -> DataFrame:
+    """The rows of a training, test or prediction sample that have features, with them."""
+    new = [c for c in matrix.columns if c == id_col or c not in sample.columns]
+    return sample.join(matrix.select(*new), id_col, "inner")
+
+
+def largest(matrix: DataFrame, names: list[str], n: int = 1000, id_col: str = "uid") -> DataFrame:
+    """(uid, highest): the n parcels with the greatest feature value; ties by id."""
+    return matrix.select(id_col, F.greatest(*(F.col(f"`{c}`") for c in names)).alias("highest")).orderBy(F.desc_nulls_last("highest"), id_col).limit(n)
 
 
 def best_pixel_count(zonal: DataFrame, profile_prefix: str = "s1", id_col: str = "uid") -> DataFrame:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import differs, same, starts, within
@@ -70,13 +69,14 @@ def look_up(rows: DataFrame, lut: DataFrame, on: str, key: str, suffix: str = ""
     given = lut.withColumnsRenamed({c: f"{c}{suffix}" for c in lut.columns})
     new = [c for c in given.columns if c not in rows.columns and c != f"{key}{suffix}"]
     given = given.select(F.col(f"{key}{suffix}").alias("_key"), *new)
-    return rows.join(F.broadcast(given), code_key(F.col(on)) == F.col("_key"), "left").drop("_key")
+    return rows.join(given, code_key(F.col(on)) == F.col("_key"), "left").drop("_key")
 
 
-def drop_small(label: Column, least: int) -> Column:
-    """Classes with fewer rows than `least` are ignored."""
-    n = F.count("*").over(Window.partitionBy(label))
-    return F.when(label.isNotNull() & (n < least), FEW).otherwise(label)
+def drop_small(rows: DataFrame, label: str, least: int, name: str = "classname") -> DataFrame:
+    """Classes with fewer rows than `least` are ignored. The small ones are found by an aggregation and joined as a short list."""
+    few = rows.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("_few")).agg(F.count("*").alias("_n")).where(F.col("_n") < least).select("_few")
+    out = rows.join(few, F.col(label) == F.col("_few"), "left")
+    return out.withColumn(name, F.when(F.col("_few").isNotNull(), FEW).otherwise(F.col(label))).drop("_few")
 
 
 def marker_class(looked_up: Column, method: Column, m: Marker) -> Column:
@@ -97,11 +97,10 @@ def plain_labels(parcels: DataFrame, lut: DataFrame, marker: str, least: int, cl
     rows = parcels if m.crops is None else parcels.where(within(code_key(F.col(f.crop)), m.crops))
     rows = look_up(rows, lut.select(key, F.col(class_col).alias("_class")), f.crop, key)
     rows = rows.withColumn("classname_declared", marker_class(F.col("_class"), F.col(f.method), m)).drop("_class")
-    name = F.col("classname_declared")
     if least > 1 and (m.always_drop_small or not ground_truth):
-        rows = rows.withColumn("classname", drop_small(name, least))
+        rows = drop_small(rows, "classname_declared", least)
     else:
-        rows = rows.withColumn("classname", name)
+        rows = rows.withColumn("classname", F.col("classname_declared"))
     if early:
         rows = rows.withColumns({c: early_class(F.col(c), f) for c in ("classname", "classname_declared")})
     return tidy(rows, f)
@@ -133,18 +132,25 @@ def late_labels(parcels: DataFrame, lut: DataFrame, scope: str, least: int, clas
         lasting = same(F.col(f"{permanent}_main").cast("int"), F.lit(1)) & differs(F.col(f"{grass}_main").cast("int"), F.lit(1))
         rows = rows.withColumn("classname", F.when((F.col("classname") == UNKNOWN) & lasting, PERMANENT).otherwise(F.col("classname")))
     if least > 1 and not ground_truth:
-        rows = rows.withColumn("classname", drop_small(F.col("classname"), least))
+        rows = drop_small(rows, "classname", least)
     rows = rows.withColumn("classname_declared", F.col("classname"))
     if score is not None:
-        rows = rows.withColumn("correction", corrections(F.col(score)))
+        rows = corrections(rows, score)
     return tidy(rows, f)
 
 
-def corrections(name: Column) -> Column:
-    """Scores as shares of the greatest; an error if that is 0."""
-    value = trailing_number(name)
-    most = F.max(value).over(Window.partitionBy(F.lit(0)))
-    return F.when(most == 0, F.raise_error(F.lit("the greatest score is 0")).cast("double")).otherwise(value / most)
+def corrections(rows: DataFrame, score: str, name: str = "correction") -> DataFrame:
+    """Scores at the end of class names as shares of the greatest; an error if that is 0."""
+    value = trailing_number(F.col(score))
+    most = rows.agg(F.max(value).alias("_most"))  # one row
+    share = F.when(F.col("_most") == 0, F.raise_error(F.lit("the greatest score is 0")).cast("double")).otherwise(value / F.col("_most"))
+    return rows.crossJoin(F.broadcast(most)).withColumn(name, share).drop("_most")
+
+
+def whitelisted(rows: DataFrame, id_col: str = "uid", classes: tuple[str, ...] = ("classname", "classname_declared"), export: tuple[str, ...] = (), domain: tuple[str, ...] = ()) -> DataFrame:
+    """The id, the class columns, and those export and domain columns that are there, in this order, once each."""
+    wanted = dict.fromkeys((id_col, *classes, *export, *domain))
+    return rows.select(*(c for c in wanted if c in rows.columns))
 
 
 def tidy(rows: DataFrame, f: Fields) -> DataFrame:
@@ -164,8 +170,5 @@ def prepare(parcels: DataFrame, lut: DataFrame, class_type: str, least: int, cla
     return plain_labels(parcels, checked_lookup(lut, key), base, least, class_col, truth, early, f, key)
 
 
-#: Every rule set by name, for configuration.
-RULES: dict[str, Callable[..., DataFrame]] = {
-    f"{m}{e}{t}": (lambda parcels, lut, least, class_col, _n=f"{m}{e}{t}", **kw: prepare(parcels, lut, _n, least, class_col, **kw)) for m in [*MARKERS, "LATECROP"] for e in ("", "-EARLY") for t in ("", "-GROUNDTRUTH")
-}
-__all__ = ["Fields", "MARKERS", "RULES", "Marker", "checked_lookup", "corrections", "drop_small", "early_class", "late_labels", "look_up", "marker_class", "plain_labels", "prepare", "replace"]
+#: Every class type: the markers, plain and for early crops, and late crops in their scopes; each as ground truth too.
+CLASS_TYPES = [f"{m}{t}" for m in (*(f"{x}{e}" for x in MARKERS for e in ("", "-EARLY")), *(f"LATECROP{e}" for e in ("-ALL", "-EARLY", "-LATE"))) for t in ("", "-GROUNDTRUTH")]

@@ -1,7 +1,8 @@
 """Pixel tables: cloud masks, temporal composites, best available pixels, neighbourhood filters.
 
-A pixel is (tile, row, col); an image is a pixel table of one acquisition. Neighbourhoods never collect a tile: every
-pixel is sent to the cells around it, and one aggregation per pass sums them up.
+A pixel is (tile, row, col); an image is a pixel table of one acquisition. Neighbourhoods never collect a tile: one pass
+along the columns and one along the rows send each pixel to the cells on its line, and an aggregation sums them up; a pixel's own
+columns travel with the cell it stands on, so that nothing is joined back.
 """
 
 from __future__ import annotations
@@ -44,10 +45,11 @@ def without_cloudy_images(pixels: DataFrame, image: list[str], most_pct: float =
     return pixels.join(good.select(*image), image, "left_semi")
 
 
-def composite(pixels: DataFrame, keys: list[str], bands: list[str], reducer: str, ts: str = "ts") -> DataFrame:
-    """One value a band for every key (pixel and period) from all images."""
-    f = REDUCERS[reducer]
-    return pixels.groupBy(*keys).agg(*(f(F.col(b), F.col(ts)).alias(b) for b in bands))
+def composite(pixels: DataFrame, keys: list[str], bands: list[str], reducer: str | list[str], ts: str = "ts") -> DataFrame:
+    """One value a band for every key (pixel and period) from all images; of several reducers, as columns band_reducer, in one aggregation."""
+    if isinstance(reducer, str):
+        return pixels.groupBy(*keys).agg(*(REDUCERS[reducer](F.col(b), F.col(ts)).alias(b) for b in bands))
+    return pixels.groupBy(*keys).agg(*(REDUCERS[r](F.col(b), F.col(ts)).alias(f"{b}_{r}") for b in bands for r in reducer))
 
 
 def scene_counts(pixels: DataFrame, zone: list[str], scl: str = "scl") -> DataFrame:
@@ -58,32 +60,38 @@ def scene_counts(pixels: DataFrame, zone: list[str], scl: str = "scl") -> DataFr
     return out.withColumn("nb_bad_pixels", sum((F.col(c) for c in BAD), F.lit(0)))
 
 
-def neighbours(pixels: DataFrame, half: int, values: list[str], rows_only: bool = False, cols_only: bool = False) -> DataFrame:
-    """Each pixel's values sent to all cells of the window around it, with the offsets."""
+def along(rows: DataFrame, axis: str, half: int, columns: dict[str, Column], own: str = "_own") -> DataFrame:
+    """Each cell's aggregates of what lies up to `half` away on its line; `_off` is the offset, `own` what the cell itself carries."""
     step = F.array(*(F.lit(i) for i in range(-half, half + 1)))
-    zero = F.array(F.lit(0))
-    out = pixels.select(*PIXEL, *values, F.explode(zero if cols_only else step).alias("dr"))
-    out = out.withColumn("dc", F.explode(zero if rows_only else step))
-    return out.select("tile", (F.col("row") + F.col("dr")).alias("row"), (F.col("col") + F.col("dc")).alias("col"), *values, "dr", "dc")
+    keys = [c for c in rows.columns if c in PIXEL]
+    near = rows.withColumn("_off", F.explode(step)).withColumn(axis, F.col(axis) + F.col("_off"))
+    mine = F.flatten(F.collect_list(F.when(F.col("_off") == 0, F.col(own)))).alias(own)
+    return near.groupBy(*keys).agg(mine, *(c.alias(n) for n, c in columns.items()))
 
 
-def focal(pixels: DataFrame, size: int, aggregates: dict[str, Column], values: list[str], without_centre: bool = False) -> DataFrame:
-    """Aggregates over the size x size window of every pixel of the table; cells outside it don't count."""
-    near = neighbours(pixels, size // 2, values)
-    if without_centre:
-        near = near.where("dr <> 0 or dc <> 0")
-    found = near.groupBy(*PIXEL).agg(*(c.alias(n) for n, c in aggregates.items()))
-    return pixels.join(found, PIXEL, "left")
+def window(pixels: DataFrame, half: int, start: dict[str, Column], fold: dict[str, Column]) -> DataFrame:
+    """Every pixel with aggregates over the square around it, in two passes; `fold` combines the columns of `start` with themselves."""
+    own = F.array(F.struct(*(c for c in pixels.columns if c not in PIXEL))) if set(pixels.columns) - set(PIXEL) else F.array(F.struct(F.lit(0).alias("_none")))
+    rows = pixels.select(*PIXEL, own.alias("_own"), *(c.alias(n) for n, c in start.items()))
+    for axis in ("row", "col"):
+        rows = along(rows, axis, half, fold)
+    return rows.select(*PIXEL, F.inline("_own"), *start).drop("_none")
 
 
 def focal_mean(pixels: DataFrame, size: int, value: str = "value", without_centre: bool = False, name: str = "focal_mean") -> DataFrame:
-    return focal(pixels, size, {name: F.avg(value)}, [value], without_centre)
+    """The mean over the size x size window of every pixel; cells outside the table, and nulls, don't count."""
+    start = {"_s": F.coalesce(F.col(value).cast("double"), F.lit(0.0)), "_n": F.col(value).isNotNull().cast("long")}
+    near = window(pixels, size // 2, start, {"_s": F.sum("_s"), "_n": F.sum("_n")})
+    s, n = F.col("_s"), F.col("_n")
+    if without_centre:
+        s, n = s - F.coalesce(F.col(value).cast("double"), F.lit(0.0)), n - F.col(value).isNotNull().cast("long")
+    return near.withColumn(name, F.try_divide(s, n)).drop("_s", "_n")
 
 
 def dilated_cloud(pixels: DataFrame, half: int, scl: str = "scl") -> DataFrame:
     """A flag `near_cloud`: a cloud within `half` pixels."""
-    flagged = pixels.withColumn("_cloud", F.col(scl).isin(*CLOUDS).cast("int"))
-    return focal(flagged, 2 * half + 1, {"_near": F.max("_cloud")}, ["_cloud"]).withColumn("near_cloud", F.coalesce(F.col("_near") == 1, F.lit(False))).drop("_cloud", "_near")
+    near = window(pixels, half, {"_near": F.coalesce(F.col(scl).isin(*CLOUDS), F.lit(False)).cast("int")}, {"_near": F.max("_near")})
+    return near.withColumn("near_cloud", F.col("_near") == 1).drop("_near")
 
 
 def lee_enhanced(pixels: DataFrame, size: int, value: str = "value", looks: float = 10.0, damping: float = 10.0, without_centre: bool = True) -> DataFrame:
@@ -93,7 +101,7 @@ def lee_enhanced(pixels: DataFrame, size: int, value: str = "value", looks: floa
     """
     mean = focal_mean(pixels, size, value, without_centre, "_mean")
     off = mean.withColumn("_sq", F.pow(F.col(value) - F.col("_mean"), 2.0))
-    both = focal(off, size, {"_var": F.avg("_sq")}, ["_sq"], without_centre)
+    both = focal_mean(off, size, "_sq", without_centre, "_var").withColumn("_var", F.greatest("_var", F.lit(0.0)))
     m, x = F.col("_mean"), F.col(value)
     ci = F.try_divide(F.sqrt("_var"), m)
     cu, cmax = (1 / looks) ** 0.5, (1 + 2 * looks) ** 0.5
@@ -106,26 +114,23 @@ def distance_score(pixels: DataFrame, half: int = 5, sigma: float = 1.0, scl: st
     """`dtc`: 1 minus the gaussian-smoothed cloud flag, in one pass along rows and one along columns."""
     weight = [2.718281828459045 ** (-(i * i) / (2 * sigma * sigma)) for i in range(-half, half + 1)]
     weights = F.array(*(F.lit(x / sum(weight)) for x in weight))
-    out = pixels.withColumn("_s", F.coalesce(F.col(scl), F.lit(0)).isin(*CLOUDS).cast("double"))
-    keyed = out.withColumn("tile", F.struct("tile", image))
-    for rows_only, off in ((True, "dr"), (False, "dc")):
-        near = neighbours(keyed, half, ["_s"], rows_only=rows_only, cols_only=not rows_only)
-        summed = near.groupBy(*PIXEL).agg(F.sum(F.col("_s") * F.get(weights, F.col(off) + half)).alias("_n"))
-        keyed = keyed.join(summed, PIXEL).drop("_s").withColumnRenamed("_n", "_s")
-    return keyed.withColumn("tile", F.col("tile.tile")).withColumn("dtc", 1 - F.col("_s")).drop("_s")
+    cloud = F.coalesce(F.col(scl), F.lit(0)).isin(*CLOUDS).cast("double")
+    keyed = pixels.withColumn("tile", F.struct("tile", image))  # images of their own
+    near = window(keyed, half, {"_s": cloud}, {"_s": F.sum(F.col("_s") * F.get(weights, F.col("_off") + half))})
+    return near.withColumns({"tile": F.col("tile.tile"), "dtc": 1 - F.col("_s")}).drop("_s")
 
 
-def best_pixels(pixels: DataFrame, bands: list[str], day: str = "day", image: str = "image", scl: str = "scl", weights: tuple[float, float, float] = (1.0, 0.8, 0.5)) -> DataFrame:
+def best_pixels(pixels: DataFrame, bands: list[str], day: str = "day", image: str = "image", scl: str = "scl", weights: tuple[float, float, float] = (1.0, 0.8, 0.5), tie: str | None = None) -> DataFrame:
     """For each pixel and month the image with the highest score of cloud distance, date and coverage.
 
-    Needs `dtc`. No-data and cloudy pixels take no part; ties go to the first day.
+    Needs `dtc`. No-data and cloudy pixels take no part; scores have nine digits, ties go to the first day, then to the least `tie` (the image).
     """
     cover = cloud_share(pixels, [image], scl).select(image, "coverage")
     a, b, c = weights
-    rows = pixels.join(F.broadcast(cover), image)
-    rows = rows.withColumn("score", (a * F.col("dtc") + b * date_score(F.col(day)) + c * F.col("coverage")) / (a + b + c))
+    rows = pixels.join(cover, image)
+    rows = rows.withColumn("score", (a * F.col("dtc") + b * date_score(F.col(day)) + c * F.col("coverage")) / (a + b + c)).withColumn("score", F.round("score", 9))
     rows = rows.where(~F.coalesce(F.col(scl), F.lit(0)).isin(0, *CLOUDS)).withColumn("month", F.trunc(day, "month"))
-    best = F.row_number().over(Window.partitionBy(*PIXEL, "month").orderBy(F.desc("score"), day, image))
+    best = F.row_number().over(Window.partitionBy(*PIXEL, "month").orderBy(F.desc("score"), day, tie or image))
     return rows.withColumn("_r", best).where("_r = 1").select(*PIXEL, "month", day, "score", *bands)
 
 

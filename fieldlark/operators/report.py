@@ -128,37 +128,36 @@ def confusion(rows: DataFrame, truth: str, pred: str, labels: list[str]) -> Data
     return rows.groupBy(F.col(truth).alias("class")).pivot(pred, labels).count().na.fill(0)
 
 
-def class_scores(rows: DataFrame, truth: str, pred: str) -> DataFrame:
-    """For each label of either column its counts, shares and F1; undefined ratios are 0."""
-    pairs = rows.groupBy(F.col(truth).alias("t"), F.col(pred).alias("p")).agg(F.count("*").alias("n"))
-    by_t = pairs.groupBy(F.col("t").alias("label")).agg(F.sum("n").alias("nb_input"), F.sum(F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0)).alias("hit"))
-    by_p = pairs.groupBy(F.col("p").alias("label")).agg(F.sum("n").alias("nb_predicted"))
-    both = by_t.join(by_p, "label", "full_outer").na.fill(0).withColumnRenamed("hit", "nb_predicted_correct")
+def class_scores(rows: DataFrame, truth: str, pred: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """For each label of either column its counts, shares and F1, within each group of `by`; undefined ratios are 0."""
+    pairs = rows.groupBy(*by, F.col(truth).alias("t"), F.col(pred).alias("p")).agg(F.count("*").alias("n"))
+    # each count stands once under its true and once under its predicted label: one more aggregation, no join
+    hit = F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0)
+    sides = F.array(F.struct(F.col("t").alias("label"), F.col("n").alias("a"), F.lit(0).cast("long").alias("b"), hit.alias("h")), F.struct(F.col("p").alias("label"), F.lit(0).cast("long").alias("a"), F.col("n").alias("b"), F.lit(0).cast("long").alias("h")))
+    both = pairs.select(*by, F.inline(sides)).groupBy(*by, "label").agg(F.sum("a").alias("nb_input"), F.sum("h").alias("nb_predicted_correct"), F.sum("b").alias("nb_predicted"))
     zero = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
     n, p, c = F.col("nb_input"), F.col("nb_predicted"), F.col("nb_predicted_correct")
     return both.withColumns({"nb_predicted_wrong": p - c, "pct_correct": zero(100.0 * c, n), "pct_wrong": zero(100.0 * (p - c), n), "precision": zero(c, p), "recall": zero(c, n), "f1": zero(2.0 * c, n + p)})
 
 
-def accuracy(rows: DataFrame, truth: str, pred: str) -> DataFrame:
+def accuracy(rows: DataFrame, truth: str, pred: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Accuracy, macro precision, recall and F1 over the labels of both columns, and F1 weighted by truth, as percentages."""
-    s = class_scores(rows, truth, pred)
+    s = class_scores(rows, truth, pred, by)
     n = F.sum("nb_input")
-    return s.agg(
+    return s.groupBy(*by).agg(
         F.try_divide(100.0 * F.sum("nb_predicted_correct"), n).alias("accuracy"), (100 * F.avg("precision")).alias("precision_macro"), (100 * F.avg("recall")).alias("recall_macro"),
         (100 * F.avg("f1")).alias("f1_macro"), F.try_divide(100.0 * F.sum(F.col("f1") * F.col("nb_input")), n).alias("f1_weighted"), n.alias("n"),
     )
 
 
 def accuracies(rows: DataFrame, truth: str, standard: str, full: str, not_used: list[str]) -> DataFrame:
-    """Three subsets of parcels by two kinds of prediction."""
-    used = rows.where(~within(F.col(truth), not_used))
-    sure = used.where(~within(F.col(full), ["NODATA", "DOUBT:NOT_ENOUGH_PIXELS"]))
-    out = None
-    for subset, part in (("all", rows), ("used_classes", used), ("used_classes_with_data", sure)):
-        for kind, pred in (("standard", standard), ("consolidated", full)):
-            one = accuracy(part, truth, pred).select(F.lit(subset).alias("subset"), F.lit(kind).alias("kind"), "*")
-            out = one if out is None else out.unionByName(one)
-    return out
+    """Three subsets of parcels by two kinds of prediction; each row is dealt to its subsets and kinds at once."""
+    used = ~within(F.col(truth), not_used)
+    sure = used & ~within(F.col(full), ["NODATA", "DOUBT:NOT_ENOUGH_PIXELS"])
+    subsets = F.filter(F.array(F.lit("all"), F.when(used, "used_classes"), F.when(sure, "used_classes_with_data")), lambda x: x.isNotNull())
+    kinds = F.array(F.struct(F.lit("standard").alias("kind"), F.col(standard).alias("_pred")), F.struct(F.lit("consolidated").alias("kind"), F.col(full).alias("_pred")))
+    dealt = rows.select(F.col(truth).alias("_truth"), F.explode(subsets).alias("subset"), kinds.alias("_k")).select("_truth", "subset", F.inline("_k"))
+    return accuracy(dealt, "_truth", "_pred", ("subset", "kind"))
 
 
 def accuracy_by_pixels(rows: DataFrame, truth: str, pred: str, pixels: str = "pixcount", most: int = 39) -> DataFrame:
@@ -168,6 +167,12 @@ def accuracy_by_pixels(rows: DataFrame, truth: str, pred: str, pixels: str = "pi
     return few.crossJoin(n).select(pixels, "n", (100 * F.col("oa")).alias("oa"), (100.0 * F.col("n") / F.col("_all")).alias("pct_all"))
 
 
+def split_unimportant(rows: DataFrame, unimportant: list[str], declared: str = "classname_declared") -> tuple[DataFrame, DataFrame]:
+    """(rows that are reported, rows of unimportant classes); without a declared class a row is reported."""
+    aside = within(F.col(declared), unimportant)
+    return rows.where(~aside), rows.where(aside)
+
+
 def with_training_flag(rows: DataFrame, train: DataFrame, id_col: str = "uid") -> DataFrame:
     ids = train.select(id_col).distinct().withColumn("used_for_train", F.lit(True))
     return rows.join(ids, id_col, "left").na.fill({"used_for_train": False})

@@ -1,6 +1,8 @@
 """Deterministic sampling: folds, test splits and class balancing with exact quotas.
 
-Random order is the order of md5(seed, id), which every engine computes alike.
+Random order is the order of md5(seed, id), which every engine computes alike. Ranks within a class are made in two levels: rows
+fall into ordered buckets, a table of (class, bucket) counts gives each bucket its first rank, and only a bucket is sorted. A class that
+holds most of the rows is dealt with by as many tasks as there are buckets.
 """
 
 from __future__ import annotations
@@ -21,16 +23,45 @@ def class_counts(rows: DataFrame, class_col: str) -> DataFrame:
     return rows.groupBy(class_col).agg(F.count("*").alias("n"))
 
 
+def hash_bucket(hashed: Column) -> Column:
+    """The order's first two hexadecimal digits: BUCKETS even buckets of a hash."""
+    return F.conv(F.substring(hashed, 1, 2), 16, 10).cast("int")
+
+
+def range_bucket(rows: DataFrame, column: str, buckets: int = 64) -> Column:
+    """Buckets in the order of a column, with bounds from a bounded sample of its values; the bounds change no rank."""
+    values = sorted(r[0] for r in rows.where(F.col(column).isNotNull()).select(column).distinct().orderBy(F.xxhash64(column)).limit(20 * buckets).collect())
+    bounds = [values[i * len(values) // buckets] for i in range(1, buckets)] if len(values) >= buckets else values
+    kind = f"array<{rows.schema[column].dataType.simpleString()}>"
+    return F.size(F.filter(F.array(*map(F.lit, bounds)).cast(kind), lambda b: b <= F.col(column))) if bounds else F.lit(0)
+
+
+def ranked(rows: DataFrame, class_col: str, order: list[Column | str], bucket: Column) -> DataFrame:
+    """Columns _rank (from 1, in `order`) and _n (rows of the class); `bucket` rises with the order."""
+    rows = rows.withColumn("_b", F.coalesce(bucket, F.lit(-1)))
+    counts = rows.groupBy(F.col(class_col).alias("_c"), "_b").agg(F.count("*").alias("_m"))
+    w = Window.partitionBy("_c")  # of at most one row for each bucket
+    first = counts.select("_c", F.col("_b").alias("_bb"), F.sum("_m").over(w).alias("_n"), (F.sum("_m").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_m")).alias("_before"))
+    joined = rows.join(first, F.col(class_col).eqNullSafe(F.col("_c")) & (F.col("_b") == F.col("_bb")))
+    own = F.row_number().over(Window.partitionBy(class_col, "_b").orderBy(*order))
+    return joined.withColumn("_rank", F.col("_before") + own).drop("_b", "_bb", "_c", "_before")
+
+
+def by_hash(rows: DataFrame, class_col: str, id_col: str, seed: str) -> DataFrame:
+    """`ranked` in random order."""
+    h = shuffled(id_col, seed)
+    return ranked(rows, class_col, [h, id_col], hash_bucket(h))
+
+
 def fold_ids(rows: DataFrame, k: int, class_col: str, id_col: str = "uid", name: str = "fold") -> DataFrame:
     """Folds 0..k-1 whose sizes differ by one at most within each class, in id order."""
-    return rows.withColumn(name, (F.row_number().over(Window.partitionBy(class_col).orderBy(id_col)) - 1) % k)
+    out = ranked(rows, class_col, [id_col], range_bucket(rows, id_col))
+    return out.withColumn(name, ((F.col("_rank") - 1) % k).cast("int")).drop("_rank", "_n")
 
 
 def test_split(rows: DataFrame, share: float, class_col: str, id_col: str = "uid", seed: str = "test") -> DataFrame:
     """A flag `is_test` on round(share * n) rows of each class, halves to even."""
-    rank = F.row_number().over(Window.partitionBy(class_col).orderBy(shuffled(id_col, seed), id_col))
-    n = F.count("*").over(Window.partitionBy(class_col))
-    return rows.withColumn("is_test", rank <= F.bround(share * n, 0))
+    return by_hash(rows, class_col, id_col, seed).withColumn("is_test", F.col("_rank") <= F.bround(share * F.col("_n"), 0)).drop("_rank", "_n")
 
 
 def training_candidates(rows: DataFrame, least_pixels: int, not_for_training: list[str], ignored: list[str], class_col: str = "classname") -> DataFrame:
@@ -75,9 +106,7 @@ def balanced(rows: DataFrame, tiers: tuple[Tier, ...], class_col: str, id_col: s
 
     `draw` numbers the copies of a row; without replacement it is 1.
     """
-    n = F.count("*").over(Window.partitionBy(class_col))
-    rank = F.row_number().over(Window.partitionBy(class_col).orderBy(shuffled(id_col, seed), id_col))
-    rows = rows.withColumns({"_n": n, "_rank": rank})
+    rows = by_hash(rows, class_col, id_col, seed)
     tier = F.when(F.lit(False), 0)
     for i, t in enumerate(tiers):
         tier = tier.when(F.col("_n") >= t.least, i)

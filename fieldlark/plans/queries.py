@@ -155,8 +155,8 @@ def feature_matrix(spark, sf_dir):
 
 @query(_WIDE + " SELECT uid, feature, value FROM (UNPIVOT matrix ON " + ", ".join(f'"{c}"' for c in FEATURES) + " INTO NAME feature VALUE value)")
 def feature_rows(spark, sf_dir):
-    """The matrix turned back into rows (one_parcel of every parcel)."""
-    return matrix(spark, sf_dir).unpivot("uid", FEATURES, "feature", "value")
+    """The matrix turned back into rows."""
+    return FE.feature_rows(matrix(spark, sf_dir))
 
 
 @query(_WIDE + " SELECT feature, min(value) AS lowest, max(value) AS highest FROM (UNPIVOT matrix ON " + ", ".join(f'"{c}"' for c in FEATURES) + " INTO NAME feature VALUE value) GROUP BY feature HAVING min(value) < 0 OR max(value) > 1")

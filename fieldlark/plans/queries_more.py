@@ -62,10 +62,7 @@ SELECT row, col, start_date, round(avg(v), 6) AS mean, round(median(v), 6) AS me
 def composites(spark, sf_dir):
     """Clear pixels of a week by all reducers."""
     rows = RA.masked(pixels(spark, sf_dir), ["value"]).withColumn("start_date", F.date_trunc("week", "day").cast("date"))
-    keys, out = ["tile", "row", "col", "start_date"], None
-    for reducer in RA.REDUCERS:
-        one = RA.composite(rows, keys, ["value"], reducer).withColumnRenamed("value", reducer)
-        out = one if out is None else out.join(one, keys)
+    out = RA.composite(rows, ["tile", "row", "col", "start_date"], ["value"], list(RA.REDUCERS)).withColumnsRenamed({f"value_{r}": r for r in RA.REDUCERS})
     return out.drop("tile").withColumns({"mean": F.round("mean", 6), "median": F.round("median", 6)})
 
 

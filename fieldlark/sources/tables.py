@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sqlite3
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,14 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 CHUNK = 50_000
 
 
-def read(spark: SparkSession, path: str, columns: list[str] | None = None, table: str = "info", sql: str | None = None, encoding: str = "UTF-8", schema: T.StructType | str | None = None) -> DataFrame:
-    """A table by its suffix: .csv, .tsv, .parquet, .json, .sqlite or .gpkg; `sql` runs over it as the view `table`."""
+def read(spark: SparkSession, path: str, columns: list[str] | None = None, table: str = "info", sql: str | None = None, encoding: str | None = None, schema: T.StructType | str | None = None) -> DataFrame:
+    """A table by its suffix: .csv, .tsv, .parquet, .json, .sqlite or .gpkg; `sql` runs over it as the view `table`.
+
+    Text without an `encoding` is UTF-8, or CP1252 where it isn't valid UTF-8. A `schema` spares the pass that infers one.
+    """
     kind = path.rstrip("/").rpartition(".")[2].lower()
     if kind in ("csv", "tsv"):
+        encoding = encoding or text_encoding(spark, path)
         reader = spark.read.option("header", True).option("encoding", encoding).option("sep", "\t" if kind == "tsv" else ",")
         df = (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
     elif kind == "parquet":
@@ -30,11 +35,31 @@ def read(spark: SparkSession, path: str, columns: list[str] | None = None, table
     else:
         raise ValueError(f"no reader for {path}")
     if sql is not None:
-        df.createOrReplaceTempView(table)
-        df = spark.sql(sql)
+        with view(df, table):
+            df = spark.sql(sql)
     return df.select(*columns) if columns else df
 
 
+def text_encoding(spark: SparkSession, path: str) -> str:
+    """UTF-8, or windows-1252 if a line doesn't decode: the scan stops at the first one."""
+    odd = spark.read.text(path).where(F.col("value").contains("\ufffd")).limit(1)
+    return "windows-1252" if odd.count() else "UTF-8"
+
+
+@contextmanager
+def view(df: DataFrame, name: str) -> Iterator[None]:
+    """A temporary view for the statements within; a view of the caller's with that name comes back afterwards."""
+    spark = df.sparkSession
+    before = spark.table(name) if any(t.name == name and t.isTemporary for t in spark.catalog.listTables()) else None
+    df.createOrReplaceTempView(name)
+    try:
+        yield
+    finally:
+        spark.catalog.dropTempView(name)
+        if before is not None:
+            before.createOrReplaceTempView(name)
+
+
 def write(df: DataFrame, path: str, append: bool = False, table: str = "info") -> None:
     """A table by its suffix; an error if it is there already and `append` isn't given. Text has ten decimals."""
     kind, mode = path.rstrip("/").rpartition(".")[2].lower(), "append" if append else "errorifexists"
@@ -53,7 +78,7 @@ def write(df: DataFrame, path: str, append: bool = False, table: str = "info") -
 
 
 def table_info(df: DataFrame) -> dict:
-    return {"rows": df.count(), "columns": df.columns}
+    return table_summary(df).first().asDict()
 
 
 def converted(spark: SparkSession, source: str, target: str) -> None:
@@ -84,13 +109,31 @@ def refresh(df: DataFrame, path: str, by: list[str], force: bool = False) -> int
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
             there = keys.limit(0)
-        keys = keys.join(there, by, "left_anti").persist()
-    n = keys.count()
-    if n:
-        # a slice's rows go to one writer each by key and a salt, so that no slice depends on a single task
-        rows = df.join(F.broadcast(keys), by, "left_semi") if n <= 100_000 else df.join(keys, by, "left_semi")
-        rows.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*by).parquet(path)
-    return n
+        keys = keys.join(there, by, "left_anti")
+    keys = keys.persist()  # what is there changes while slices are written
+    try:
+        n = keys.count()
+        if n:
+            rows = df.join(F.broadcast(keys), by, "left_semi") if n <= 100_000 else df.join(keys, by, "left_semi")
+            rows.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*by).parquet(path)
+        return n
+    finally:
+        keys.unpersist()
+
+
+def table_summary(df: DataFrame) -> DataFrame:
+    """One row: how many rows a table has, and its columns in order."""
+    return df.agg(F.count("*").alias("rows")).select("rows", F.array(*map(F.lit, df.columns)).alias("columns"))
+
+
+# The fields of an image's metadata file.
+SIDECAR = "imageprofile string, start_date string, end_date string, end_date_incl string, bands array<string>, time_reducer string, roi_bounds array<double>, roi_crs long, path string, base_imageprofile string, weight double"
+
+
+def sidecars(spark: SparkSession, pattern: str) -> DataFrame:
+    """Metadata files of images, one JSON object each, read with a given schema; dates as dates."""
+    df = spark.read.option("multiLine", True).schema(SIDECAR).json(pattern)
+    return df.withColumns({c: F.to_date(F.substring(c, 1, 10)) for c in ("start_date", "end_date", "end_date_incl")})
 
 
 _TYPES = {"INT": T.LongType(), "REAL": T.DoubleType(), "FLOA": T.DoubleType(), "DOUB": T.DoubleType(), "BLOB": T.BinaryType()}

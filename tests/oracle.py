@@ -17,7 +17,7 @@ def normal(df: pd.DataFrame) -> list[tuple]:
         if isinstance(v, bool):
             return str(v)
         if isinstance(v, (int, float)):
-            return repr(float(v))
+            return repr(float(v) + 0.0)  # no signed zero
         return str(v).removesuffix(" 00:00:00")
 
     return sorted(tuple(text(v.item() if hasattr(v, "item") else v) for v in row) for row in df[sorted(df.columns)].astype(object).itertuples(index=False))
