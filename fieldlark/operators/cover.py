@@ -167,3 +167,24 @@ def reason_statistics(rows: DataFrame) -> DataFrame:
         F.count("*").alias("n"), count("ndvi_correct", "yes").alias("ndvi_yes"), count("ndvi_correct", "no").alias("ndvi_no"), count("ndvi_correct", "NODATA").alias("ndvi_nodata"),
         count("s1_correct", "yes").alias("s1_yes"), count("s1_correct", "no").alias("s1_no"), count("s1_correct", "NODATA").alias("s1_nodata"), count("ndvi_correct", "no_groundtruth").alias("unchecked"),
     )
+
+
+def with_cover(parcels: DataFrame, cover: DataFrame, features: DataFrame, id_col: str = "uid") -> DataFrame:
+    """Parcels that have a cover verdict and satellite features, with both; a column that the left side has isn't taken again."""
+    out = parcels
+    for part in (cover, features):
+        out = out.join(part.select(id_col, *(c for c in part.columns if c not in out.columns)), id_col, "inner")
+    return out
+
+
+def located_checks(selected: DataFrame, checks: DataFrame, parcels: DataFrame, cover: DataFrame, keys: list[str], id_col: str = "uid", geometry: str = "geom") -> DataFrame:
+    """Selected parcels with their field checks if there are any, their geometry by the same keys, and their cover by id.
+
+    Keys are compared as whole numbers, which some sources give as text or doubles.
+    """
+    whole = lambda df: df.withColumns({k: F.col(k).cast("double").cast("long") for k in keys})
+    new = lambda df, have: [c for c in df.columns if c not in have]
+    out = whole(selected)
+    out = out.join(whole(checks).select(*keys, *new(checks, [*out.columns, *keys])), keys, "left")
+    out = out.join(whole(parcels).select(*keys, geometry), keys, "inner")
+    return out.join(cover.select(id_col, *new(cover, out.columns)), id_col, "inner")

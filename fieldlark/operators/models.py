@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import BucketedRandomProjectionLSH, IndexToString, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .features import with_features
+from .sampling import split_folds
+
 CLASSIFIERS: dict[str, Callable] = {
     "randomforest": lambda n, k, **kw: RandomForestClassifier(labelCol="_label", featuresCol="_features", seed=kw.pop("seed", 1), **kw),
     "gradientboosting": lambda n, k, **kw: OneVsRest(classifier=GBTClassifier(seed=kw.pop("seed", 1), maxIter=kw.pop("maxIter", 5), **kw), labelCol="_label", featuresCol="_features"),
@@ -28,7 +33,7 @@ def train(rows: DataFrame, features: list[str], class_col: str, kind: str = "ran
 
 
 def check_features(model: PipelineModel, rows: DataFrame) -> list[str]:
-    """The model's features; an error if the rows lack one."""
+    """The model's features, which are saved with it; an error if the rows lack one. Further columns are left out."""
     wanted = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
     gone = [c for c in wanted if c not in rows.columns]
     if gone:
@@ -56,25 +61,57 @@ def probabilities(model: PipelineModel, rows: DataFrame, keep: list[str]) -> tup
     return out.select(*keep, *(F.get("_p", F.lit(i)).alias(c) for i, c in enumerate(labels))), labels
 
 
-def nearest_neighbours(train_rows: DataFrame, rows: DataFrame, features: list[str], class_col: str, k: int = 5, reach: float = 1.0, length: float = 2.0, id_col: str = "uid") -> DataFrame:
-    """Votes of the k nearest training rows within `reach`, found by random projections (approximate)."""
-    assemble = VectorAssembler(inputCols=sorted(features), outputCol="_features")
-    left, right = assemble.transform(rows).select(id_col, "_features"), assemble.transform(train_rows).select(F.col(id_col).alias("_other"), F.col(class_col).alias("_class"), "_features")
-    lsh = BucketedRandomProjectionLSH(inputCol="_features", outputCol="_hash", bucketLength=length, numHashTables=4, seed=1).fit(right)
-    near = lsh.approxSimilarityJoin(left, right, reach, "_d").select(F.col(f"datasetA.{id_col}").alias(id_col), F.col("datasetB._class").alias("_class"), F.col("datasetB._other").alias("_other"), "_d")
-    rank = F.row_number().over(Window.partitionBy(id_col).orderBy("_d", "_other"))
-    votes = near.withColumn("_r", rank).where(F.col("_r") <= k).groupBy(id_col, "_class").agg(F.count("*").alias("_n"))
-    best = F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("_n"), "_class"))
-    share = F.col("_n") / F.sum("_n").over(Window.partitionBy(id_col))
-    return votes.withColumns({"_b": best, "pred1_prob": share}).where("_b = 1").select(id_col, F.col("_class").alias("pred1"), "pred1_prob")
+#: Numbers of training features that are broadcast at once, and rows that a task compares at once.
+MOST_NUMBERS, TOGETHER = 4_000_000, 512
+
+
+def _nearest(batches: Iterator[pa.RecordBatch], block, k: int) -> Iterator[pa.RecordBatch]:
+    """The k nearest training rows of one block for every row; ties by id."""
+    ids, classes, x = block.value
+    squares = (x**2).sum(1)
+    for batch in batches:
+        for lo in range(0, batch.num_rows, TOGETHER):
+            part = batch.slice(lo, TOGETHER)
+            q = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
+            d = np.round(np.sqrt(np.maximum((q**2).sum(1)[:, None] + squares - 2 * q @ x.T, 0)), 9)
+            best = np.lexsort((np.broadcast_to(np.arange(len(ids)), d.shape), d), axis=1)[:, :k]  # ids come in order
+            n = best.shape[1]
+            take = pa.array(np.repeat(np.arange(part.num_rows), n))
+            yield pa.RecordBatch.from_arrays([part.column(0).take(take), pa.array(ids[best.ravel()]), pa.array(classes[best.ravel()].tolist(), pa.string()), pa.array(np.take_along_axis(d, best, 1).ravel())], names=["_id", "_other", "_class", "_d"])
+
+
+def nearest_neighbours(train_rows: DataFrame, rows: DataFrame, features: list[str], class_col: str, k: int = 5, id_col: str = "uid") -> DataFrame:
+    """Exact votes of the k nearest training rows (distances in nine digits, ties by id): id, pred1, pred1_prob of every row.
+
+    The training sample is compared in blocks of MOST_NUMBERS features at most, each with all rows; a window merges the blocks' best.
+    Null features count as 0. Without training rows the class is null.
+    """
+    features, spark = sorted(features), rows.sparkSession
+    x = F.array(*(F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in features))
+    sample = train_rows.where(F.col(class_col).isNotNull()).select(F.col(id_col).cast("string").alias("_other"), F.col(class_col).cast("string").alias("_class"), x.alias("_x"))
+    blocks, near = max(1, -(-sample.count() * len(features) // MOST_NUMBERS)), None
+    left = rows.select(F.col(id_col).cast("string").alias("_id"), x.alias("_x"))
+    for i in range(blocks):
+        own = sample.where(F.pmod(F.xxhash64("_other"), F.lit(blocks)) == i).orderBy("_other").collect()  # a block
+        if own:
+            block = spark.sparkContext.broadcast((np.array([r["_other"] for r in own], object), np.array([r["_class"] for r in own], object), np.array([r["_x"] for r in own], float)))
+            part = left.mapInArrow(lambda b, block=block: _nearest(b, block, k), "_id string, _other string, _class string, _d double")
+            near = part if near is None else near.unionAll(part)
+    if near is None:
+        return rows.select(id_col, F.lit(None).cast("string").alias("pred1"), F.lit(None).cast("double").alias("pred1_prob"))
+    rank = F.row_number().over(Window.partitionBy("_id").orderBy("_d", "_other"))
+    votes = near.withColumn("_r", rank).where(F.col("_r") <= k).groupBy("_id", "_class").agg(F.count("*").alias("_n"))
+    best = votes.groupBy("_id").agg(F.min(F.struct(-F.col("_n"), "_class")).alias("_b"), F.sum("_n").alias("_all"))
+    best = best.select("_id", F.col("_b._class").alias("pred1"), (-F.col("_b.col1") / F.col("_all")).alias("pred1_prob"))
+    return rows.select(id_col).join(best, F.col(id_col).cast("string") == F.col("_id"), "left").drop("_id")
 
 
 def cross_predict(rows: DataFrame, features: list[str], class_col: str, k: int, fold: str = "fold", id_col: str = "uid", kind: str = "randomforest", **options) -> DataFrame:
     """(uid, pred1, fold): each fold predicted by a model of the others."""
     out = None
     for i in range(k):
-        model = train(rows.where(F.col(fold) != i), features, class_col, kind, **options)
-        one = model.transform(rows.where(F.col(fold) == i)).select(id_col, "pred1", fold)
+        learn, own = split_folds(rows, i, fold)
+        one = train(learn, features, class_col, kind, **options).transform(own).select(id_col, "pred1", fold)
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -85,3 +122,25 @@ def best_model(registry: DataFrame, metric: str = "metric") -> str:
     if row is None:
         raise ValueError("no model is saved")
     return row["path"]
+
+
+def trained(train_rows: DataFrame, features: list[str], class_col: str, path: str, kind: str = "randomforest", force: bool = False, **options) -> PipelineModel:
+    """The model saved at `path`, which is trained and saved if it isn't there or `force` is given."""
+    spark = train_rows.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not force and where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return PipelineModel.load(path)
+    model = train(train_rows, features, class_col, kind, **options)
+    model.write().overwrite().save(path)
+    return model
+
+
+def train_and_predict(samples: dict[str, DataFrame], matrix: DataFrame, class_col: str, path: str, kind: str = "randomforest", id_col: str = "uid", force: bool = False, **options) -> dict[str, tuple[DataFrame, list[str]]]:
+    """Class probabilities of the samples `test` and `all`, by a model of the sample `train`; each sample is joined to the features.
+
+    A sample that isn't given isn't predicted. A second call takes the saved model.
+    """
+    features = [c for c in matrix.columns if c != id_col]
+    model = trained(with_features(samples["train"], matrix, id_col).where(F.col(class_col).isNotNull()), features, class_col, path, kind, force, **options)
+    keep = lambda df: [c for c in df.columns if c in (id_col, class_col)]
+    return {name: probabilities(model, with_features(df, matrix, id_col), keep(df)) for name, df in samples.items() if name != "train"}

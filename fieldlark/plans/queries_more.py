@@ -66,20 +66,41 @@ def composites(spark, sf_dir):
     return out.drop("tile").withColumns({"mean": F.round("mean", 6), "median": F.round("median", 6)})
 
 
+_BLOCK = "FROM p a JOIN p b ON b.day = a.day AND b.row BETWEEN a.row - {h} AND a.row + {h} AND b.col BETWEEN a.col - {h} AND a.col + {h}"
+_GAUSS = "exp(-0.5 * ({d} * {d}))"
+_MASS = "(SELECT sum(exp(-0.5 * i * i)) FROM range(-5, 6) t(i))"
+_DTC = f"dtc AS (SELECT a.event_id, 1 - sum(CASE WHEN b.scl IN (3, 8, 9, 10) THEN {_GAUSS.format(d='(b.row - a.row)')} * {_GAUSS.format(d='(b.col - a.col)')} ELSE 0 END) / ({_MASS} * {_MASS}) AS dtc {_BLOCK.format(h=5)} GROUP BY a.event_id)"
+
+
+@query(f"WITH {_P} SELECT a.event_id, a.row, a.col, a.day, bool_or(b.scl IN (3, 8, 9, 10)) AS near_cloud {_BLOCK.format(h=2)} GROUP BY ALL")
+def near_clouds(spark, sf_dir):
+    """Pixels of a day's image with a cloud within two pixels."""
+    rows = pixels(spark, sf_dir).drop("tile").withColumn("tile", F.col("day"))  # an image is a day
+    return RA.dilated_cloud(rows, 2).select("event_id", "row", "col", F.col("tile").alias("day"), "near_cloud")
+
+
+@query(f"WITH {_P}, {_DTC} SELECT event_id, round(dtc, 9) AS dtc FROM dtc")
+def cloud_distance(spark, sf_dir):
+    """1 minus the smoothed cloud flag of a day's image."""
+    return RA.distance_score(pixels(spark, sf_dir), image="day").select("event_id", F.round("dtc", 9).alias("dtc"))
+
+
 @query(
-    f"""WITH {_P}, c AS (SELECT day, avg(CASE WHEN scl IN (3, 8, 9, 10) THEN 0.0 ELSE 1.0 END) AS coverage FROM p GROUP BY day),
-s AS (SELECT p.*, round((0.5 + 0.8 * exp(-0.5 * pow((dayofmonth(p.day) - 15) * 0.2, 2)) * 0.07978845 + 0.5 * coverage) / 2.3, 9) AS score FROM p JOIN c USING (day) WHERE scl NOT IN (0, 3, 8, 9, 10)),
+    f"""WITH {_P}, {_DTC}, c AS (SELECT day, avg(CASE WHEN scl IN (3, 8, 9, 10) THEN 0.0 ELSE 1.0 END) AS coverage FROM p GROUP BY day),
+s AS (SELECT p.*, round((round(dtc, 9) + 0.8 * exp(-0.5 * pow((dayofmonth(p.day) - 15) * 0.2, 2)) * 0.07978845 + 0.5 * coverage) / 2.3, 9) AS score FROM p JOIN c USING (day) JOIN dtc USING (event_id) WHERE scl NOT IN (0, 3, 8, 9, 10)),
 r AS (SELECT *, row_number() OVER (PARTITION BY row, col, date_trunc('month', day) ORDER BY score DESC, day, event_id) AS r FROM s)
 SELECT row, col, date_trunc('month', day)::DATE AS month, day, score, value FROM r WHERE r = 1"""
 )
 def best_pixels(spark, sf_dir):
-    """Best available pixel of a month, with an even cloud distance score of a half."""
-    rows = pixels(spark, sf_dir).withColumn("dtc", F.lit(0.5))
-    cover = RA.cloud_share(rows, ["day"]).select("day", "coverage")
-    scored = rows.join(F.broadcast(cover), "day").withColumn("score", F.round((F.col("dtc") + 0.8 * RA.date_score(F.col("day")) + 0.5 * F.col("coverage")) / 2.3, 9))
-    scored = scored.where(~F.col("scl").isin(0, *RA.CLOUDS)).withColumn("month", F.trunc("day", "month"))
-    w = RA.Window.partitionBy("row", "col", "month").orderBy(F.desc("score"), "day", "event_id")
-    return scored.withColumn("r", F.row_number().over(w)).where("r = 1").select("row", "col", "month", "day", "score", "value")
+    """Best available pixel of a month by cloud distance, date and coverage."""
+    rows = RA.distance_score(pixels(spark, sf_dir), image="day").withColumn("dtc", F.round("dtc", 9))
+    return RA.best_pixels(rows, ["value"], image="day", tie="event_id").drop("tile")
+
+
+@query(f"WITH {_P}, g AS (SELECT day FROM p GROUP BY day HAVING 100 * avg(CASE WHEN scl IN (3, 8, 9, 10) THEN 1.0 ELSE 0.0 END) <= 40) SELECT event_id, day FROM p WHERE day IN (SELECT day FROM g)")
+def clear_images(spark, sf_dir):
+    """Pixels of images with few clouds."""
+    return RA.without_cloudy_images(pixels(spark, sf_dir), ["day"], 40.0).select("event_id", "day")
 
 
 # Vectors as an image: row = vector, column = position.
@@ -115,9 +136,10 @@ grid AS (SELECT p_partkey // 50 AS row, p_partkey % 50 AS col, p_size AS value F
 hit AS (SELECT uid, g.row, g.col, any_value(g.value) AS value FROM grid g JOIN edge ON (py <= g.row + 0.5) <> (qy <= g.row + 0.5) AND g.col + 0.5 >= px + (g.row + 0.5 - py) / (qy - py) * (qx - px) GROUP BY uid, g.row, g.col HAVING count(*) % 2 = 1)"""
 
 
-def polygons(spark, sf_dir) -> DataFrame:
+def polygons(spark, sf_dir, low: bool = False) -> DataFrame:
+    """Quadrilaterals; `low` ones lie on the first rows of an image."""
     key = F.col("c_custkey")
-    cx, cy = key % 40 + 5.3, key * 7 % 30 + 5.7
+    cx, cy = key % 40 + 5.3, key % 3 + 0.7 if low else key * 7 % 30 + 5.7
     ring = F.array(*(F.struct((cx + a).alias("x"), (cy + b).alias("y")) for a, b in ((-3.1, -2.2), (2.7, -3.4), (3.9, 2.6), (-1.8, 3.3))))
     return table(spark, sf_dir, "customer").select(key.cast("string").alias("uid"), F.array(ring).alias("geom"))
 
@@ -144,16 +166,25 @@ def zonal_eroded(spark, sf_dir):
     return out.select("uid", "count", F.round("mean", 6).alias("mean"))
 
 
-@query()
+def hits(k: int) -> str:
+    """SQL of (uid, row, col): cells of 1/k whose centre is inside, by even-odd counts over each polygon's box."""
+    return f"""box AS (SELECT uid, floor(min(px) * {k})::BIGINT AS c0, ceil(max(px) * {k})::BIGINT AS c1, floor(min(py) * {k})::BIGINT AS r0, ceil(max(py) * {k})::BIGINT AS r1 FROM edge GROUP BY uid),
+cell AS (SELECT uid, row, unnest(range(c0, c1 + 1)) AS col FROM (SELECT *, unnest(range(r0, r1 + 1)) AS row FROM box)),
+inside AS (SELECT c.uid, c.row, c.col FROM cell c JOIN edge e ON e.uid = c.uid AND (py <= (c.row + 0.5) / {k}) <> (qy <= (c.row + 0.5) / {k}) AND (c.col + 0.5) / {k} >= px + ((c.row + 0.5) / {k} - py) / (qy - py) * (qx - px) GROUP BY ALL HAVING count(*) % 2 = 1)"""
+
+
+@query(f"WITH {_POLY}, {hits(2)} SELECT uid, count(*) / 4.0 AS count, round(avg(value), 6) AS mean FROM inside i JOIN grid g ON g.row = i.row // 2 AND g.col = i.col // 2 GROUP BY uid")
 def zonal_half_pixels(spark, sf_dir):
-    """Counts in quarters of a pixel; tested on polygons of known area."""
-    return ZO.zonal_stats(grid(spark, sf_dir), polygons(spark, sf_dir), ["image_profile"], rule="centre_2x").select("uid", "count", "mean")
+    """Statistics over half pixels, counted in quarters."""
+    out = ZO.zonal_stats(grid(spark, sf_dir), polygons(spark, sf_dir), ["image_profile"], rule="centre_2x")
+    return out.select("uid", F.col("count").cast("double").alias("count"), F.round("mean", 6).alias("mean"))
 
 
-@query()
+@query(f"WITH {_POLY}, {hits(4)}, half AS (SELECT uid, row // 4 AS row, col // 4 AS col FROM inside GROUP BY ALL HAVING count(*) >= 8) SELECT uid, count(*) AS count, round(avg(value), 6) AS mean FROM half JOIN grid USING (row, col) GROUP BY uid")
 def zonal_coverage(spark, sf_dir):
-    """Pixels that are covered by half; tested on polygons of known area."""
-    return ZO.zonal_stats(grid(spark, sf_dir), polygons(spark, sf_dir), ["image_profile"], rule="coverage").select("uid", "count", "mean")
+    """Statistics over pixels that are covered by half, by 16 points in each."""
+    out = ZO.zonal_stats(grid(spark, sf_dir), polygons(spark, sf_dir), ["image_profile"], rule="coverage")
+    return out.select("uid", "count", F.round("mean", 6).alias("mean"))
 
 
 @query(f"WITH {_POLY}, b AS (SELECT uid, min(px) AS minx, min(py) AS miny, max(px) AS maxx, max(py) AS maxy FROM edge GROUP BY uid) SELECT uid, round(minx, 6) AS minx, round(miny, 6) AS miny, round(maxx, 6) AS maxx, round(maxy, 6) AS maxy FROM b WHERE minx <= 20 AND maxx >= 10 AND miny <= 20 AND maxy >= 10")
@@ -208,10 +239,11 @@ def weekly_windows(spark, sf_dir):
     return weekly(table(spark, sf_dir, "events"), ["event_type"]).withColumn("mean", F.round("mean", 6))
 
 
-def labelled_vectors(spark, sf_dir, n: int = 12) -> tuple[DataFrame, list[str]]:
+def labelled_vectors(spark, sf_dir, n: int = 64) -> tuple[DataFrame, list[str]]:
+    """Labelled vectors with all their components as features, in two folds."""
     names = [f"x{i:02d}" for i in range(n)]
     e = table(spark, sf_dir, "embeddings").where("label is not null")
-    rows = e.select(F.col("vec_id").alias("uid"), F.concat(F.lit("L"), (F.col("label") % 3).cast("string")).alias("classname"), *(F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(names)))
+    rows = e.select(F.col("vec_id").alias("uid"), F.concat(F.lit("L"), F.col("label").cast("string")).alias("classname"), *(F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(names)))
     return SA.fold_ids(rows, 2, "classname"), names
 
 
@@ -241,10 +273,15 @@ def model_svm(spark, sf_dir):
     return _predicted(spark, sf_dir, "svm", maxIter=5)
 
 
-@query()
+@query(
+    """WITH f AS (SELECT vec_id::VARCHAR AS uid, 'L' || label AS classname, embedding::DOUBLE[] AS x, (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) % 2 AS fold FROM embeddings WHERE label IS NOT NULL),
+d AS (SELECT a.uid, b.classname, row_number() OVER (PARTITION BY a.uid ORDER BY round(sqrt(list_sum(list_transform(list_zip(a.x, b.x), lambda p: pow(p[1] - p[2], 2)))), 9), b.uid) AS r FROM f a JOIN f b ON a.fold = 1 AND b.fold = 0),
+v AS (SELECT uid, classname, count(*) AS n FROM d WHERE r <= 5 GROUP BY ALL)
+SELECT uid::BIGINT AS uid, arg_max(classname, n * 1000 - ascii(right(classname, 1))) AS pred1, max(n) / 5.0 AS pred1_prob FROM v GROUP BY uid"""
+)
 def model_neighbours(spark, sf_dir):
     rows, names = labelled_vectors(spark, sf_dir)
-    return MO.nearest_neighbours(rows.where("fold = 0"), rows.where("fold = 1"), names, "classname", reach=0.6)
+    return MO.nearest_neighbours(rows.where("fold = 0"), rows.where("fold = 1"), names, "classname")
 
 
 @query()
