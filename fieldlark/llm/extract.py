@@ -35,7 +35,7 @@ from ._spark import hot_join, small, stored, table
 
 #: Share of a host's pages that a template class is on, the least pages of a host with a template, and the share of the
 #: variable text that the container must hold.
-SUPPORT, LEAST_PAGES, MOST_TEXT = 0.9, 4, 0.9
+SUPPORT, LEAST_PAGES, MOST_TEXT = 0.8, 4, 0.9
 #: Share of the text in a page's articles, or elsewhere, from which on its constants aren't a template but a copied text.
 MOST_CONSTANT, MOST_ELSEWHERE = 0.5, 0.8
 #: Characters of templates that are broadcast at most; beyond that they are joined to the pages.
