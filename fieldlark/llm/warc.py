@@ -10,7 +10,8 @@ its record id derives from the digest, so revisits can name it without a further
 share stands in one aggregated row, and the join back splits its pages over tasks.
 
 A null html is an empty payload; a null url is an empty target; a null page_id stays null. Repeated rows are captures of
-their own. Payloads below `revisit_from` bytes are always responses.
+their own. Payloads below `revisit_from` bytes are always responses. An empty table gives archives without records. A very long payload is
+held whole by the task that writes or reads it, alone. Extra columns of pages are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,10 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import hot_join, scratch, table
+from ._spark import hot_join, scratch, stored, table
 
-#: Records of an archive file: three for each capture.
-RECORDS = 6000
+#: Records of an archive file at most, three for each capture (a file is also no larger than the task's partition that writes it),
+#: and bytes of an archive that are inflated at once.
+RECORDS, PIECE = 6000, 1 << 20
 VERSION, END = "WARC/1.1", "\r\n\r\n"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _LAST = (1 << 63) - 1
@@ -55,7 +57,14 @@ def _record(kind: Column, fields: list[tuple[str, Column]], block: Column) -> Co
 
 
 def captures(pages: DataFrame, date: str, revisit_from: int = 0) -> DataFrame:
-    """page_id, url, payload, digest (hexadecimal), date, kind, capture (record id), original (record id; null for responses)."""
+    """page_id, url, payload, digest (hexadecimal), date, kind, capture (record id), original (record id; null for responses).
+
+    Rows are numbered in two branches of the plan: those that don't come straight from a scan are stored first, so that a task
+    that runs again numbers them alike.
+    """
+    pages = pages.select("page_id", "url", "html")
+    if "Exchange" in pages._jdf.queryExecution().executedPlan().toString():
+        pages = stored(pages)
     url = F.regexp_replace(F.coalesce(F.col("url").cast("string"), F.lit("")), "[\r\n]", " ")
     base = pages.select(
         F.col("page_id").cast("long").alias("page_id"), url.alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"), F.monotonically_increasing_id().alias("row")
@@ -95,16 +104,18 @@ def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
     c.select(F.explode(records).alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
 
 
-def _inflate(content: bytes) -> bytes:
-    """Plain bytes of an archive: gzip with one or many members, or as it is."""
+def _inflated(content: bytes) -> Iterator[bytes]:
+    """Plain bytes of an archive, PIECE or so at a time: gzip with one or many members, or as it is."""
     if content[:2] != b"\x1f\x8b":
-        return content
-    parts = []
-    while content[:2] == b"\x1f\x8b":
+        yield from (content[i : i + PIECE] for i in range(0, len(content), PIECE))
+        return
+    at, view = 0, memoryview(content)
+    while bytes(view[at : at + 2]) == b"\x1f\x8b":
         d = zlib.decompressobj(31)
-        parts.append(d.decompress(content))
-        content = d.unused_data
-    return b"".join(parts)
+        while not d.eof and at < len(content):
+            yield d.decompress(view[at : at + PIECE])
+            at += PIECE
+        at = min(at, len(content)) - len(d.unused_data)
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -113,16 +124,24 @@ def _fields(head: bytes) -> dict[str, str]:
 
 
 def records_in(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, block) of every record of an archive file."""
-    data, at = _inflate(content), 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        head = data.find(b"\r\n\r\n", at)
-        if head < 0:
-            return
-        fields = _fields(data[at:head])
-        length = int(fields.get("content-length") or 0)
-        yield fields, data[head + 4 : head + 4 + length]
-        at = head + 4 + length
+    """(fields, block) of every record of an archive file; no more than one record and a piece of the archive is held."""
+    pieces, data = _inflated(content), b""
+    for more in pieces:
+        data += more
+        at = 0
+        while (start := data.find(b"WARC/", at)) >= 0 and (head := data.find(b"\r\n\r\n", start)) >= 0:
+            fields = _fields(data[start:head])
+            end = head + 4 + int(fields.get("content-length") or 0)
+            if len(data) < end:  # the block goes on in the next pieces
+                rest = [data]
+                have = len(data)
+                while have < end and (piece := next(pieces, None)) is not None:
+                    rest.append(piece)
+                    have += len(piece)
+                data = b"".join(rest)
+            yield fields, data[head + 4 : end]
+            at = end
+        data = data[max(at, 0) :]
 
 
 _SCHEMA = (
@@ -178,7 +197,7 @@ def op1_warc_transactions(spark, sf_dir: str) -> DataFrame:
     """Writes all pages, reads the archives back, and returns page_id, payload_bytes, payload_digest, record_type, refers_to."""
     path = scratch(spark)
     write_warc(table(spark, sf_dir, "pages"), path)
-    full = assemble(read_warc(spark, path, payload=False))
+    full = assemble(stored(read_warc(spark, path, payload=False)))  # parsed once, and joined from there
     page = lambda fields: F.try_element_at(F.col(fields), F.lit("page-id")).cast("long")
     source = F.coalesce("original", "response")
     return full.select(
