@@ -8,10 +8,12 @@ left out of the fit the log loss is least. A paragraph's family counts when it b
 trigrams agree with one of the family's templates.
 
 Scoring reads each document once: paragraphs without any feature can only be unknown (all their features are 0) and go
-at once, mostly by their words alone: a phrase of common words is looked for only where its rarest word is; for the others the weights of their n-grams, a table of at most FEATURES rows, are joined and summed.
+at once, mostly by their words alone: a phrase of common words is looked for only where its rarest word is; for the others the weights of their n-grams, a table as long as the templates, are joined and summed.
 
-Null or empty texts have no paragraphs. A null doc_id is kept as null. Repeated rows are reported once each (documents are
-numbered by row). Paragraphs are lines; empty ones count for the numbering. Ties go to the family that comes first.
+Null or empty texts have no paragraphs, an empty table none either. A null doc_id is kept as null. Repeated rows are reported once
+each (documents are numbered by row). Paragraphs are lines, or runs of lines with features where a notice is wrapped; empty lines
+count for the numbering and end a run. Ties go to the family that comes first. Very long texts are cut into lines like others. Extra
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,13 +22,13 @@ import re
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._spark import stored, table
 
-#: Documents whose paragraphs teach `unknown`, features at most, the words of a training window, the agreement that confirms.
-NEGATIVE_DOCUMENTS, FEATURES, WINDOWS, CONFIRM = 400, 4000, (4, 6, 9, 14), 0.5
+#: Documents whose lines teach `unknown` (a bounded sample), the words of a training window, the agreement that confirms.
+NEGATIVE_DOCUMENTS, WINDOWS, CONFIRM = 400, (4, 6, 9, 14), 0.5
 UNKNOWN = "unknown"
 
 # Standard notices and characteristic sentences of licence families.
@@ -155,7 +157,10 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ).select("family", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - F.col("n") + 1, F.lit(1))), lambda i: F.slice("w", i, F.col("n")))).alias("w"))
     # each template itself counts as often as its windows, and so does each sentence of one
     positive = windows.unionAll(known.unionAll(sentences(spark)).crossJoin(spark.range(12)).select("family", "w"))
-    sample = documents.where(F.col(text_col).isNotNull()).select(id_col, text_col).orderBy(F.xxhash64(id_col), id_col).limit(NEGATIVE_DOCUMENTS)
+    # hashes first: only they are sorted; then the rows that have them, once each
+    hashed = documents.where(F.col(text_col).isNotNull()).select(F.xxhash64(id_col, text_col).alias("_h"), id_col, text_col)
+    chosen = stored(hashed.select("_h").orderBy("_h").limit(NEGATIVE_DOCUMENTS).distinct())
+    sample = hashed.join(F.broadcast(chosen), "_h", "left_semi").groupBy("_h").agg(F.first(id_col).alias(id_col), F.first(text_col).alias(text_col)).drop("_h")
     grams = lambda orders, name: known.select(F.explode(ngrams(F.col("w"), orders)).alias("gram")).agg(F.collect_set("gram").alias(name))
     negative = paragraphs(sample, id_col, text_col).where(F.size("w") > 0).crossJoin(F.broadcast(grams((1, 2), "short"))).crossJoin(F.broadcast(grams((3,), "all")))  # of the templates alone
     notice = F.arrays_overlap(ngrams(F.col("w"), (3,)), "all") | F.array_contains("short", F.array_join("w", " "))
@@ -163,7 +168,7 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     common = negative.select(F.explode(ngrams(F.col("w"))).alias("gram")).groupBy("gram").count()
     share = negative.count() * 0.002
     features = known.select(F.explode(ngrams(F.col("w"))).alias("gram")).distinct().join(common, "gram", "left").where(F.coalesce("count", F.lit(0)) <= share)
-    found = [r["gram"] for r in features.select("gram").orderBy("gram").limit(FEATURES).collect()]
+    found = [r["gram"] for r in features.select("gram").orderBy("gram").collect()]  # of the templates alone
     single = {g for g in found if " " not in g}
     # of each phrase without a feature word the rarest word
     plain = [g for g in found if not single & set(g.split(" "))]
@@ -178,7 +183,10 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def scan(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, paragraph, family, probability, similarity, confirmed: every paragraph that a family wins."""
+    """doc_id, paragraph, family, probability, similarity, confirmed, last_line: every paragraph that a family wins.
+
+    A paragraph is a line, or a run of lines that only together, or all of them, are a notice of one family; it is named by its first line.
+    """
     spark = documents.sparkSession
     array = lambda values: F.array(*map(F.lit, values)).cast("array<string>")
     heads = F.arrays_overlap("w", array([g for g in model.vocabulary if " " not in g]))  # every feature holds one of them, but those of model.rarest
@@ -187,6 +195,27 @@ def scan(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
     weights = spark.createDataFrame(list(zip(model.vocabulary, model.weights, strict=True)), "gram string, weights array<double>")
     some = paragraphs(documents, id_col, text_col).where(heads)
     some = stored(some.withColumn("grams", ngrams(F.col("w"))))  # few: paragraphs with a feature
+    lines = _judged(some, model, weights)
+    # lines with features that follow one another may be one wrapped notice: their words together, and what they then are
+    w = Window.partitionBy("row").orderBy("paragraph")  # of the few lines with features of one document
+    runs = some.withColumn("run", F.col("paragraph") - F.row_number().over(w))
+    size = F.count("*").over(Window.partitionBy("row", "run"))
+    runs = stored(runs.withColumn("size", size).where("size > 1"))
+    joined = runs.groupBy("row", "doc_id", "run").agg(F.min("paragraph").alias("paragraph"), F.max("paragraph").alias("last"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("paragraph", "w"))), lambda x: x["w"])).alias("w"))
+    whole = _judged(joined.withColumn("grams", ngrams(F.col("w"))), model, weights).where("confirmed")
+    whole = whole.join(joined.select("row", "paragraph", "run", "last"), ["row", "paragraph"])
+    # unless one of the lines is a notice of another family by itself
+    own = lines.join(runs.select("row", "paragraph", "run"), ["row", "paragraph"]).where("confirmed").select("row", "run", F.col("family").alias("other"))
+    against = whole.join(own, ["row", "run"]).where(F.col("family") != F.col("other")).select("row", "run")
+    whole = stored(whole.join(against, ["row", "run"], "left_anti"))
+    taken = whole.join(runs.select("row", "run", F.col("paragraph").alias("line")), ["row", "run"]).select("row", F.col("line").alias("paragraph"))
+    single = lines.join(taken, ["row", "paragraph"], "left_anti").withColumn("last", F.col("paragraph"))
+    out = whole.select(single.columns).unionByName(single)
+    return out.select("doc_id", "paragraph", "family", "probability", "similarity", "confirmed", F.col("last").alias("last_line"))
+
+
+def _judged(some: DataFrame, model: Model, weights: DataFrame) -> DataFrame:
+    """row, doc_id, paragraph, family, probability, similarity, confirmed of the (row, doc_id, paragraph, grams) that a family wins."""
     found = some.select("row", "doc_id", "paragraph", F.explode("grams").alias("gram")).join(F.broadcast(weights), "gram")
     classes = range(len(model.classes))
     logits = found.groupBy("row", "doc_id", "paragraph").agg(*(F.sum(F.col("weights")[i]).alias(f"l{i}") for i in classes))
@@ -198,15 +227,15 @@ def scan(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
         F.array(*map(F.lit, model.classes))[F.array_position("raw", top).cast("int") - 1].alias("family"),
     ).where(F.col("family") != UNKNOWN)
     # comparison with the templates of the family: shared trigrams against the shorter of the two
-    known = templates(spark).select("family", ngrams(F.col("w"), (3,)).alias("t"))
+    known = templates(some.sparkSession).select("family", ngrams(F.col("w"), (3,)).alias("t"))
     trigrams = some.select("row", "paragraph", F.filter("grams", lambda g: F.size(F.split(g, " ")) == 3).alias("g"))
     pairs = scored.join(trigrams, ["row", "paragraph"]).join(F.broadcast(known), "family", "left")
     shared = F.size(F.array_intersect("g", "t")) / F.greatest(F.least(F.size("g"), F.size("t")), F.lit(1))
     out = pairs.groupBy("row", "doc_id", "paragraph", "family", "probability").agg(F.max(shared).alias("similarity"))
-    return out.select("doc_id", "paragraph", "family", "probability", "similarity", (F.col("similarity") >= CONFIRM).alias("confirmed"))
+    return out.withColumn("confirmed", F.col("similarity") >= CONFIRM)
 
 
 def op6_license_scan(spark, sf_dir: str) -> DataFrame:
-    """doc_id, paragraph, family, probability, similarity, confirmed of every licence paragraph of every document."""
+    """doc_id, paragraph, family, probability, similarity, confirmed, last_line of every licence paragraph of every document."""
     docs = table(spark, sf_dir, "documents")
     return scan(docs, train(docs))
