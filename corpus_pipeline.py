@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of documents (the last adds the mixture's
 topic, tokens and probability); `run` writes each result as Parquet in the shared folder and reads it as the next one's docs.
 
-A null text is kept or rejected like an empty one; rows with a null doc_id pass the stages that name documents by id.
+A null text is kept or rejected like an empty one. Rows with a null doc_id pass the near-duplicate stage, which names documents by
+id; of different rows with one id it keeps that whose text has the smallest digest.
 Without a usable label, or without a language to learn, the classifying stages keep what they can't judge.
 """
 
@@ -43,14 +44,15 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     again = stored(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
     if not again.limit(1).count():
         return kept
-    once = kept.join(small(again), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # rows that share an id: the one whose text has the smallest digest, whatever the order of the rows
+    order = F.struct(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256), F.xxhash64(*kept.columns))
+    once = kept.join(small(again), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("_key")).agg(F.min_by(F.struct(*kept.columns), order).alias("_row")).select("_row.*")
     return kept.join(small(again), "doc_id", "left_anti").unionByName(once)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
-    found = decontaminate.contained_items(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(small(stored(found.select("doc_id").distinct())), "doc_id", "left_anti")
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
