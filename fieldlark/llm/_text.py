@@ -43,8 +43,9 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets of the rows' texts in them); a null is an empty text."""
+def chunks(column: pa.Array, size: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets of the rows' texts in them) of `size` bytes or so, CHUNK if not given; a null is an empty text."""
+    size = size or CHUNK
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -53,7 +54,7 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        end = max(row + 1, int(np.searchsorted(at, at[row] + CHUNK, "right")) - 1)
+        end = max(row + 1, int(np.searchsorted(at, at[row] + size, "right")) - 1)
         yield row, raw[at[row] : at[end]], at[row : end + 1] - at[row]
         row = end
 

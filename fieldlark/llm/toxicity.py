@@ -42,8 +42,9 @@ VOCABULARY, TRAIN = 4000, 2000
 WIDTH = 24
 #: Stands for the start of a word, which a landmark may include.
 START = 2
-#: Windows that are compared at once, and words whose comparison a task remembers.
-BLOCK, REMEMBER = 1 << 14, 1_000_000
+#: Chunks of text that are read together (their new words are compared in few steps), windows that are compared at once, and
+#: words whose comparison a task remembers.
+CHUNKS, BLOCK, REMEMBER = 8, 1 << 16, 1_000_000
 _END = np.zeros(256, bool)
 _END[[10, 13, 33, 46, 63]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -161,7 +162,7 @@ class Reader:
         if len(new):
             place, held = np.zeros(len(new), np.int64), len(self.rows)
             order, rows = np.argsort(start[new], kind="stable"), [self.rows]
-            for part in np.split(order, np.flatnonzero(np.diff(start[new[order]] // T.CHUNK)) + 1):  # by stretches of a long text
+            for part in np.split(order, np.flatnonzero(np.diff(start[new[order]] // (CHUNKS * T.CHUNK))) + 1):  # by stretches of a long text
                 lo, hi = start[new[part[0]]], end[new[part[-1]]]
                 for windows, word in _windows(raw[lo:hi], start[new[part]] - lo, end[new[part]] - lo):
                     v = self.landmarks.values(windows)
@@ -181,7 +182,7 @@ class Reader:
 
     def sentences(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         """(row, values) of every sentence with a resembling word, in order."""
-        for row, raw, at in T.chunks(column):
+        for row, raw, at in T.chunks(column, CHUNKS * T.CHUNK):
             w, first, start, end = T.words(raw, at, T.SPACE)
             if not len(w):
                 continue
