@@ -246,7 +246,7 @@ def templates(pages: DataFrame) -> DataFrame:
     members = stored(frequent.where("path <> ''").join(small(large.select("host", "vector")), ["host", "vector"], "left_semi").select("host", "vector", "token", "path", "is_text"))
     # ordered: on each page the same sequence of tokens
     placed = tokens.select("host", "token", "page", "at").join(small(members.select("host", "token", "vector")), ["host", "token"])
-    orders = placed.groupBy("host", "vector", "page").agg(F.xxhash64(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda x: x["token"])).alias("o"))
+    orders = placed.groupBy("host", "vector", "page").agg(F.xxhash64(F.transform(F.array_sort(F.collect_set(F.struct("at", "token"))), lambda x: x["token"])).alias("o"))
     valid = stored(orders.groupBy("host", "vector").agg(F.min("o").alias("a"), F.max("o").alias("b")).where("a = b").select("host", "vector"))
     template = stored(members.join(small(valid), ["host", "vector"], "left_semi"))
     constants = template.where("is_text").select("host", "token")
