@@ -42,7 +42,7 @@ def read(spark: SparkSession, path: str, columns: list[str] | None = None, table
 
 def text_encoding(spark: SparkSession, path: str) -> str:
     """UTF-8, or windows-1252 if a line doesn't decode: the scan stops at the first one."""
-    odd = spark.read.text(path).where(F.col("value").contains("\ufffd")).limit(1)
+    odd = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1)
     return "windows-1252" if odd.count() else "UTF-8"
 
 
