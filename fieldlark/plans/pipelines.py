@@ -131,8 +131,11 @@ def error_tables(rows: DataFrame, ignored: list[str], rules: CO.Doubt, crop: str
     return out
 
 
-def report(rows: DataFrame, ignored: list[str], unimportant: list[str], not_for_training: list[str], rules: CO.Doubt = CO.Doubt(), parameters: dict[str, str] | None = None, crop: str = "cropcode", class_type: str = "", truth: str | None = "classname_truth") -> dict[str, DataFrame]:
-    """All tables of a run's report: its parameters, counts, shares of conclusions, and, with a ground truth, accuracies and errors."""
+def report(rows: DataFrame, ignored: list[str], unimportant: list[str], not_for_training: list[str], rules: CO.Doubt = CO.Doubt(), parameters: dict[str, str] | None = None, crop: str = "cropcode", class_type: str = "", truth: str | None = "classname_truth", truths: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All tables of a run's report: its parameters, counts, shares of conclusions, and, with a ground truth, accuracies and errors.
+
+    The ground truth is the column `truth` of the rows, or of `truths` (with uid), which covers some of the parcels; None: there is none.
+    """
     spark = rows.sparkSession
     reported, aside = RE.split_unimportant(rows, unimportant)
     out = {"parameters": spark.createDataFrame(sorted((parameters or {}).items()), "name string, value string")}
@@ -143,7 +146,7 @@ def report(rows: DataFrame, ignored: list[str], unimportant: list[str], not_for_
     out["accuracy_declared"] = RE.accuracies(reported, "classname_declared", "pred1", "pred_full_alpha", [*ignored, *not_for_training])
     out["scores_declared"] = RE.class_scores(reported, "classname_declared", "pred1")
     if truth is not None:
-        known = reported.where(F.col(truth).isNotNull())
+        known = (reported if truths is None else RE.join_truth(reported, truths)).where(F.col(truth).isNotNull())
         checked = RE.truth_conclusions(known, "pred_consolidated", ignored, truth)
         full = RE.truth_conclusions(known, "pred_full_alpha", ignored, truth)
         out |= {"truth_conclusions": RE.shares(checked, "gt_conclusion"), "truth_conclusions_full": RE.shares(full, "gt_conclusion"), "errors": RE.error_rates(checked), "errors_full": RE.error_rates(full)}
@@ -192,7 +195,7 @@ def classification(parcels: DataFrame, zonal: DataFrame, ignored: list[str], not
     probabilities, classes = found["all"]
     rows = consolidation(parcels, probabilities, classes, ignored, classes, rules)
     tested = CO.top_classes(found["test"][0], classes, 1)
-    reports = report(rows if truth is None else RE.join_truth(rows, truth), ignored, unimportant, not_for_training, rules, {"kind": kind, "strategy": strategy}, truth=None if truth is None else "classname_truth")
+    reports = report(rows, ignored, unimportant, not_for_training, rules, {"kind": kind, "strategy": strategy}, truth=None if truth is None else "classname_truth", truths=truth)
     reports["test_accuracy"] = RE.accuracy(tested, "classname", "pred1")
     return Classification(matrix, sample, RE.with_training_flag(rows, sample), reports)
 

@@ -23,8 +23,11 @@ def read(spark: SparkSession, path: str, columns: list[str] | None = None, table
     kind = path.rstrip("/").rpartition(".")[2].lower()
     if kind in ("csv", "tsv"):
         encoding = encoding or text_encoding(spark, path)
+        windows = encoding.lower() in ("windows-1252", "cp1252")
+        encoding = "ISO-8859-1" if windows else encoding  # Spark's own name of the nearest
         reader = spark.read.option("header", True).option("encoding", encoding).option("sep", "\t" if kind == "tsv" else ",")
         df = (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+        df = from_latin1(df) if windows else df
     elif kind == "parquet":
         df = spark.read.parquet(path)
     elif kind == "json":
@@ -46,6 +49,13 @@ def text_encoding(spark: SparkSession, path: str) -> str:
     return "windows-1252" if odd.count() else "UTF-8"
 
 
+def from_latin1(df: DataFrame) -> DataFrame:
+    """Text columns that were read as Latin-1, as CP1252: the two differ in the codes 128 to 159."""
+    pairs = [(chr(c), x) for c in range(128, 160) if (x := bytes([c]).decode("cp1252", "ignore"))]
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.translate(F.col(f"`{c}`"), *map("".join, zip(*pairs, strict=True))) for c in texts})
+
+
 @contextmanager
 def view(df: DataFrame, name: str) -> Iterator[None]:
     """A temporary view for the statements within; a view of the caller's with that name comes back afterwards."""
@@ -81,6 +91,12 @@ def table_info(df: DataFrame) -> dict:
     return table_summary(df).first().asDict()
 
 
+def copied(spark: SparkSession, source: str, target: str, where: str | None = None) -> None:
+    """The rows of a table that fit a condition, written as a table of their own."""
+    df = read(spark, source)
+    write(df if where is None else df.where(where), target)
+
+
 def converted(spark: SparkSession, source: str, target: str) -> None:
     """One table from one format to another."""
     write(read(spark, source), target)

@@ -33,8 +33,8 @@ def test_errors(spark):
 
 def test_text_in_another_encoding(spark, tmp_path):
     for name, encoding in (("u", "utf-8"), ("w", "cp1252")):
-        (tmp_path / f"{name}.csv").write_bytes("k,s\n1,crème\n2,plain\n".encode(encoding))
-        assert [tuple(r) for r in tables.read(spark, str(tmp_path / f"{name}.csv"), schema="k long, s string").collect()] == [(1, "crème"), (2, "plain")]
+        (tmp_path / f"{name}.csv").write_bytes("k,s\n1,crème 5 € „x“\n2,plain\n".encode(encoding))
+        assert [tuple(r) for r in tables.read(spark, str(tmp_path / f"{name}.csv"), schema="k long, s string").collect()] == [(1, "crème 5 € „x“"), (2, "plain")]
 
 
 def test_views_of_the_caller_stay(spark, tmp_path):
@@ -65,6 +65,8 @@ def test_converted_tables(spark, tmp_path):
     spark.range(3).withColumn("x", F.lit(0.5)).write.parquet(source)
     tables.converted(spark, source, str(tmp_path / "a.csv"))
     assert tables.table_info(tables.read(spark, str(tmp_path / "a.csv"))) == {"rows": 3, "columns": ["id", "x"]}
+    tables.copied(spark, source, str(tmp_path / "b.parquet"), "id > 0")
+    assert tables.read(spark, str(tmp_path / "b.parquet")).count() == 2
 
 
 def test_refresh_by_stream(spark, tmp_path):
