@@ -205,5 +205,3 @@ def reported_again(spark: SparkSession, parcels: str, probabilities: str, classe
     rows = consolidation(spark.read.parquet(parcels), spark.read.parquet(probabilities), classes, ignored, classes, rules, crop=kw.get("crop"))
     return report(rows, ignored, unimportant, not_for_training, rules, **kw)
 
-
-__all__ = ["Classification", "Profile", "classification", "consolidation", "cover_report", "cover_run", "error_tables", "index_images", "mosaics", "prepared_parcels", "report", "reported_again", "time_series"]

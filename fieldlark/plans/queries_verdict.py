@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.values import EDGES, bin_labels, percent
+from ..functions.values import EDGES, bin_labels
 from ..operators import consolidate as CO
 from ..operators import cover as CV
 from ..operators import report as RE
@@ -305,6 +305,3 @@ def cover_stats(spark, sf_dir):
     main = F.when(n % 5 < 3, F.when(n % 7 == 0, "98").when(n % 7 == 1, "660").when(n % 7 == 2, "63").when(n % 7 == 3, "745").otherwise("901"))
     checks = rows.select("uid", "start_date").distinct().select("uid", "start_date", F.when(n % 4 == 0, "plough").alias("finding"), main.alias("checked_main"), F.when(n % 9 == 0, "98").alias("checked_late"))
     return CV.reason_statistics(CV.field_check(rows, checks, ["uid", "start_date"]))
-
-
-__all__ = ["QUERIES", "SQL", "percent"]
