@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from test_llm import AWKWARD, PAGE, SF, documents
+from test_llm import AWKWARD, SF, documents
 
 import corpus_pipeline
 from fieldlark.llm import _text as T
