@@ -136,15 +136,18 @@ def clean(documents: DataFrame, benchmark: DataFrame, k: int = 5, threshold: flo
     """The rows, with all their columns, whose text contains no item; ids aren't looked at."""
     out = documents
     for index in _indexes(benchmark, k, threshold, item_col, item_text):
+        out = out.where(~_contaminated(index, k, threshold)(F.col(text_col).cast("string")))
+    return out
 
-        @F.arrow_udf("boolean")
-        def contaminated(text: pa.Array, index=index) -> pa.Array:
-            hit = np.zeros(len(text), bool)
-            hit[[x[0] for x in _pairs(text, index.value, k, threshold)]] = True
-            return pa.array(hit)
 
-        out = out.where(~contaminated(F.col(text_col).cast("string")))
-    return out
+def _contaminated(index, k: int, threshold: float):
+    @F.arrow_udf("boolean")
+    def contaminated(text: pa.Array) -> pa.Array:
+        hit = np.zeros(len(text), bool)
+        hit[[x[0] for x in _pairs(text, index.value, k, threshold)]] = True
+        return pa.array(hit)
+
+    return contaminated
 
 
 def op10_contained_items(spark, sf_dir: str) -> DataFrame:
