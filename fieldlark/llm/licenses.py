@@ -109,7 +109,9 @@ def sentences(spark: SparkSession) -> DataFrame:
 
 def paragraphs(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, doc_id, paragraph, w): the lines of whole texts as word arrays."""
-    lines = documents.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\r?\n")).alias("paragraph", "line"))
+    # numbered before the lines are cut: each document's have one number
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.split(F.col(text_col).cast("string"), "\r?\n").alias("lines"))
+    lines = rows.select("row", "doc_id", F.posexplode("lines").alias("paragraph", "line"))
     # a generator, so that the words are made once and not anew wherever an n-gram is cut from them
     return lines.select("row", "doc_id", "paragraph", F.explode(F.array(words(F.col("line")))).alias("w"))
 
@@ -195,12 +197,15 @@ def scan(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
     weights = spark.createDataFrame(list(zip(model.vocabulary, model.weights, strict=True)), "gram string, weights array<double>")
     some = paragraphs(documents, id_col, text_col).where(heads)
     some = stored(some.withColumn("grams", ngrams(F.col("w"))))  # few: paragraphs with a feature
-    lines = _judged(some, model, weights)
+    lines = stored(_judged(some, model, weights))
     # lines with features that follow one another may be one wrapped notice: their words together, and what they then are
     w = Window.partitionBy("row").orderBy("paragraph")  # of the few lines with features of one document
     runs = some.withColumn("run", F.col("paragraph") - F.row_number().over(w))
     size = F.count("*").over(Window.partitionBy("row", "run"))
     runs = stored(runs.withColumn("size", size).where("size > 1"))
+    # from the first line that a family wins to the last one, where there is one
+    ends = lines.join(runs.select("row", "paragraph", "run"), ["row", "paragraph"]).groupBy("row", "run").agg(F.min("paragraph").alias("lo"), F.max("paragraph").alias("hi"))
+    runs = stored(runs.join(ends, ["row", "run"], "left").where("paragraph between coalesce(lo, paragraph) and coalesce(hi, paragraph)").drop("lo", "hi"))
     joined = runs.groupBy("row", "doc_id", "run").agg(F.min("paragraph").alias("paragraph"), F.max("paragraph").alias("last"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("paragraph", "w"))), lambda x: x["w"])).alias("w"))
     whole = _judged(joined.withColumn("grams", ngrams(F.col("w"))), model, weights).where("confirmed")
     whole = whole.join(joined.select("row", "paragraph", "run", "last"), ["row", "paragraph"])
