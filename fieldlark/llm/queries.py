@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, knn, mixing, warc
+from . import decontaminate, knn, mixing, quality_rules, warc
 from .decontaminate import op10_contained_items
 from .extract import op2_main_text
 from .jaccard_join import op3_jaccard_components
@@ -11,6 +11,7 @@ from .language import op5_language_id
 from .licenses import op6_license_scan
 from .mixing import op8_mix_sources
 from .quality import op9_quality_discriminant
+from .quality_rules import op11_quality_rules
 from .toxicity import op7_toxicity_svm
 from .warc import op1_warc_transactions
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_quality_discriminant": op9_quality_discriminant,
     "op10_contained_items": op10_contained_items,
+    "op11_quality_rules": op11_quality_rules,
 }
 
 ORACLE_SQL = {
@@ -32,4 +34,5 @@ ORACLE_SQL = {
     "op4_voronoi_knn": knn.ORACLE_SQL,
     "op8_mix_sources": mixing.ORACLE_SQL,
     "op10_contained_items": decontaminate.ORACLE_SQL,
+    "op11_quality_rules": quality_rules.ORACLE_SQL,
 }
