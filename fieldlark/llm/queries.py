@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, knn, mixing, quality_rules, warc
+from . import decontaminate, knn, mixing, quality_rules, variants, warc
 from .decontaminate import op10_contained_items
 from .extract import op2_main_text
 from .jaccard_join import op3_jaccard_components
@@ -13,6 +13,7 @@ from .mixing import op8_mix_sources
 from .quality import op9_quality_discriminant
 from .quality_rules import op11_quality_rules
 from .toxicity import op7_toxicity_svm
+from .variants import op12_spelling_variants
 from .warc import op1_warc_transactions
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_quality_discriminant": op9_quality_discriminant,
     "op10_contained_items": op10_contained_items,
     "op11_quality_rules": op11_quality_rules,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 ORACLE_SQL = {
@@ -35,4 +37,5 @@ ORACLE_SQL = {
     "op8_mix_sources": mixing.ORACLE_SQL,
     "op10_contained_items": decontaminate.ORACLE_SQL,
     "op11_quality_rules": quality_rules.ORACLE_SQL,
+    "op12_spelling_variants": variants.ORACLE_SQL,
 }
