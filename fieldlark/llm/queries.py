@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import decontaminate, knn, mixing, quality_rules, variants, warc
+from . import collocations, decontaminate, knn, mixing, quality_rules, variants, warc
+from .collocations import op13_collocations
 from .decontaminate import op10_contained_items
 from .extract import op2_main_text
 from .jaccard_join import op3_jaccard_components
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_contained_items": op10_contained_items,
     "op11_quality_rules": op11_quality_rules,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL = {
@@ -38,4 +40,5 @@ ORACLE_SQL = {
     "op10_contained_items": decontaminate.ORACLE_SQL,
     "op11_quality_rules": quality_rules.ORACLE_SQL,
     "op12_spelling_variants": variants.ORACLE_SQL,
+    "op13_collocations": collocations.ORACLE_SQL,
 }
