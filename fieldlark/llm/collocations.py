@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._spark import BROADCAST_ROWS, dropped, small, stored, table
+from ._spark import dropped, small, stored, table
 
 #: Report length, least count, scale of scores, and the share (in hundredths) of a phrase's count at which a longer one replaces it.
 TOP, LEAST, SCALE, REPLACES = 2000, 10, 1_000_000, 50
@@ -33,23 +33,32 @@ TOP, LEAST, SCALE, REPLACES = 2000, 10, 1_000_000, 50
 FIRST, WIDER = 3 * TOP, 4
 #: Bytes of text that are cut into words together, and distinct phrases that a task holds before it passes them on.
 PIECE, HELD = 1 << 18, 200_000
-_BREAK, _WORD = re.compile(rb"[.,;:!?\x0a-\x0d]+"), re.compile(rb"[^\x20\x09]+")
+#: Frontier nodes that are sent to the tasks at most, some 100 bytes each.
+NODES = 300_000
+_BREAK, _WORD, _GAP = re.compile(rb"[.,;:!?\x0a-\x0d]+"), re.compile(rb"[^\x20\x09]+"), re.compile(rb"[\x20\x09]")
 
 
-def _pieces(text: bytes) -> Iterator[list[bytes]]:
-    """The word lists of the text's pieces; lower-casing bytes changes A-Z alone."""
-    at = 0
+def _pieces(text: bytes) -> Iterator[tuple[list[bytes], list[bytes]]]:
+    """(up to two words before, words) of the text's pieces, long ones in parts; lower-casing bytes changes A-Z alone."""
+    at, before = 0, []
     while at < len(text):
-        cut = _BREAK.search(text, at + PIECE) if at + PIECE < len(text) else None
-        end = cut.start() if cut else len(text)
-        for piece in _BREAK.split(text[at:end].lower()):
-            if words := _WORD.findall(piece):
-                yield words
+        end, runs_on = len(text), False
+        if at + PIECE < len(text):
+            cut = _BREAK.search(text, at + PIECE, at + 2 * PIECE)
+            runs_on = cut is None
+            cut = cut or _GAP.search(text, at + PIECE)
+            end = cut.start() if cut else len(text)
+        for i, piece in enumerate(_BREAK.split(text[at:end].lower())):
+            words, context = _WORD.findall(piece), before if i == 0 else []
+            if words:
+                yield context, words
+            before = (context + words)[-2:]
+        before = before if runs_on else []
         at = end
 
 
-def _counts(batches: Iterator[pa.RecordBatch], grow: Callable[[Counter, bytes, list[bytes]], None], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """(lang, words..., f) of rows (lang, text): `grow` adds a piece's phrases, tuples of a language and words, to a counter."""
+def _counts(batches: Iterator[pa.RecordBatch], grow: Callable[[Counter, bytes, list[bytes], list[bytes]], None], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """(lang, words..., f) of rows (lang, text): `grow` adds to a counter the phrases, tuples of a language and words, that end in a piece's words."""
     held: Counter[tuple] = Counter()
 
     def out() -> pa.RecordBatch:
@@ -61,8 +70,8 @@ def _counts(batches: Iterator[pa.RecordBatch], grow: Callable[[Counter, bytes, l
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1), strict=True):
             key = lang.as_py().encode()
-            for words in _pieces(text.as_py().encode()):
-                grow(held, key, words)
+            for before, words in _pieces(text.as_py().encode()):
+                grow(held, key, before, words)
                 if len(held) > HELD:
                     yield out()
     yield out()
@@ -75,10 +84,11 @@ def _read(docs: DataFrame, text: str, lang: str) -> DataFrame:
 def short_counts(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored counts of words (lang, w1, f), and of pairs (lang, w1, w2, f) with at least LEAST occurrences."""
 
-    def grow(held: Counter, key: bytes, words: list[bytes]) -> None:
-        keys = [key] * len(words)
-        held.update(zip(keys, words, [None] * len(words), strict=True))
-        held.update(zip(keys, words, words[1:]))
+    def grow(held: Counter, key: bytes, before: list[bytes], words: list[bytes]) -> None:
+        keys = [key] * (len(words) + 1)
+        held.update(zip(keys, words, [None] * len(words)))
+        row = before[-1:] + words
+        held.update(zip(keys, row, row[1:]))
 
     counted = read.mapInArrow(lambda b: _counts(b, grow, ["lang", "w1", "w2"]), "lang string, w1 string, w2 string, f long")
     counted = stored(counted.groupBy("lang", "w1", "w2").agg(F.sum("f").alias("f")).where(F.col("w2").isNull() | (F.col("f") >= LEAST)))
@@ -105,17 +115,19 @@ def pair_scores(words: DataFrame, pairs: DataFrame) -> DataFrame:
 def triple_counts(read: DataFrame, nodes: DataFrame) -> DataFrame:
     """(lang, w1, w2, w3, f) of all phrases of three words whose first pair is a node to grow, or whose last is one to judge.
 
-    `nodes` is stored: lang, w1, w2, grows, judged. Up to BROADCAST_ROWS of them are sent to the tasks, which then
+    `nodes` is stored: lang, w1, w2, grows, judged. Up to NODES of them are sent to the tasks, which then
     count no other phrase; beyond that all phrases are counted, and a join keeps the wanted ones.
     """
-    few = nodes.count() <= BROADCAST_ROWS
+    few = nodes.count() <= NODES
     schema, names = "lang string, w1 string, w2 string, w3 string, f long", ["lang", "w1", "w2", "w3"]
     if few:
-        rows = nodes.collect()
-        sent = read.sparkSession.sparkContext.broadcast(tuple({(r.lang.encode(), r.w1.encode(), r.w2.encode()) for r in rows if r[k]} for k in ("grows", "judged")))
+        rows = nodes.toArrow()
+        sets = ((rows.filter(rows[k]).select(["lang", "w1", "w2"]).cast(pa.schema([(c, pa.binary()) for c in ("lang", "w1", "w2")]))) for k in ("grows", "judged"))
+        sent = read.sparkSession.sparkContext.broadcast(tuple(set(zip(*(c.to_pylist() for c in t.columns), strict=True)) for t in sets))
 
-    def grow(held: Counter, key: bytes, words: list[bytes]) -> None:
-        phrases = zip([key] * len(words), words, words[1:], words[2:])
+    def grow(held: Counter, key: bytes, before: list[bytes], words: list[bytes]) -> None:
+        row = before + words
+        phrases = zip([key] * len(row), row, row[1:], row[2:])
         if few:
             grows, judged = sent.value
             phrases = (p for p in phrases if p[:3] in grows or (key, *p[2:]) in judged)
