@@ -9,8 +9,8 @@ TOP phrases that reach the goal survive, nothing below it can enter, ties includ
 falls to the score of a place in the ranking of pairs that is WIDER times as deep. The last goal is 0, which expands everything.
 
 Nulls: a null text is an empty one, a null lang is `und`. Repeated rows count as often as they occur. Empty tables and texts
-give no rows. Texts are read in pieces of PIECE bytes, cut between the pieces of the text where there are any; counts are summed in tasks
-(HELD phrases at a time), then by phrase, so that no language or phrase is gathered in one task; rankings keep TOP rows of each
+give no rows. Texts are read in parts of PIECE bytes, cut between their pieces, or between words in longer pieces; counts are summed in
+tasks (TOGETHER words at a time), then by phrase, so that no language or phrase is gathered in one task; rankings keep TOP rows of each
 language and task before they shuffle. Products are exact decimals of 38 digits: counts up to some 10**16. Other columns
 of `docs` are not read.
 """
@@ -18,9 +18,10 @@ of `docs` are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,67 +32,113 @@ from ._spark import dropped, small, stored, table
 TOP, LEAST, SCALE, REPLACES = 2000, 10, 1_000_000, 50
 #: The first goal is the score of the pair at place FIRST; later ones lie WIDER times as deep.
 FIRST, WIDER = 3 * TOP, 4
-#: Bytes of text that are cut into words together, and distinct phrases that a task holds before it passes them on.
-PIECE, HELD = 1 << 18, 200_000
+#: Bytes of text that are cut into words together, words that a task counts together, and rows that it passes on at once.
+PIECE, TOGETHER, HELD = 1 << 18, 1 << 20, 200_000
 #: Frontier nodes that are sent to the tasks at most, some 100 bytes each.
 NODES = 300_000
-_BREAK, _WORD, _GAP = re.compile(rb"[.,;:!?\x0a-\x0d]+"), re.compile(rb"[^\x20\x09]+"), re.compile(rb"[\x20\x09]")
+_BREAK, _GAP = re.compile(rb"[.,;:!?\x0a-\x0d]"), re.compile(rb"[\x20\x09]")
+_FOLD = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r", bytes(range(97, 123)) + b"\n" * 9)  # A-Z to a-z, breaks to one
+_LOW = (1 << 31) - 1
 
 
-def _pieces(text: bytes) -> Iterator[tuple[list[bytes], list[bytes]]]:
-    """(up to two words before, words) of the text's pieces, long ones in parts; lower-casing bytes changes A-Z alone."""
-    at, before = 0, []
+class _Words(dict):
+    """Numbers of words, given as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def _add(text: bytes, number: _Words, ids: list[int]) -> Iterator[None]:
+    """Append the numbers of a text's words, and -1 after each of its pieces.
+
+    Yields after each part of PIECE bytes or so, cut at the end of a piece, or between words where a piece is longer.
+    """
+    at = 0
     while at < len(text):
         end, runs_on = len(text), False
         if at + PIECE < len(text):
             cut = _BREAK.search(text, at + PIECE, at + 2 * PIECE)
             runs_on = cut is None
             cut = cut or _GAP.search(text, at + PIECE)
-            end = cut.start() if cut else len(text)
-        for i, piece in enumerate(_BREAK.split(text[at:end].lower())):
-            words, context = _WORD.findall(piece), before if i == 0 else []
-            if words:
-                yield context, words
-            before = (context + words)[-2:]
-        before = before if runs_on else []
+            end, runs_on = (cut.start(), runs_on) if cut else (end, False)
+        for piece in text[at:end].translate(_FOLD).split(b"\n"):
+            ids += [number[w] for w in piece.split()]  # of white space, only spaces and tabs are left
+            ids.append(-1)
+        if runs_on:
+            ids.pop()
         at = end
+        yield
 
 
-def _counts(batches: Iterator[pa.RecordBatch], grow: Callable[[Counter, bytes, list[bytes], list[bytes]], None], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """(lang, words..., f) of rows (lang, text): `grow` adds to a counter the phrases, tuples of a language and words, that end in a piece's words."""
-    held: Counter[tuple] = Counter()
+def _counts(batches: Iterator[pa.RecordBatch], known: list[bytes], count: Callable[[str, np.ndarray, int], Iterator[tuple]], width: int) -> Iterator[pa.RecordBatch]:
+    """(lang, w1, ..., f) of rows (lang, text), summed over some documents each.
 
-    def out() -> pa.RecordBatch:
-        columns = list(zip(*held, strict=True)) or [()] * len(names)
-        found = pa.RecordBatch.from_arrays([*(pa.array(c, pa.binary()).cast(pa.string()) for c in columns), pa.array(list(held.values()), pa.int64())], [*names, "f"])
-        held.clear()
-        return found
+    `count` gets a language, numbers of its words in order (-1 between pieces) and how many of the first were counted before, as context of
+    those that follow; it gives columns of numbers, -1 for null, and counts. The words `known` have the first numbers.
+    """
+    number, held, old = _Words(zip(known, range(len(known)), strict=True)), defaultdict(list), defaultdict(int)
+
+    def out() -> Iterator[pa.RecordBatch]:
+        words = list(number)
+        column = pa.array(words, pa.binary()).cast(pa.string())
+        for lang, ids in held.items():
+            every = np.array(ids, np.int64)
+            for *columns, f in count(lang, every, old[lang]):
+                for lo in range(0, len(f), HELD):
+                    some = [pa.array(c[lo : lo + HELD], mask=c[lo : lo + HELD] < 0) for c in columns]
+                    rows = [pa.repeat(pa.scalar(lang, pa.string()), len(some[0])), *(column.take(c) for c in some), *[pa.nulls(len(some[0]), pa.string())] * (width - len(some))]
+                    yield pa.RecordBatch.from_arrays([*rows, pa.array(f[lo : lo + HELD], pa.int64())], ["lang", *(f"w{i + 1}" for i in range(width)), "f"])
+            held[lang], old[lang] = every[-2:].tolist(), len(every[-2:])
+        if len(number) > HELD + len(known):  # begin anew but for the words of the context
+            number.clear()
+            number.update(zip(known, range(len(known)), strict=True))
+            for lang, ids in held.items():
+                held[lang] = [number[words[i]] if i >= 0 else -1 for i in ids]
 
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-            key = lang.as_py().encode()
-            for before, words in _pieces(text.as_py().encode()):
-                grow(held, key, before, words)
-                if len(held) > HELD:
-                    yield out()
-    yield out()
+            key = lang.as_py()
+            for _ in _add(text.as_py().encode(), number, held[key]):
+                if sum(map(len, held.values())) > TOGETHER:
+                    yield from out()
+    yield from out()
+
+
+def _distinct(*columns: np.ndarray) -> tuple:
+    """The distinct rows of columns of numbers below 2**31, and their counts."""
+    key = columns[0]
+    if len(columns) == 3:  # two of the numbers, taken together, get a number below 2**31
+        pairs, first = np.unique((columns[0] << 31) | columns[1], return_inverse=True)
+        key, n = np.unique((first << 31) | columns[2], return_counts=True)
+        return pairs[key >> 31] >> 31, pairs[key >> 31] & _LOW, key & _LOW, n
+    if len(columns) == 2:
+        key, n = np.unique((columns[0] << 31) | columns[1], return_counts=True)
+        return key >> 31, key & _LOW, n
+    return np.unique(key, return_counts=True)
 
 
 def _read(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
+def _summed(counted: DataFrame, by: list[str]) -> DataFrame:
+    """Sums of counts that tasks have summed already: shuffled first, since little is left to sum before."""
+    n = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return counted.repartition(n, *by).groupBy(*by).agg(F.sum("f").alias("f"))
+
+
 def short_counts(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored counts of words (lang, w1, f), and of pairs (lang, w1, w2, f) with at least LEAST occurrences."""
 
-    def grow(held: Counter, key: bytes, before: list[bytes], words: list[bytes]) -> None:
-        keys = [key] * (len(words) + 1)
-        held.update(zip(keys, words, [None] * len(words)))
-        row = before[-1:] + words
-        held.update(zip(keys, row, row[1:]))
+    def count(lang: str, ids: np.ndarray, old: int) -> Iterator[tuple]:
+        yield _distinct(ids[old:][ids[old:] >= 0])
+        ends = np.arange(max(old, 1), len(ids))
+        ends = ends[(ids[ends] >= 0) & (ids[ends - 1] >= 0)]
+        yield _distinct(ids[ends - 1], ids[ends])
 
-    counted = read.mapInArrow(lambda b: _counts(b, grow, ["lang", "w1", "w2"]), "lang string, w1 string, w2 string, f long")
-    counted = stored(counted.groupBy("lang", "w1", "w2").agg(F.sum("f").alias("f")).where(F.col("w2").isNull() | (F.col("f") >= LEAST)))
+    counted = read.mapInArrow(lambda b: _counts(b, [], count, 2), "lang string, w1 string, w2 string, f long")
+    counted = stored(_summed(counted, ["lang", "w1", "w2"]).where(F.col("w2").isNull() | (F.col("f") >= LEAST)))
     return counted.where("w2 is null").drop("w2"), counted.where("w2 is not null")
 
 
@@ -118,22 +165,32 @@ def triple_counts(read: DataFrame, nodes: DataFrame) -> DataFrame:
     `nodes` is stored: lang, w1, w2, grows, judged. Up to NODES of them are sent to the tasks, which then
     count no other phrase; beyond that all phrases are counted, and a join keeps the wanted ones.
     """
-    few = nodes.count() <= NODES
-    schema, names = "lang string, w1 string, w2 string, w3 string, f long", ["lang", "w1", "w2", "w3"]
+    few, known, sent = nodes.count() <= NODES, [], None
+    schema = "lang string, w1 string, w2 string, w3 string, f long"
     if few:
         rows = nodes.toArrow()
-        sets = ((rows.filter(rows[k]).select(["lang", "w1", "w2"]).cast(pa.schema([(c, pa.binary()) for c in ("lang", "w1", "w2")]))) for k in ("grows", "judged"))
-        sent = read.sparkSession.sparkContext.broadcast(tuple(set(zip(*(c.to_pylist() for c in t.columns), strict=True)) for t in sets))
-
-    def grow(held: Counter, key: bytes, before: list[bytes], words: list[bytes]) -> None:
-        row = before + words
-        phrases = zip([key] * len(row), row, row[1:], row[2:])
+        known = sorted({w.encode() for c in ("w1", "w2") for w in rows[c].to_pylist()})
+        place = {w.decode(): i for i, w in enumerate(known)}
+        key = np.array([place[a] << 31 | place[b] for a, b in zip(rows["w1"].to_pylist(), rows["w2"].to_pylist(), strict=True)], np.int64)
+        lang, flags = np.array(rows["lang"].to_pylist(), object), [rows[k].to_numpy() for k in ("grows", "judged")]
+        sent = read.sparkSession.sparkContext.broadcast((known, {x: tuple(np.sort(key[(lang == x) & f]) for f in flags) for x in set(lang)}))
+
+    def among(key: np.ndarray, listed: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(listed, key)
+        return (at < len(listed)) & (listed[np.minimum(at, len(listed) - 1)] == key) if len(listed) else np.zeros(len(key), bool)
+
+    def count(lang: str, ids: np.ndarray, old: int) -> Iterator[tuple]:
+        ends = np.arange(max(old, 2), len(ids))
+        ends = ends[(ids[ends] >= 0) & (ids[ends - 1] >= 0) & (ids[ends - 2] >= 0)]
+        first, second, third = ids[ends - 2], ids[ends - 1], ids[ends]
         if few:
-            grows, judged = sent.value
-            phrases = (p for p in phrases if p[:3] in grows or (key, *p[2:]) in judged)
-        held.update(phrases)
+            grows, judged = sent.value[1].get(lang, (first[:0], first[:0]))
+            keep = among(first << 31 | second, grows) | among(second << 31 | third, judged)
+            first, second, third = first[keep], second[keep], third[keep]
+        yield _distinct(first, second, third)
 
-    counted = read.mapInArrow(lambda b: _counts(b, grow, names), schema).groupBy("lang", "w1", "w2", "w3").agg(F.sum("f").alias("f")).where(F.col("f") >= LEAST)
+    counted = read.mapInArrow(lambda b: _counts(b, sent.value[0] if few else [], count, 3), schema)
+    counted = _summed(counted, ["lang", "w1", "w2", "w3"]).where(F.col("f") >= LEAST)
     if few:
         return counted
     grows = nodes.where("grows").select("lang", "w1", "w2", F.lit(True).alias("_grows"))

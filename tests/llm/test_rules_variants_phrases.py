@@ -201,7 +201,7 @@ def phrase_twin(rows, top):
 @pytest.mark.parametrize(("top", "nodes", "piece"), [(2000, 10**6, 1 << 18), (3, 10**6, 1 << 18), (7, 0, 40)])
 def test_phrases_equal_a_plain_twin(spark, monkeypatch, top, nodes, piece):
     """Small tops let the frontier be settled in rounds; without nodes in the tasks, phrases are kept by joins; small pieces run on."""
-    for k, v in {"TOP": top, "FIRST": top, "WIDER": 2, "NODES": nodes, "PIECE": piece, "HELD": 50}.items():
+    for k, v in {"TOP": top, "FIRST": top, "WIDER": 2, "NODES": nodes, "PIECE": piece, "HELD": 50, "TOGETHER": 100 if nodes == 0 else 1 << 20}.items():
         monkeypatch.setattr(collocations, k, v)
     r = random.Random(top)
     fixed = ["New York City", "at the end of", "ÄÖ ü", "on the other hand", "a a a a"]
