@@ -13,22 +13,34 @@ KEYS = ("image_profile", "start_date", "end_incl", "band")
 def statistics(values: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """The zonal statistics set of a value per group, in population form and with the exact median.
 
-    Minority and majority are the least and most frequent values, the smaller one of equals.
+    Minority and majority are the least and most frequent values, the smaller one of equals. A group holds its distinct
+    values with their counts, from which deviations are taken around the mean: large means cost no digits.
     """
     counts = values.groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_m"))
     # all from the counts of distinct values, so that one group by the keys alone remains
-    v, there = F.col("_v"), F.col("_v").isNotNull()
-    n = F.sum(F.when(there, F.col("_m")).otherwise(0))
-    x = v.cast("double")
+    v, m = F.col("_v"), F.col("_m")
+    there, x = v.isNotNull(), v.cast("double")
     out = counts.groupBy(*keys).agg(
-        n.alias("count"), F.sum(x * F.col("_m")).alias("sum"), F.sum(x * x * F.col("_m")).alias("_squares"), F.percentile(x, F.lit(0.5), F.col("_m")).alias("median"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.sum(F.when(there, m).otherwise(0)).alias("count"), F.sum(x * m).alias("sum"), F.min(v).alias("min"), F.max(v).alias("max"),
         F.max_by("_v", F.when(there, F.struct("_m", -v))).alias("majority"), F.min_by("_v", F.when(there, F.struct("_m", "_v"))).alias("minority"),
+        F.array_sort(F.collect_list(F.when(there, F.struct(x.alias("x"), m.alias("m"))))).alias("_values"),
     )
-    mean = F.try_divide(F.col("sum"), F.col("count"))
-    out = out.withColumns({"mean": mean, "range": F.col("max") - F.col("min")})
-    spread = F.when(F.col("min") == F.col("max"), 0.0).otherwise(F.greatest(F.col("_squares") / F.col("count") - F.col("mean") * F.col("mean"), F.lit(0.0)))
-    out = out.withColumn("variance", F.when(F.col("count") > 0, spread)).withColumn("std", F.sqrt("variance"))
-    return out.select(*keys, "count", "sum", "mean", "median", "std", "min", "max", "range", "variance", "majority", "minority")
+    out = out.withColumns({"mean": F.try_divide("sum", "count"), "range": F.col("max") - F.col("min")})
+    squares = F.aggregate("_values", F.lit(0.0), lambda a, p: a + p["m"] * (p["x"] - F.col("mean")) * (p["x"] - F.col("mean")))
+    out = out.withColumn("variance", F.when(F.col("min") == F.col("max"), 0.0).when(F.col("count") > 0, squares / F.col("count")))
+    return out.withColumns({"std": F.sqrt("variance"), "median": _median(F.col("_values"), F.col("count"))}).select(*keys, "count", "sum", "mean", "median", "std", "min", "max", "range", "variance", "majority", "minority")
+
+
+def _median(values: Column, n: Column) -> Column:
+    """The median of ordered (x, m), each x standing for m equal values: the mean of the two middle ones."""
+    low, high = F.floor((n - 1) / 2), F.ceil((n - 1) / 2)
+    start = F.struct(F.lit(0).cast("long").alias("before"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"))
+
+    def step(a: Column, p: Column) -> Column:
+        reached = lambda k, old: F.when(a["before"] <= k, p["x"]).otherwise(a[old])
+        return F.struct((a["before"] + p["m"]).alias("before"), reached(low, "low").alias("low"), reached(high, "high").alias("high"))
+
+    return F.aggregate(values, start, step, lambda a: 0.5 * a["low"] + 0.5 * a["high"])
 
 
 def wanted_slices(zonal: DataFrame, profiles: list[str], start: str, end: str, bands: list[str] | None = None, reducer: str | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .features import with_features
@@ -41,6 +42,13 @@ def check_features(model: PipelineModel, rows: DataFrame) -> list[str]:
     return wanted
 
 
+def same_features(model: PipelineModel, features: list[str]) -> None:
+    """An error unless the model was made of exactly these features."""
+    wanted = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    if sorted(wanted) != sorted(features):
+        raise ValueError(f"the model is of {sorted(wanted)}, not of {sorted(features)}")
+
+
 def probabilities(model: PipelineModel, rows: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str]]:
     """One column a class with its probability, besides `keep`; and the classes.
 
@@ -124,14 +132,41 @@ def best_model(registry: DataFrame, metric: str = "metric") -> str:
     return row["path"]
 
 
+def classes_of(model: PipelineModel) -> list[str]:
+    return next(s for s in model.stages if hasattr(s, "labels")).labels
+
+
+def _fingerprint(rows: DataFrame, features: list[str], class_col: str, kind: str, options: dict) -> str:
+    """What a model is of: its kind, options, feature names and classes."""
+    classes = sorted(r[0] for r in rows.where(F.col(class_col).isNotNull()).select(F.col(class_col).cast("string")).distinct().collect())
+    return json.dumps({"kind": kind, "options": {k: str(v) for k, v in sorted(options.items())}, "features": sorted(features), "classes": classes}, sort_keys=True)
+
+
+def fingerprint_at(spark: SparkSession, path: str) -> str | None:
+    """The fingerprint saved with the model at a path; None without one."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/fingerprint")
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return None
+    return spark.read.text(f"{path}/fingerprint").first()[0]
+
+
 def trained(train_rows: DataFrame, features: list[str], class_col: str, path: str, kind: str = "randomforest", force: bool = False, **options) -> PipelineModel:
-    """The model saved at `path`, which is trained and saved if it isn't there or `force` is given."""
+    """The model saved at `path`, which is trained and saved if it isn't there or `force` is given.
+
+    A saved model of another kind, or with other options, features or classes, is an error, and so is one without a fingerprint.
+    """
     spark = train_rows.sparkSession
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    wanted = _fingerprint(train_rows, features, class_col, kind, options)
     if not force and where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        saved = fingerprint_at(spark, path)
+        if saved != wanted:
+            other = [k for k, v in json.loads(wanted).items() if saved is None or json.loads(saved)[k] != v]
+            raise ValueError(f"the model at {path} differs in {', '.join(other)}: use force or another path")
         return PipelineModel.load(path)
     model = train(train_rows, features, class_col, kind, **options)
     model.write().overwrite().save(path)
+    spark.createDataFrame([(wanted,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/fingerprint")
     return model
 
 

@@ -118,6 +118,47 @@ def errors_by_probability(rows: DataFrame, kind: str, conclusion: str = "gt_conc
     return errors_by_group(rows, percent(F.col(prob)), kind, conclusion, descending=True, **kw)
 
 
+def dealt_shares(rows: DataFrame, tables: dict[str, Column], where: dict[str, Column] | None = None) -> DataFrame:
+    """(name, value, n, pct) of several tables in one pass: each row is dealt to the tables whose condition in `where` it meets."""
+    where = where or {}
+    parts = [F.when(where.get(name, F.lit(True)), F.struct(F.lit(name).alias("name"), c.cast("string").alias("value"))) for name, c in tables.items()]
+    n = rows.select(F.inline(F.filter(F.array(*parts), lambda x: x.isNotNull()))).groupBy("name", "value").agg(F.count("*").alias("n"))
+    return n.withColumn("pct", 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("name")))
+
+
+def dealt_errors(rows: DataFrame, groupings: dict[str, tuple[Column, Column, str]], full: str, listed: dict[str, list[str]]) -> DataFrame:
+    """The error tables of several groupings and of all three errors in one pass.
+
+    `groupings` gives for each name (group, order, conclusion): rows are dealt to (grouping, group), counted for each error, and the
+    few counts are totalled in order. `listed` names groupings whose groups are all there, in their order, and count 0 without
+    rows; elsewhere groups without a row in the denominator are left out, and count_error is null for one without errors.
+    """
+    kinds, deals, numbers = ("alpha", "beta", "theta"), [], ("count_all", "count_error", "count_error_full_doubt", "count_all_full_doubt")
+    for name, (group, order, conclusion) in groupings.items():
+        flags = []
+        for kind in kinds:
+            (top, rest), (top_f, rest_f) = _error(kind, F.col(conclusion)), _error(kind, F.col(full))
+            flags.append(F.struct(F.lit(kind).alias("kind"), *(x.cast("int").alias(c) for x, c in zip((top | rest, top, top_f, top_f | rest_f), numbers, strict=True))))
+        deals.append(F.struct(F.lit(name).alias("grouping"), group.cast("string").alias("grp"), order.cast("double").alias("pos"), F.array(*flags).alias("f")))
+    dealt = rows.select(F.inline(F.array(*deals))).where("grp is not null")
+    sums = [F.sum(F.col("f")[i][c]).alias(f"{c}{i}") for i in range(len(kinds)) for c in numbers]  # one row a group, whatever the kinds
+    counted = dealt.groupBy("grouping", "grp", "pos").agg(*sums)
+    lines = F.array(*(F.struct(F.lit(k).alias("kind"), *(F.col(f"{c}{i}").alias(c) for c in numbers)) for i, k in enumerate(kinds)))
+    counted = counted.select("grouping", "grp", "pos", F.inline(lines))
+    if listed:
+        every = [(g, x, float(i), k, 0, 0, 0, 0) for g, xs in listed.items() for i, x in enumerate(xs) for k in kinds]
+        zero = rows.sparkSession.createDataFrame(every, "grouping string, grp string, pos double, kind string, " + ", ".join(f"{c} long" for c in numbers))
+        counted = counted.unionByName(zero).groupBy("grouping", "grp", "kind").agg(F.max("pos").alias("pos"), *(F.sum(c).alias(c) for c in numbers))
+    all_there = F.col("grouping").isin(*listed)
+    c = counted.where(all_there | (F.col("count_all") > 0)).withColumn("count_error", F.when(all_there | (F.col("count_error") > 0), F.col("count_error")))
+    run = Window.partitionBy("grouping", "kind").orderBy("pos", "grp").rowsBetween(Window.unboundedPreceding, 0)
+    whole = F.sum("count_all").over(Window.partitionBy("grouping", "kind"))
+    c = c.withColumns({"count_all_cumul": F.sum("count_all").over(run), "count_error_cumul": F.when(F.col("count_error").isNotNull(), F.sum("count_error").over(run))})
+    pct = lambda a, b: F.try_divide(100.0 * a, b)
+    c = c.withColumns({"pct_all_cumul": pct(F.col("count_all_cumul"), whole), "pct_error_cumul": pct(F.col("count_error_cumul"), F.col("count_all_cumul")), "pct_error_cumul_vs_count_all": pct(F.col("count_error_cumul"), whole), "pct_error_all": pct(F.col("count_error"), F.col("count_all"))})
+    return c.withColumn("name", F.concat_ws("_", "kind", "grouping"))
+
+
 def labels_of(rows: DataFrame, a: str, b: str) -> DataFrame:
     """All labels of two columns, in order."""
     return rows.select(F.col(a).alias("label")).union(rows.select(F.col(b).alias("label"))).distinct().orderBy("label")

@@ -1,7 +1,7 @@
 """The runs that compose the operators: images, time series, parcels, classification, cover, consolidation, reports.
 
-Each run is a function of DataFrames that returns DataFrames; nothing is computed before a result is used, but for model training
-and the checks that raise errors.
+Each run is a function of DataFrames that returns DataFrames. Images, series and cover are lazy but for the checks that raise errors;
+classification and reports keep their steps in a store of runs, and each table is read from there.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import bands as B
+from ..functions.nulls import within
+from ..functions.values import EDGES, bin_labels, binned, percent
 from ..operators import consolidate as CO
 from ..operators import cover as CV
 from ..operators import features as FE
@@ -22,6 +24,7 @@ from ..operators import raster as RA
 from ..operators import report as RE
 from ..operators import sampling as SA
 from ..operators import zonal as ZO
+from .runs import RunStore, shared_folder
 
 
 @dataclass(frozen=True)
@@ -108,50 +111,90 @@ def consolidation(parcels: DataFrame, probabilities: DataFrame, classes: list[st
 ERROR_TABLES = {"pixcount": "pixel_rule", "class": "marker_rules", "crop": "marker_rules", "probability": "percentages"}
 
 
-def error_tables(rows: DataFrame, ignored: list[str], rules: CO.Doubt, crop: str = "cropcode", class_type: str = "", truth: str = "classname_truth") -> dict[str, DataFrame]:
-    """The errors alpha, beta and theta by pixel count, declared class, declared crop and probability: {kind_grouping: table}.
+def all_errors(rows: DataFrame, ignored: list[str], rules: CO.Doubt, crop: str = "cropcode", class_type: str = "", truth: str = "classname_truth") -> DataFrame:
+    """The errors alpha, beta and theta by pixel count, declared class, declared crop and probability, in one pass: `name` is kind_grouping.
 
     Each table is of a verdict without the rule that looks at its grouping, and shows next to it the errors of the full verdict
     (pred_full_alpha).
     """
     rows = RE.truth_conclusions(rows, "pred_full_alpha", ignored, truth, prefix="full")
-    out = {}
-    for grouping, rule in ERROR_TABLES.items():
+    of = {
+        "pixcount": (binned(F.col("pixcount")), F.lit(None)),
+        "class": (F.col("classname_declared"), F.lit(0)),
+        "crop": (F.col(crop), F.lit(0)),
+        "probability": (percent(F.col("pred1_prob")), -percent(F.col("pred1_prob"))),
+    }
+    for rule in sorted(set(ERROR_TABLES.values())):
         v = f"_without_{rule}"
-        own = CO.consolidated(rows, ignored, replace(rules, **{rule: False}), v, crop=crop, class_type=class_type)
-        own = RE.truth_conclusions(own, v, ignored, truth)
-        for kind in ("alpha", "beta", "theta"):
-            if grouping == "pixcount":
-                table = RE.errors_by_pixels(own, kind, full="full_conclusion")
-            elif grouping == "probability":
-                table = RE.errors_by_probability(own, kind, full="full_conclusion")
-            else:
-                table = RE.errors_by_group(own, F.col("classname_declared" if grouping == "class" else crop).cast("string"), kind, full="full_conclusion")
-            out[f"{kind}_{grouping}"] = table
-    return out
+        rows = CO.consolidated(rows, ignored, replace(rules, **{rule: False}), v, crop=crop, class_type=class_type)
+        rows = RE.truth_conclusions(rows, v, ignored, truth, prefix=v)
+    return RE.dealt_errors(rows, {g: (*of[g], f"_without_{rule}_conclusion") for g, rule in ERROR_TABLES.items()}, "full_conclusion", {"pixcount": bin_labels(EDGES)})
+
+
+def error_tables(rows: DataFrame, ignored: list[str], rules: CO.Doubt, crop: str = "cropcode", class_type: str = "", truth: str = "classname_truth") -> dict[str, DataFrame]:
+    """`all_errors` as {kind_grouping: table}, each to be ordered by pos and grp. Store the one table where several are read."""
+    return _by_name(all_errors(rows, ignored, rules, crop, class_type, truth), [f"{k}_{g}" for g in ERROR_TABLES for k in ("alpha", "beta", "theta")])
+
+
+def _by_name(table: DataFrame, names: list[str]) -> dict[str, DataFrame]:
+    return {name: table.where(F.col("name") == name).drop("name", "kind", "grouping") for name in names}
+
+
+#: Share tables of a report: of all reported parcels, and of checked ones.
+SHARES, CHECKED_SHARES = ("conclusions", "conclusion_details", "full_details"), ("truth_conclusions", "truth_conclusions_full")
 
 
-def report(rows: DataFrame, ignored: list[str], unimportant: list[str], not_for_training: list[str], rules: CO.Doubt = CO.Doubt(), parameters: dict[str, str] | None = None, crop: str = "cropcode", class_type: str = "", truth: str | None = "classname_truth", truths: DataFrame | None = None) -> dict[str, DataFrame]:
+def all_shares(rows: DataFrame, ignored: list[str], unimportant: list[str], not_for_training: list[str], truth: str | None = "classname_truth") -> DataFrame:
+    """(name, value, n, pct): the shares of conclusions, and, with a ground truth, of those of the checked parcels, in one pass."""
+    rows = RE.conclusion(rows, "pred_consolidated", unimportant, not_for_training, ignored)
+    rows = RE.conclusion(rows, "pred_full_alpha", unimportant, not_for_training, ignored, name="full_conclusion_short")
+    tables = dict(zip(SHARES, (F.col(c) for c in ("conclusion", "conclusion_detail", "full_conclusion_short_detail")), strict=True))
+    if truth is None:
+        return RE.dealt_shares(rows, tables)
+    rows = RE.truth_conclusions(rows, "pred_consolidated", ignored, truth)
+    rows = RE.truth_conclusions(rows, "pred_full_alpha", ignored, truth, prefix="full")
+    tables |= dict(zip(CHECKED_SHARES, (F.col("gt_conclusion"), F.col("full_conclusion")), strict=True))
+    return RE.dealt_shares(rows, tables, {name: F.col(truth).isNotNull() for name in CHECKED_SHARES})
+
+
+def report(rows: DataFrame, ignored: list[str], unimportant: list[str], not_for_training: list[str], rules: CO.Doubt = CO.Doubt(), parameters: dict[str, str] | None = None, crop: str = "cropcode", class_type: str = "", truth: str | None = "classname_truth", truths: DataFrame | None = None, store: RunStore | None = None, name: str = "verdicts") -> dict[str, DataFrame]:
     """All tables of a run's report: its parameters, counts, shares of conclusions, and, with a ground truth, accuracies and errors.
 
     The ground truth is the column `truth` of the rows, or of `truths` (with uid), which covers some of the parcels; None: there is none.
+    With a store, whose stage (or input) `name` the rows are, each pass is a stage, and every table a part of a stored one.
     """
-    spark = rows.sparkSession
+    spark, keep = rows.sparkSession, {"ignored": ignored, "unimportant": unimportant, "not_for_training": not_for_training, "crop": crop, "class_type": class_type, "truth": truth}
+    inputs = [name]
+
+    def kept(stage: str, make: Callable[[], DataFrame], **more) -> DataFrame:
+        return make() if store is None else store.stage(stage, make, inputs, **keep, **more)
+
     reported, aside = RE.split_unimportant(rows, unimportant)
+    checked = reported if truth is not None else None
+    if truth is not None and truths is not None:
+        found = RE.join_truth(reported, truths).where(F.col(truth).isNotNull())
+        if store is not None:
+            store.input("truths", truths)
+            inputs.append("truths")
+        checked = kept("checked_verdicts", lambda: found)
     out = {"parameters": spark.createDataFrame(sorted((parameters or {}).items()), "name string, value string")}
-    out["rows"] = rows.agg(F.count("*").alias("all")).crossJoin(reported.agg(F.count("*").alias("reported"))).crossJoin(aside.agg(F.count("*").alias("unimportant")))  # one row each
-    concluded = RE.conclusion(reported, "pred_consolidated", unimportant, not_for_training, ignored)
-    concluded = RE.conclusion(concluded, "pred_full_alpha", unimportant, not_for_training, ignored, name="full_conclusion_short")
-    out |= {"conclusions": RE.shares(concluded, "conclusion"), "conclusion_details": RE.shares(concluded, "conclusion_detail"), "full_details": RE.shares(concluded, "full_conclusion_short_detail")}
-    out["accuracy_declared"] = RE.accuracies(reported, "classname_declared", "pred1", "pred_full_alpha", [*ignored, *not_for_training])
-    out["scores_declared"] = RE.class_scores(reported, "classname_declared", "pred1")
-    if truth is not None:
-        known = (reported if truths is None else RE.join_truth(reported, truths)).where(F.col(truth).isNotNull())
-        checked = RE.truth_conclusions(known, "pred_consolidated", ignored, truth)
-        full = RE.truth_conclusions(known, "pred_full_alpha", ignored, truth)
-        out |= {"truth_conclusions": RE.shares(checked, "gt_conclusion"), "truth_conclusions_full": RE.shares(full, "gt_conclusion"), "errors": RE.error_rates(checked), "errors_full": RE.error_rates(full)}
-        out |= {"accuracy_truth": RE.accuracies(known, truth, "pred1", "pred_full_alpha", ignored), "accuracy_per_pixcount": RE.accuracy_by_pixels(known, truth, "pred1")}
-        out |= error_tables(known, ignored, rules, crop, class_type, truth)
+    sizes = rows.agg(F.count("*").alias("all"), F.count_if(~within(F.col("classname_declared"), unimportant)).alias("reported"), F.count_if(within(F.col("classname_declared"), unimportant)).alias("unimportant"))
+    out["rows"] = kept("report_rows", lambda: sizes)
+    if checked is None or truths is None:
+        shares = kept("report_shares", lambda: all_shares(reported, ignored, unimportant, not_for_training, truth))
+        out |= _by_name(shares, [*SHARES, *(CHECKED_SHARES if truth is not None else ())])
+    else:
+        out |= _by_name(kept("report_shares", lambda: all_shares(reported, ignored, unimportant, not_for_training, None)), list(SHARES))
+        out |= _by_name(kept("report_truth_shares", lambda: all_shares(checked, ignored, unimportant, not_for_training, truth)), list(CHECKED_SHARES))
+    out["accuracy_declared"] = kept("report_accuracy_declared", lambda: RE.accuracies(reported, "classname_declared", "pred1", "pred_full_alpha", [*ignored, *not_for_training]))
+    out["scores_declared"] = kept("report_scores_declared", lambda: RE.class_scores(reported, "classname_declared", "pred1"))
+    if checked is not None:
+        known = checked.where(F.col(truth).isNotNull())
+        full = RE.truth_conclusions(RE.truth_conclusions(known, "pred_consolidated", ignored, truth), "pred_full_alpha", ignored, truth, prefix="full")
+        out |= {"errors": kept("report_errors_all", lambda: RE.error_rates(full)), "errors_full": kept("report_errors_full", lambda: RE.error_rates(full, "full_conclusion"))}
+        out |= {"accuracy_truth": kept("report_accuracy_truth", lambda: RE.accuracies(known, truth, "pred1", "pred_full_alpha", ignored)), "accuracy_per_pixcount": kept("report_accuracy_pixels", lambda: RE.accuracy_by_pixels(known, truth, "pred1"))}
+        errors = kept("report_errors", lambda: all_errors(known, ignored, rules, crop, class_type, truth), rules=str(rules))
+        out |= _by_name(errors, [f"{k}_{g}" for g in ERROR_TABLES for k in ("alpha", "beta", "theta")])
     return out
 
 
@@ -173,35 +216,61 @@ def cover_report(selected: DataFrame, checks: DataFrame, parcels: DataFrame, cov
 
 @dataclass
 class Classification:
-    """What a classification run gives."""
+    """What a classification run gives; every table is a stage of the run's store."""
 
     features: DataFrame
     sample: DataFrame
     predictions: DataFrame
     reports: dict[str, DataFrame]
+    classes: list[str]
+    store: RunStore
 
 
-def classification(parcels: DataFrame, zonal: DataFrame, ignored: list[str], not_for_training: list[str], unimportant: list[str], model_path: str, kind: str = "randomforest", strategy: str = "MEDIUM2", test_share: float = 0.2, least_pixels: int = 1, rules: CO.Doubt = CO.Doubt(), least_pct: float = 80.0, force: bool = False, truth: DataFrame | None = None, **options) -> Classification:
+def prepared(parcels: DataFrame, zonal: DataFrame, ignored: list[str], not_for_training: list[str], store: RunStore, strategy: str = "MEDIUM2", test_share: float = 0.2, least_pixels: int = 1, least_pct: float = 80.0, parcels_version: str | None = None, zonal_version: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stages before the model: (features, sample to learn from with its draws, samples to test and to predict)."""
+    store.input("parcels", parcels, parcels_version)
+    store.input("zonal", zonal, zonal_version)
+    long = store.stage("long_features", lambda: FE.long_features(zonal, parcels, least_pct=least_pct), ["parcels", "zonal"], least_pct=least_pct)
+    features = store.stage("features", lambda: FE.feature_matrix(long, parcels)[0], ["parcels", "long_features"])
+    cut = {"test_share": test_share, "least_pixels": least_pixels, "ignored": ignored, "not_for_training": not_for_training}
+    split = store.stage("split", lambda: SA.test_split(SA.training_candidates(parcels, least_pixels, not_for_training, ignored), test_share, "classname").select("uid", "classname", "is_test"), ["parcels"], **cut)
+    sample = store.stage("sample", lambda: SA.balance(split.where("not is_test").drop("is_test"), strategy, "classname"), ["split"], strategy=strategy)
+    return features, sample, split.where("is_test").select("uid", "classname")
+
+
+def classification(parcels: DataFrame, zonal: DataFrame, ignored: list[str], not_for_training: list[str], unimportant: list[str], model_path: str, kind: str = "randomforest", strategy: str = "MEDIUM2", test_share: float = 0.2, least_pixels: int = 1, rules: CO.Doubt = CO.Doubt(), least_pct: float = 80.0, force: bool = False, truth: DataFrame | None = None, store: RunStore | None = None, parcels_version: str | None = None, zonal_version: str | None = None, **options) -> Classification:
     """Prepared parcels and zonal statistics to predictions and reports: features, balanced sample, model, verdicts.
 
-    `truth` (uid, classname_truth) adds the tables on checked parcels. A model at `model_path` is used again unless `force` is given.
+    `truth` (uid, classname_truth) adds the tables on checked parcels. A fitting model at `model_path` is used again unless `force` is
+    given. Each step is a stage of `store` (a new one below the shared folder, if none is given): a run that was cut short
+    goes on after its last complete stage, and one with other rules shares all stages before the verdicts.
     """
-    matrix, _ = FE.feature_matrix(FE.long_features(zonal, parcels, least_pct=least_pct), parcels)
-    candidates = SA.training_candidates(parcels, least_pixels, not_for_training, ignored)
-    split = SA.test_split(candidates, test_share, "classname")
-    sample = SA.balance(split.where("not is_test").drop("is_test"), strategy, "classname")
-    samples = {"train": sample.select("uid", "classname"), "test": split.where("is_test").select("uid", "classname"), "all": SA.predictable(parcels, ignored).select("uid")}
-    found = MO.train_and_predict(samples, matrix, "classname", model_path, kind, force=force, **options)
-    probabilities, classes = found["all"]
-    rows = consolidation(parcels, probabilities, classes, ignored, classes, rules)
-    tested = CO.top_classes(found["test"][0], classes, 1)
-    reports = report(rows, ignored, unimportant, not_for_training, rules, {"kind": kind, "strategy": strategy}, truth=None if truth is None else "classname_truth", truths=truth)
-    reports["test_accuracy"] = RE.accuracy(tested, "classname", "pred1")
-    return Classification(matrix, sample, RE.with_training_flag(rows, sample), reports)
-
-
-def reported_again(spark: SparkSession, parcels: str, probabilities: str, classes: list[str], ignored: list[str], unimportant: list[str], not_for_training: list[str], rules: CO.Doubt, **kw) -> dict[str, DataFrame]:
-    """Verdicts and reports of a stored run under other rules: its parcels and probabilities are read from Parquet."""
-    rows = consolidation(spark.read.parquet(parcels), spark.read.parquet(probabilities), classes, ignored, classes, rules, crop=kw.get("crop"))
-    return report(rows, ignored, unimportant, not_for_training, rules, **kw)
-
+    store = store or RunStore(parcels.sparkSession, shared_folder(parcels.sparkSession))
+    features, sample, test = prepared(parcels, zonal, ignored, not_for_training, store, strategy, test_share, least_pixels, least_pct, parcels_version, zonal_version)
+    everything = SA.predictable(parcels, ignored).select("uid")
+    how = {"kind": kind, "model_path": model_path, "options": options}
+    names = [c for c in features.columns if c != "uid"]
+    model = MO.trained(MO.with_features(sample, features).where(F.col("classname").isNotNull()), names, "classname", model_path, kind, force, **options)
+    classes = MO.classes_of(model)
+    how["model"] = MO.fingerprint_at(parcels.sparkSession, model_path)
+    predicted = lambda rows, keep: MO.probabilities(model, MO.with_features(rows, features), keep)[0]
+    probabilities = store.stage("probabilities", lambda: predicted(everything, ["uid"]), ["parcels", "features", "sample"], ignored=ignored, **how)
+    tested = store.stage("test_probabilities", lambda: predicted(test, ["uid", "classname"]), ["split", "features", "sample"], **how)
+    flagged = lambda: RE.with_training_flag(consolidation(parcels, probabilities, classes, ignored, classes, rules), sample)
+    rows = store.stage("verdicts", flagged, ["parcels", "probabilities", "sample"], ignored=ignored, rules=str(rules))
+    reports = report(rows, ignored, unimportant, not_for_training, rules, {"kind": kind, "strategy": strategy}, truth=None if truth is None else "classname_truth", truths=truth, store=store)
+    reports["test_accuracy"] = store.stage("report_test_accuracy", lambda: RE.accuracy(CO.top_classes(tested, classes, 1), "classname", "pred1"), ["test_probabilities"])
+    return Classification(features, sample, rows, reports, classes, store)
+
+
+def reported_again(spark: SparkSession, parcels: str, probabilities: str, classes: list[str], ignored: list[str], unimportant: list[str], not_for_training: list[str], rules: CO.Doubt, store: RunStore | None = None, **kw) -> dict[str, DataFrame]:
+    """Verdicts and reports of a stored run under other rules: its parcels and probabilities are read from Parquet.
+
+    The verdicts are a stage of `store` (a new one, if none is given), so that all tables read them and none makes them again.
+    """
+    store = store or RunStore(spark, shared_folder(spark))
+    rows, found = store.input("reported_parcels", spark.read.parquet(parcels)), store.input("reported_probabilities", spark.read.parquet(probabilities))
+    how = {"crop": kw.get("crop"), "class_type": kw.get("class_type", "")}
+    make = lambda: consolidation(rows, found, classes, ignored, classes, rules, **how)
+    verdicts = store.stage("verdicts_again", make, ["reported_parcels", "reported_probabilities"], classes=classes, ignored=ignored, rules=str(rules), **how)
+    return report(verdicts, ignored, unimportant, not_for_training, rules, store=store, name="verdicts_again", **kw)

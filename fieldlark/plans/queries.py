@@ -120,9 +120,12 @@ feature AS (SELECT w.uid, image_profile || '_' || strftime(start_date, '%Y%m%d')
 """
 
 
+def table_of_wanted(spark, sf_dir) -> DataFrame:
+    return FE.wanted_slices(zonal(spark, sf_dir), sorted(set(_PROFILE.values())), "2024-01-01", "2024-01-29")
+
+
 def features_long(spark, sf_dir) -> DataFrame:
-    z = FE.wanted_slices(zonal(spark, sf_dir), sorted(set(_PROFILE.values())), "2024-01-01", "2024-01-29")
-    return FE.long_features(z, observations(spark, sf_dir).select("uid"))
+    return FE.long_features(table_of_wanted(spark, sf_dir), observations(spark, sf_dir).select("uid"))
 
 
 @query(f"WITH {_LONG} SELECT uid, feature, round(value, 9) AS value FROM feature")

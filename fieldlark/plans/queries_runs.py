@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 from ..functions import bands as B
 from ..operators import consolidate as CO
 from ..operators import cover as CV
+from ..operators import report as RE
 from . import pipelines as P
 from . import queries as Q
 from . import queries_more as QM
 from . import queries_verdict as QV
 from .queries import rounded
+from .runs import RunStore, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -149,12 +152,9 @@ SELECT * REPLACE ({err} AS count_error) FROM {src})""".replace(f"sum(count_all)
 
 @query(" UNION ALL ".join(_error_table(k, g) for g in P.ERROR_TABLES for k in ("alpha", "beta", "theta")))
 def run_error_tables(spark, sf_dir):
-    """All twelve error tables."""
-    out = None
-    for name, df in P.error_tables(verdict_rows(spark, sf_dir), ["IGN"], _RULES, class_type="CROPGROUP").items():
-        one = df.select(F.lit(name).alias("name"), F.col("grp").cast("string").alias("grp"), "count_all", "count_error", "count_error_full_doubt", "count_all_full_doubt", "count_all_cumul")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """All twelve error tables, in one pass."""
+    out = P.all_errors(verdict_rows(spark, sf_dir), ["IGN"], _RULES, class_type="CROPGROUP")
+    return out.select("name", "grp", "count_all", "count_error", "count_error_full_doubt", "count_all_full_doubt", "count_all_cumul")
 
 
 _SHARE = "SELECT '{name}' AS name, {col} AS value, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS pct FROM {src} GROUP BY 2"
@@ -173,14 +173,48 @@ def _report_sql() -> str:
 @query(_report_sql())
 def run_report_shares(spark, sf_dir):
     """The five percentage tables of a report."""
-    tables, out = P.report(verdict_rows(spark, sf_dir), ["IGN"], ["C4"], ["C3"], _RULES, class_type="CROPGROUP"), None
-    for name in ("conclusions", "conclusion_details", "full_details", "truth_conclusions", "truth_conclusions_full"):
-        df = tables[name]
-        one = df.select(F.lit(name).alias("name"), F.col(df.columns[0]).alias("value"), "n", F.round("pct", 6).alias("pct"))
+    reported, _ = RE.split_unimportant(verdict_rows(spark, sf_dir), ["C4"])
+    return P.all_shares(reported, ["IGN"], ["C4"], ["C3"]).withColumn("pct", F.round("pct", 6))
+
+
+@query(_report_sql().replace("pixcount < 10", "pixcount < 25"))
+def run_reported_again(spark, sf_dir):
+    """The percentage tables of a stored run's probabilities under other rules, read from the store."""
+    parcels, probabilities = verdict_parcels(spark, sf_dir)
+    store = RunStore(spark, shared_folder(spark))
+    store.input("parcels", parcels)
+    store.input("probabilities", probabilities)
+    store.stage("stored_parcels", lambda: parcels, ["parcels"])
+    store.stage("stored_probabilities", lambda: probabilities, ["probabilities"])
+    paths = [f"{store.root}/{s}-{store.versions[s]}" for s in ("stored_parcels", "stored_probabilities")]
+    tables, out = P.reported_again(spark, *paths, QV.CLASSES, ["IGN"], ["C4"], ["C3"], replace(_RULES, least_pixels=25), store=store, crop="cropcode", class_type="CROPGROUP"), None
+    for name in (*P.SHARES, *P.CHECKED_SHARES):
+        one = tables[name].select(F.lit(name).alias("name"), "value", "n", F.round("pct", 6).alias("pct"))
         out = one if out is None else out.unionByName(one)
     return out
 
 
+@query(
+    f"""WITH {Q._LONG}, wide AS (SELECT p.uid, count(f.value) AS filled FROM parcels p LEFT JOIN feature f USING (uid) GROUP BY 1), nf AS (SELECT count(DISTINCT feature) AS k FROM feature),
+m AS (SELECT uid, filled FROM wide, nf WHERE filled >= k - (0.6 * k)::INT - CASE WHEN (0.6 * k)::INT > 0.6 * k THEN -1 ELSE 0 END),
+c AS (SELECT uid, 'C' || (uid::BIGINT % 3) AS classname FROM parcels WHERE uid::BIGINT % 7 <> 0),
+t AS (SELECT *, row_number() OVER (PARTITION BY classname ORDER BY md5('test:' || uid), uid) AS r, count(*) OVER (PARTITION BY classname) AS n FROM c),
+s AS (SELECT uid, classname, r <= round_even(0.2 * n, 0) AS is_test FROM t)
+SELECT s.uid, s.classname, s.is_test, m.filled IS NOT NULL AS has_features, coalesce(m.filled, 0)::BIGINT AS n_filled FROM s LEFT JOIN m USING (uid)"""
+)
+def run_classification(spark, sf_dir):
+    """A classification run up to its model, by the stages of a store: features, and the samples to learn from and to test."""
+    zonal = Q.table_of_wanted(spark, sf_dir)
+    n = F.col("uid").cast("long")
+    parcels = Q.observations(spark, sf_dir).select("uid").distinct().select("uid", F.concat(F.lit("C"), (n % 3).cast("string")).alias("classname"), F.when(n % 7 == 0, 0).otherwise(9).alias("pixcount"))
+    store = RunStore(spark, shared_folder(spark))
+    features, sample, test = P.prepared(parcels, zonal, [], [], store, "UPPER_LIMIT")
+    filled = spark.read.parquet(f"{store.root}/long_features-{store.versions['long_features']}").groupBy("uid").agg(F.count("value").alias("n_filled"))
+    chosen = sample.select("uid", "classname", F.lit(False).alias("is_test")).unionByName(test.withColumn("is_test", F.lit(True)))
+    known = features.select("uid", F.lit(True).alias("has_features")).join(filled, "uid", "left")
+    return chosen.join(known, "uid", "left").select("uid", "classname", "is_test", F.coalesce("has_features", F.lit(False)).alias("has_features"), F.when(F.col("has_features"), F.coalesce("n_filled", F.lit(0))).otherwise(0).cast("long").alias("n_filled"))
+
+
 # ---------------------------------------------------------------- cover
 
 @query(

@@ -1,6 +1,9 @@
 """Exact values and every branch of the parcel operators on rows of their own."""
 
 import datetime as dt
+import fractions
+import math
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,3 +156,22 @@ def test_weekly_stream_matches_its_batch_twin(spark, tmp_path):
     q = stream.writeStream.outputMode("complete").format("memory").queryName("weeks").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert sorted(map(tuple, spark.table("weeks").collect())) == sorted(map(tuple, weekly(rows, ["k"]).collect()))
+
+
+def test_statistics_keep_digits_of_large_means(spark):
+    """Variances around 1e9, against the engine's own; ties, nulls and empty groups."""
+    rows = [("a", 1e9 + k) for k in (1, 2, 3)] + [("b", 1e9 + k * 0.25) for k in range(50) for _ in range(k % 4)] + [("c", None), ("d", 5.0), ("d", None), ("e", -1e9), ("e", 1e9), ("e", 1e9)]
+    df = spark.createDataFrame(rows, "k string, value double")
+    got = {r["k"]: r for r in features.statistics(df, ["k"]).collect()}
+    want = df.groupBy("k").agg(F.count("value").alias("n"), F.var_pop("value").alias("var"), F.stddev_pop("value").alias("std"), F.percentile("value", F.lit(0.5)).alias("median"), F.avg("value").alias("mean")).collect()
+    for w in want:
+        g = got[w["k"]]
+        assert g["count"] == w["n"] and g["median"] == w["median"] and g["mean"] == w["mean"]
+        xs = [x for k, x in rows if k == w["k"] and x is not None]
+        if not xs:
+            assert g["variance"] is None and g["std"] is None and w["var"] is None
+            continue
+        exact = statistics.pvariance([fractions.Fraction(x) for x in xs])
+        for mine, theirs, true in ((g["variance"], w["var"], exact), (g["std"], w["std"], math.sqrt(exact))):
+            assert math.isclose(mine, true, rel_tol=1e-9) and math.isclose(mine, theirs, rel_tol=1e-7)
+    assert (got["e"]["majority"], got["e"]["minority"], got["a"]["majority"]) == (1e9, -1e9, 1e9 + 1)

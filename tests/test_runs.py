@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fieldlark.functions import values
 from fieldlark.operators import features, labels, models, raster, report, sampling, zonal
-from fieldlark.plans import pipelines
+from fieldlark.plans import pipelines, runs
 from fieldlark.sources import tables
 
 
@@ -159,11 +159,58 @@ def test_a_classification_run(spark, tmp_path):
     verdicts = {r["uid"]: r for r in run.predictions.collect()}
     assert len(verdicts) == 300 and verdicts["0"]["pred_consolidated"] == "IGNORE:NOT_DECLARED" and sum(r["used_for_train"] for r in verdicts.values()) == run.sample.count()
     assert {"errors", "conclusions", "alpha_pixcount", "theta_probability", "accuracy_truth", "rows"} <= set(run.reports) and len([k for k in run.reports if k.split("_")[0] in ("alpha", "beta", "theta")]) == 12
-    assert run.reports["conclusions"].agg(F.sum("n")).first()[0] == 300
-    again = pipelines.classification(parcels, zonal_rows, [], [], [], path, strategy="UPPER_LIMIT", numTrees=1, maxDepth=1)
-    assert sorted(map(tuple, again.predictions.select("uid", "pred1", "pred1_prob").collect())) == sorted(map(tuple, run.predictions.select("uid", "pred1", "pred1_prob").collect()))
+    assert run.reports["conclusions"].agg(F.sum("n")).first()[0] == 300 and run.reports["rows"].first()["reported"] == 300
+    # the same run again computes nothing, other rules only what depends on them, and a half-written stage is written anew
+    store = runs.RunStore(spark, run.store.root)
+    again = pipelines.classification(parcels, zonal_rows, [], [], [], path, strategy="UPPER_LIMIT", truth=truth, store=store, numTrees=8, maxDepth=4)
+    assert store.made == [] and len(store.reused) == len(run.store.made)
+    assert sorted(map(tuple, again.predictions.collect())) == sorted(map(tuple, run.predictions.collect()))
+    store = runs.RunStore(spark, run.store.root)
+    strict = pipelines.classification(parcels, zonal_rows, [], [], [], path, strategy="UPPER_LIMIT", truth=truth, store=store, rules=pipelines.CO.Doubt(least_pixels=30), numTrees=8, maxDepth=4)
+    assert {"long_features", "features", "sample", "probabilities", "report_test_accuracy"} <= set(store.reused) and "verdicts" in store.made and "features" not in store.made
+    assert strict.reports["conclusions"].where("value = 'DOUBT'").first()["n"] > 200
+    store.delete("probabilities")
+    resumed = runs.RunStore(spark, run.store.root)
+    pipelines.classification(parcels, zonal_rows, [], [], [], path, strategy="UPPER_LIMIT", truth=truth, store=resumed, numTrees=8, maxDepth=4)
+    assert resumed.made == ["probabilities"] and "verdicts" in resumed.reused
+    assert {r["stage"] for r in resumed.manifest().collect()} >= {"features", "verdicts", "report_errors"}
+    # every table of the report is one scan of a stored stage, and none joins
+    for name, df in run.reports.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert name == "parameters" or plan.count("FileScan") == 1 and "Join" not in plan, name
+    # a model of another kind, of other options or features is refused
+    for change in ({"kind": "gradientboosting"}, {"numTrees": 1}):
+        with pytest.raises(ValueError, match="differs in"):
+            pipelines.classification(parcels, zonal_rows, [], [], [], path, strategy="UPPER_LIMIT", **{"numTrees": 8, "maxDepth": 4, **change})
+    model = models.PipelineModel.load(path)
+    models.same_features(model, [c for c in run.features.columns if c != "uid"])
+    with pytest.raises(ValueError, match="is of"):
+        models.same_features(model, ["x"])
     stored = [str(tmp_path / x) for x in ("parcels", "probabilities")]
     parcels.write.parquet(stored[0])
-    models.train_and_predict({"train": run.sample, "all": parcels.select("uid")}, run.features, "classname", path)["all"][0].write.parquet(stored[1])
+    models.train_and_predict({"train": run.sample, "all": parcels.select("uid")}, run.features, "classname", path, numTrees=8, maxDepth=4)["all"][0].write.parquet(stored[1])
     tables_again = pipelines.reported_again(spark, *stored, ["C0", "C1", "C2"], [], [], [], pipelines.CO.Doubt(least_pixels=30), truth=None)
-    assert tables_again["conclusions"].where("conclusion = 'DOUBT'").first()["n"] > 200
+    assert tables_again["conclusions"].where("value = 'DOUBT'").first()["n"] > 200
+    root = run.store._path(run.store.root)
+    assert root[1].exists(root[0])
+    run.store.delete()
+    assert not root[1].exists(root[0])
+
+
+def test_versions_of_inputs(spark, tmp_path):
+    """A file that changes gives another version, and its stages are made again; a stage that fails leaves no manifest."""
+    path = str(tmp_path / "in")
+    spark.range(5).write.parquet(path)
+    results = []
+    for rows in (5, 5, 9):
+        if rows == 9:
+            spark.range(9).write.mode("overwrite").parquet(path)
+        store = runs.RunStore(spark, str(tmp_path / "runs"))
+        df = store.input("in", spark.read.parquet(path))
+        results.append((store.stage("twice", lambda df=df: df.selectExpr("id * 2 AS x"), ["in"], factor=2).count(), store.made))
+    assert results == [(5, ["twice"]), (5, []), (9, ["twice"])]
+    store = runs.RunStore(spark, str(tmp_path / "runs"))
+    store.input("in", spark.range(1), "v1")
+    with pytest.raises(Exception, match="BROKEN"):
+        store.stage("bad", lambda: spark.range(1).selectExpr("raise_error('BROKEN') AS x"), ["in"])
+    assert store.stage("bad", lambda: spark.range(3), ["in"]).count() == 3 and store.made == ["bad"]
