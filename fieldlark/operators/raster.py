@@ -1,14 +1,17 @@
 """Pixel tables: cloud masks, temporal composites, best available pixels, neighbourhood filters.
 
-A pixel is (tile, row, col); an image is a pixel table of one acquisition. Neighbourhoods never collect a tile: one pass
-along the columns and one along the rows send each pixel to the cells on its line, and an aggregation sums them up; a pixel's own
-columns travel with the cell it stands on, so that nothing is joined back.
+A pixel is (tile, row, col); an image is a pixel table of one acquisition. Neighbourhoods never collect a tile: a range frame
+along each row and one along each column fold what lies near. Rows aren't copied; where an image has gaps, and at its edges,
+cells without a pixel carry the first pass's folds on to the second.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..functions.bands import date_score
 
@@ -60,28 +63,50 @@ def scene_counts(pixels: DataFrame, zone: list[str], scl: str = "scl") -> DataFr
     return out.withColumn("nb_bad_pixels", sum((F.col(c) for c in BAD), F.lit(0)))
 
 
-def along(rows: DataFrame, axis: str, half: int, columns: dict[str, Column], own: str = "_own") -> DataFrame:
-    """Each cell's aggregates of what lies up to `half` away on its line; `_off` is the offset, `own` what the cell itself carries."""
-    step = F.array(*(F.lit(i) for i in range(-half, half + 1)))
-    keys = [c for c in rows.columns if c in PIXEL]
-    near = rows.withColumn("_off", F.explode(step)).withColumn(axis, F.col(axis) + F.col("_off"))
-    mine = F.flatten(F.collect_list(F.when(F.col("_off") == 0, F.col(own)))).alias(own)
-    return near.groupBy(*keys).agg(mine, *(c.alias(n) for n, c in columns.items()))
+Fold = Callable[[str, str, WindowSpec], Column]
+
+
+def _frame(axis: str, half: int) -> WindowSpec:
+    """The cells up to `half` away on a line along `axis`."""
+    return Window.partitionBy("tile", "col" if axis == "row" else "row").orderBy(axis).rangeBetween(-half, half)
+
 
+def _with_gaps(rows: DataFrame, half: int) -> DataFrame:
+    """The rows, and up to `half` cells without a pixel (`_own` and all else null) on either side of each gap along the columns.
 
-def window(pixels: DataFrame, half: int, start: dict[str, Column], fold: dict[str, Column]) -> DataFrame:
-    """Every pixel with aggregates over the square around it, in two passes; `fold` combines the columns of `start` with themselves."""
-    own = F.array(F.struct(*(c for c in pixels.columns if c not in PIXEL))) if set(pixels.columns) - set(PIXEL) else F.array(F.struct(F.lit(0).alias("_none")))
-    rows = pixels.select(*PIXEL, own.alias("_own"), *(c.alias(n) for n, c in start.items()))
-    for axis in ("row", "col"):
-        rows = along(rows, axis, half, fold)
-    return rows.select(*PIXEL, F.inline("_own"), *start).drop("_none")
+    `_again` marks all pixels of a cell but the first.
+    """
+    line = Window.partitionBy("tile", "row").orderBy("col")
+    before = F.least(F.coalesce(F.col("col") - F.lag("col").over(line) - 1 - half, F.lit(half)), F.lit(half))  # what the left neighbour leaves
+    after = F.least(F.coalesce(F.lead("col").over(line) - F.col("col") - 1, F.lit(half)), F.lit(half))
+    again = F.coalesce(F.lag("col").over(line) == F.col("col"), F.lit(False))
+    marked = rows.withColumns({"_before": F.greatest(before, F.lit(0)), "_after": F.greatest(after, F.lit(0)), "_again": again})
+    offsets = F.filter(F.sequence(-F.col("_before"), F.col("_after")), lambda _: F.lit(True))
+    rest = [c for c in rows.columns if c not in PIXEL]
+    cells = F.when((F.col("_before") == 0) & (F.col("_after") == 0), F.array(F.lit(0).cast("long"))).otherwise(offsets.cast("array<long>"))
+    near = marked.withColumn("_off", F.explode(cells))
+    here = F.col("_off") == 0
+    return near.select("tile", "row", (F.col("col") + F.col("_off")).alias("col"), *(F.when(here, F.col(c)).alias(c) for c in [*rest, "_again"]))
+
+
+def window(pixels: DataFrame, half: int, start: dict[str, Column], fold: Fold) -> DataFrame:
+    """Every pixel with folds over the square around it, along the rows first, then along the columns.
+
+    `fold` (column, axis, frame) gives the fold of a column of `start` over a frame; cells without a pixel hold null.
+    """
+    own = F.struct(*(c for c in pixels.columns if c not in PIXEL)) if set(pixels.columns) - set(PIXEL) else F.struct(F.lit(0).alias("_none"))
+    rows = _with_gaps(pixels.select(*PIXEL, own.alias("_own"), *(c.alias(n) for n, c in start.items())), half)
+    rows = rows.withColumns({n: fold(n, "col", _frame("col", half)) for n in start})
+    # a cell with several pixels stands for its line once
+    rows = rows.withColumns({n: F.when(~F.coalesce("_again", F.lit(False)), F.col(n)) for n in start})
+    rows = rows.withColumns({n: fold(n, "row", _frame("row", half)) for n in start})
+    return rows.where(F.col("_own").isNotNull()).select(*PIXEL, "_own.*", *start).drop("_none")
 
 
 def focal_mean(pixels: DataFrame, size: int, value: str = "value", without_centre: bool = False, name: str = "focal_mean") -> DataFrame:
     """The mean over the size x size window of every pixel; cells outside the table, and nulls, don't count."""
     start = {"_s": F.coalesce(F.col(value).cast("double"), F.lit(0.0)), "_n": F.col(value).isNotNull().cast("long")}
-    near = window(pixels, size // 2, start, {"_s": F.sum("_s"), "_n": F.sum("_n")})
+    near = window(pixels, size // 2, start, lambda c, axis, frame: F.sum(c).over(frame))
     s, n = F.col("_s"), F.col("_n")
     if without_centre:
         s, n = s - F.coalesce(F.col(value).cast("double"), F.lit(0.0)), n - F.col(value).isNotNull().cast("long")
@@ -90,7 +115,7 @@ def focal_mean(pixels: DataFrame, size: int, value: str = "value", without_centr
 
 def dilated_cloud(pixels: DataFrame, half: int, scl: str = "scl") -> DataFrame:
     """A flag `near_cloud`: a cloud within `half` pixels."""
-    near = window(pixels, half, {"_near": F.coalesce(F.col(scl).isin(*CLOUDS), F.lit(False)).cast("int")}, {"_near": F.max("_near")})
+    near = window(pixels, half, {"_near": F.coalesce(F.col(scl).isin(*CLOUDS), F.lit(False)).cast("int")}, lambda c, axis, frame: F.max(c).over(frame))
     return near.withColumn("near_cloud", F.col("_near") == 1).drop("_near")
 
 
@@ -116,7 +141,12 @@ def distance_score(pixels: DataFrame, half: int = 5, sigma: float = 1.0, scl: st
     weights = F.array(*(F.lit(x / sum(weight)) for x in weight))
     cloud = F.coalesce(F.col(scl), F.lit(0)).isin(*CLOUDS).cast("double")
     keyed = pixels.withColumn("tile", F.struct("tile", image))  # images of their own
-    near = window(keyed, half, {"_s": cloud}, {"_s": F.sum(F.col("_s") * F.get(weights, F.col("_off") + half))})
+
+    def fold(c: str, axis: str, frame: WindowSpec) -> Column:
+        line = F.collect_list(F.when(F.col(c) != 0, F.struct(F.col(axis).alias("at"), F.col(c).alias("x")))).over(frame)
+        return F.aggregate(line, F.lit(0.0), lambda a, p: a + p["x"] * F.get(weights, (p["at"] - F.col(axis) + half).cast("int")))
+
+    near = window(keyed, half, {"_s": cloud}, fold)
     return near.withColumns({"tile": F.col("tile.tile"), "dtc": 1 - F.col("_s")}).drop("_s")
 
 

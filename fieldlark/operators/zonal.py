@@ -7,7 +7,7 @@ that share an edge never share a pixel.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .features import statistics
@@ -16,14 +16,19 @@ from .raster import scene_counts
 RULES = ("centre", "centre_2x", "coverage")
 
 
+def directed(parcels: DataFrame, id_col: str = "uid", geometry: str = "geom") -> DataFrame:
+    """(uid, ring, edge, ax, ay, bx, by) in the order of the rings; a ring closes itself."""
+    rings = parcels.select(id_col, F.posexplode(geometry).alias("ring", "_points")).where(F.size("_points") >= 3)
+    pairs = F.transform("_points", lambda p, i: F.struct(p["x"].alias("ax"), p["y"].alias("ay"), F.element_at(F.col("_points"), F.pmod(i + 1, F.size("_points")) + 1).alias("b")))
+    e = rings.select(id_col, "ring", F.posexplode(pairs).alias("edge", "e"))
+    return e.select(id_col, "ring", "edge", F.col("e.ax").alias("ax"), F.col("e.ay").alias("ay"), F.col("e.b.x").alias("bx"), F.col("e.b.y").alias("by"))
+
+
 def edges(parcels: DataFrame, id_col: str = "uid", geometry: str = "geom") -> DataFrame:
-    """(uid, x0, y0, x1, y1) with y0 <= y1; a ring closes itself."""
-    rings = parcels.select(id_col, F.explode(geometry).alias("ring")).where(F.size("ring") >= 3)
-    pairs = F.transform("ring", lambda p, i: F.struct(p["x"].alias("ax"), p["y"].alias("ay"), F.element_at(F.col("ring"), F.pmod(i + 1, F.size("ring")) + 1).alias("b")))
-    e = rings.select(id_col, F.explode(pairs).alias("e")).select(id_col, F.col("e.ax").alias("ax"), F.col("e.ay").alias("ay"), F.col("e.b.x").alias("bx"), F.col("e.b.y").alias("by"))
+    """(uid, x0, y0, x1, y1) with y0 <= y1."""
     up = F.col("ay") <= F.col("by")
     pick = lambda a, b, n: F.when(up, F.col(a)).otherwise(F.col(b)).alias(n)
-    return e.select(id_col, pick("ax", "bx", "x0"), pick("ay", "by", "y0"), pick("bx", "ax", "x1"), pick("by", "ay", "y1"))
+    return directed(parcels, id_col, geometry).select(id_col, pick("ax", "bx", "x0"), pick("ay", "by", "y0"), pick("bx", "ax", "x1"), pick("by", "ay", "y1"))
 
 
 def bounds(parcels: DataFrame, id_col: str = "uid", geometry: str = "geom") -> DataFrame:
@@ -66,23 +71,104 @@ def rasterised(parcels: DataFrame, size: float = 1.0, id_col: str = "uid", geome
     return s.select(id_col, "row", c0.alias("c0"), c1.alias("c1")).where("c0 <= c1").select(id_col, "row", F.explode(F.sequence("c0", "c1")).alias("col"))
 
 
-def covered(parcels: DataFrame, size: float = 1.0, share: float = 0.5, steps: int = 4, id_col: str = "uid", geometry: str = "geom") -> DataFrame:
-    """Pixels of which at least `share` is covered, by steps x steps points in each."""
-    fine = rasterised(parcels, size / steps, id_col, geometry)
-    n = fine.groupBy(id_col, F.floor(F.col("row") / steps).alias("row"), F.floor(F.col("col") / steps).alias("col")).agg(F.count("*").alias("n"))
-    return n.where(F.col("n") >= share * steps * steps).select(id_col, "row", "col")
+def _ring_sides(e: DataFrame, id_col: str) -> DataFrame:
+    """(uid, ring, side): 1 or -1, so that the edges' areas add up to what the polygon covers, whatever the rings' directions.
 
-
-def eroded(cells: DataFrame, parcels: DataFrame, distance: float, size: float = 1.0, id_col: str = "uid", geometry: str = "geom") -> DataFrame:
-    """Pixels whose centre keeps at least `distance` from every edge of their own polygon (a negative buffer)."""
+    A ring that lies in an odd number of the polygon's other rings is a hole.
+    """
+    x, y = F.col("ax"), F.col("ay")
+    origin = F.struct(F.min_by("ax", "edge").alias("x"), F.min_by("ay", "edge").alias("y"), F.min_by("bx", "edge").alias("bx"), F.min_by("by", "edge").alias("by"))
+    first = e.groupBy(id_col, "ring").agg(origin.alias("o"))
+    # areas around the first corner, which keeps digits far from the origin
+    near = e.join(first, [id_col, "ring"])
+    area = F.sum((x - F.col("o.x")) * (F.col("by") - F.col("o.y")) - (F.col("bx") - F.col("o.x")) * (y - F.col("o.y")))
+    rings = near.groupBy(id_col, "ring").agg(area.alias("area"), ((F.first("o.x") + F.first("o.bx")) / 2).alias("px"), ((F.first("o.y") + F.first("o.by")) / 2).alias("py"))
+    several = rings.join(rings.groupBy(id_col).agg(F.count("*").alias("_n")).where("_n > 1").select(id_col), id_col, "left_semi").select(id_col, F.col("ring").alias("own"), "px", "py")
+    crossing = several.join(e, id_col).where("own <> ring and (ay <= py) <> (by <= py)").where(F.col("px") < x + (F.col("py") - y) / (F.col("by") - y) * (F.col("bx") - x))
+    inside = crossing.groupBy(id_col, "own", "ring").agg((F.count("*") % 2).alias("odd")).groupBy(id_col, F.col("own").alias("ring")).agg((F.sum("odd") % 2).alias("hole"))
+    side = F.signum("area") * F.when(F.coalesce("hole", F.lit(0)) == 1, -1).otherwise(1)
+    return rings.join(inside, [id_col, "ring"], "left").select(id_col, "ring", side.alias("side"))
+
+
+def coverage_fractions(parcels: DataFrame, size: float = 1.0, id_col: str = "uid", geometry: str = "geom") -> DataFrame:
+    """(uid, row, col, fraction): the exact share of each pixel that a polygon covers, where there is any.
+
+    Each edge adds, in every row that it crosses, the area right of it to the pixels that it crosses and its height to all
+    further ones; a running sum along the row gives the share. Rings may have any direction; holes lie within rings. The
+    work grows with edges times the rows and columns that they cross, and with the pixels covered.
+    """
+    e = directed(parcels, id_col, geometry)
+    e = e.join(_ring_sides(e, id_col), [id_col, "ring"]).withColumns({c: F.col(c) / size for c in ("ax", "ay", "bx", "by")}).where("ay <> by")
+    low, high = F.least("ay", "by"), F.greatest("ay", "by")
+    rows = e.withColumn("row", F.explode(F.sequence(F.floor(low).cast("long"), (F.ceil(high) - 1).cast("long"))))
+    at = lambda y: F.col("ax") + (y - F.col("ay")) / (F.col("by") - F.col("ay")) * (F.col("bx") - F.col("ax"))
+    y0, y1 = F.greatest(low, F.col("row")), F.least(high, F.col("row") + 1)
+    rows = rows.select(id_col, "row", at(y0).alias("p"), at(y1).alias("q"), (F.when(F.col("by") > F.col("ay"), -1).otherwise(1) * F.col("side") * (y1 - y0)).alias("h"))
+    first, last = F.floor(F.least("p", "q")).cast("long"), F.floor(F.greatest("p", "q")).cast("long")
+    # u: how much of the pixel's width lies right of a point; its mean along the edge is a difference of antiderivatives
+    gone = lambda u: F.when(u <= 0, 0.0).when(u < 1, u * u / 2).otherwise(u - 0.5)
+
+    def mean(c: Column) -> Column:
+        u, v = c + 1 - F.col("p"), c + 1 - F.col("q")
+        flat = F.least(F.greatest((u + v) / 2, F.lit(0.0)), F.lit(1.0))
+        return F.when(F.abs(u - v) < 1e-9, flat).otherwise((gone(u) - gone(v)) / (u - v))
+
+    parts = F.transform(F.sequence(first, last), lambda c: F.struct(c.alias("col"), (F.col("h") * mean(c)).alias("area"), F.lit(0.0).alias("cover")))
+    beyond = F.array(F.struct((last + 1).alias("col"), F.lit(0.0).alias("area"), F.col("h").alias("cover")))
+    sums = rows.select(id_col, "row", F.inline(F.concat(parts, beyond))).groupBy(id_col, "row", "col").agg(F.sum("area").alias("area"), F.sum("cover").alias("cover"))
+    line = Window.partitionBy(id_col, "row").orderBy("col")
+    run = sums.select(id_col, "row", "col", "area", F.sum("cover").over(line.rowsBetween(Window.unboundedPreceding, 0)).alias("run"), F.lead("col").over(line).alias("next"))
+    own = F.array(F.struct("col", (F.col("area") + F.col("run")).alias("fraction")))
+    gap = F.when((F.col("next") > F.col("col") + 1) & (F.col("run") > 1e-9), F.transform(F.sequence(F.col("col") + 1, F.col("next") - 1), lambda c: F.struct(c.alias("col"), F.col("run").alias("fraction"))))
+    out = run.select(id_col, "row", F.inline(F.concat(own, F.coalesce(gap, F.slice(own, 1, 0)))))
+    return out.where("fraction > 1e-9").withColumn("fraction", F.least("fraction", F.lit(1.0)))
+
+
+def covered(parcels: DataFrame, size: float = 1.0, share: float = 0.5, id_col: str = "uid", geometry: str = "geom") -> DataFrame:
+    """Pixels of which at least `share` (to nine digits) is covered."""
+    return coverage_fractions(parcels, size, id_col, geometry).where(F.col("fraction") >= share - 1e-9).select(id_col, "row", "col")
+
+
+#: Columns of pixels that share a block when pixels meet the edges near them.
+BLOCK = 16
+
+
+def near_edges(cells: DataFrame, parcels: DataFrame, distance: float, size: float = 1.0, id_col: str = "uid", geometry: str = "geom") -> DataFrame:
+    """(uid, row, col, d): the pixels with the distance of their centre from each edge nearby; null without one.
+
+    Edges are dealt to the rows, and the blocks of BLOCK columns in them, that they come within `distance` of; pixels meet
+    only the edges of their own row and block.
+    """
     e = edges(parcels, id_col, geometry)
+    row_of = lambda y: F.floor(y / size - 0.5).cast("long")
+    e = e.withColumn("row", F.explode(F.sequence(row_of(F.col("y0") - distance), row_of(F.col("y1") + distance) + 1)))
     px, py = (F.col("col") + 0.5) * size, (F.col("row") + 0.5) * size
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    # the part of the edge whose height differs by `distance` at most
+    clip = lambda y: F.least(F.greatest(F.try_divide(y - F.col("y0"), dy), F.lit(0.0)), F.lit(1.0))
+    flat = dy <= 0
+    p = F.when(flat, F.col("x0")).otherwise(F.col("x0") + clip(py - distance) * dx)
+    q = F.when(flat, F.col("x1")).otherwise(F.col("x0") + clip(py + distance) * dx)
+    block = lambda x: F.floor(F.floor(x / size - 0.5) / BLOCK).cast("long")
+    near_rows = e.withColumn("_block", F.explode(F.sequence(block(F.least(p, q) - distance), block(F.greatest(p, q) + distance + size))))
+    keyed = cells.withColumn("_block", F.floor(F.col("col") / BLOCK).cast("long"))
     t = F.coalesce(F.try_divide((px - F.col("x0")) * dx + (py - F.col("y0")) * dy, dx * dx + dy * dy), F.lit(0.0))
     t = F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
     d = F.sqrt(F.pow(px - F.col("x0") - t * dx, 2.0) + F.pow(py - F.col("y0") - t * dy, 2.0))
-    near = cells.join(e, id_col).groupBy(id_col, "row", "col").agg(F.min(d).alias("_d"))
-    return near.where(F.col("_d") >= distance).drop("_d")
+    return keyed.join(near_rows, [id_col, "row", "_block"], "left").select(id_col, "row", "col", d.alias("d"))
+
+
+def eroded(cells: DataFrame, parcels: DataFrame, distance: float, size: float = 1.0, id_col: str = "uid", geometry: str = "geom") -> DataFrame:
+    """Pixels whose centre keeps at least `distance` from every edge of their own polygon (a negative buffer)."""
+    near = near_edges(cells, parcels, distance, size, id_col, geometry).groupBy(id_col, "row", "col").agg(F.min("d").alias("_d"))
+    return near.where(F.col("_d").isNull() | (F.col("_d") >= distance)).drop("_d")
+
+
+def emptied(parcels: DataFrame, rule: str = "centre", size: float = 1.0, share: float = 0.5, buffer: float = 0.0, id_col: str = "uid") -> DataFrame:
+    """Parcels that have pixels, and none any more after the negative buffer."""
+    before = cells_of(parcels, rule, size, share).select(id_col).distinct()
+    after = cells_of(parcels, rule, size, share, buffer).select(id_col).distinct()
+    return parcels.join(before, id_col, "left_semi").join(after, id_col, "left_anti")
 
 
 def lost(parcels: DataFrame, cells: DataFrame, id_col: str = "uid") -> DataFrame:
@@ -90,10 +176,67 @@ def lost(parcels: DataFrame, cells: DataFrame, id_col: str = "uid") -> DataFrame
     return parcels.join(cells.select(id_col).distinct(), id_col, "left_anti")
 
 
-def valid_polygons(parcels: DataFrame, geometry: str = "geom") -> tuple[DataFrame, DataFrame]:
-    """(rows with a ring of three points or more, the rejected rest)."""
-    ok = F.coalesce(F.exists(geometry, lambda r: F.size(r) >= 3), F.lit(False))
-    return parcels.where(ok), parcels.where(~ok)
+def _side(ax: str, ay: str, bx: str, by: str, x: str, y: str) -> Column:
+    """Positive if (x, y) lies left of the line from a to b, 0 on it."""
+    c = F.col
+    return (c(bx) - c(ax)) * (c(y) - c(ay)) - (c(by) - c(ay)) * (c(x) - c(ax))
+
+
+def _meet() -> Column:
+    """Whether the edges (ax, ay)-(bx, by) and (cx, cy)-(dx, dy) have a point in common."""
+    names = ("ax", "ay", "bx", "by"), ("cx", "cy", "dx", "dy")
+    s1, s2 = _side(*names[0], "cx", "cy"), _side(*names[0], "dx", "dy")
+    s3, s4 = _side(*names[1], "ax", "ay"), _side(*names[1], "bx", "by")
+    boxes = F.lit(True)
+    for i in "xy":
+        boxes = boxes & (F.greatest(f"a{i}", f"b{i}") >= F.least(f"c{i}", f"d{i}")) & (F.greatest(f"c{i}", f"d{i}") >= F.least(f"a{i}", f"b{i}"))
+    return boxes & (s1 * s2 <= 0) & (s3 * s4 <= 0)
+
+
+def _in_bands(e: DataFrame, band: float, low: str, high: str, name: str = "_band") -> DataFrame:
+    return e.withColumn(name, F.explode(F.sequence(F.floor(F.least(low, high) / band).cast("long"), F.floor(F.greatest(low, high) / band).cast("long"))))
+
+
+def polygon_faults(parcels: DataFrame, band: float = 1.0, id_col: str = "uid", geometry: str = "geom") -> DataFrame:
+    """(uid, fault) of polygons that aren't valid: `no ring`, `no area`, `repeated point`, `crossing`, the first that holds.
+
+    Consecutive equal points count once. A ring may not visit a point twice, nor may edges of a polygon meet except at
+    their common corner; rings may touch in single corners. Edges are compared within bands of height `band` only.
+    """
+    c = F.col
+    points = F.filter(geometry, lambda r: F.size(r) >= 1)
+    clean = F.transform(points, lambda r: F.filter(r, lambda p, i: ~((p["x"] == F.element_at(r, F.pmod(i - 1, F.size(r)) + 1)["x"]) & (p["y"] == F.element_at(r, F.pmod(i - 1, F.size(r)) + 1)["y"]))))
+    rows = parcels.select(id_col, F.coalesce(clean, F.expr("array()")).alias("_clean"))
+    rings = F.exists("_clean", lambda r: F.size(r) >= 3)
+    none = rows.where(~F.coalesce(rings, F.lit(False))).select(id_col, F.lit(0).alias("_f"))
+    e = directed(rows.where(rings), id_col, "_clean")
+    origin = e.groupBy(id_col, "ring").agg(F.min_by("ax", "edge").alias("ox"), F.min_by("ay", "edge").alias("oy"), F.count("*").alias("n"), F.count_distinct("ax", "ay").alias("points"))
+    area = e.join(origin, [id_col, "ring"]).groupBy(id_col, "ring", "n", "points").agg(F.abs(F.sum((c("ax") - c("ox")) * (c("by") - c("oy")) - (c("bx") - c("ox")) * (c("ay") - c("oy")))).alias("area"), F.max((c("ax") - c("ox")) ** 2 + (c("ay") - c("oy")) ** 2).alias("wide"))
+    flat = area.where(c("area") <= 1e-12 * c("wide")).select(id_col, F.lit(1).alias("_f"))
+    twice = area.where("points < n").select(id_col, F.lit(2).alias("_f"))
+    left = _in_bands(e.join(origin.select(id_col, "ring", "n"), [id_col, "ring"]), band, "ay", "by")
+    right = left.select(id_col, "_band", c("ring").alias("ring2"), c("edge").alias("edge2"), c("ax").alias("cx"), c("ay").alias("cy"), c("bx").alias("dx"), c("by").alias("dy"))
+    pairs = left.join(right, [id_col, "_band"]).where("(ring < ring2 or (ring = ring2 and edge < edge2))").where(_meet())
+    # neighbours share a corner: they cross if they run back on each other; other pairs of one ring may not meet at all
+    ahead, around = (c("ring") == c("ring2")) & (c("edge2") == c("edge") + 1), (c("ring") == c("ring2")) & (c("edge") == 0) & (c("edge2") == c("n") - 1)
+    back = lambda dot, side: (side == 0) & (dot > 0)
+    folded_ahead = back((c("ax") - c("bx")) * (c("dx") - c("cx")) + (c("ay") - c("by")) * (c("dy") - c("cy")), _side("ax", "ay", "bx", "by", "dx", "dy"))
+    folded_around = back((c("bx") - c("ax")) * (c("cx") - c("dx")) + (c("by") - c("ay")) * (c("cy") - c("dy")), _side("ax", "ay", "bx", "by", "cx", "cy"))
+    corner = F.lit(False)
+    for x, y in (("ax", "ay"), ("bx", "by")):
+        for u, v in (("cx", "cy"), ("dx", "dy")):
+            corner = corner | ((c(x) == c(u)) & (c(y) == c(v)))
+    proper = (_side("ax", "ay", "bx", "by", "cx", "cy") * _side("ax", "ay", "bx", "by", "dx", "dy") < 0) & (_side("cx", "cy", "dx", "dy", "ax", "ay") * _side("cx", "cy", "dx", "dy", "bx", "by") < 0)
+    bad = F.when(ahead, folded_ahead).when(around, folded_around).when(c("ring") != c("ring2"), proper | ~corner & (_side("ax", "ay", "bx", "by", "cx", "cy") == 0) & (_side("ax", "ay", "bx", "by", "dx", "dy") == 0)).otherwise(True)
+    crossing = pairs.where(bad).select(id_col, F.lit(3).alias("_f")).distinct()
+    every = none.unionByName(flat).unionByName(twice).unionByName(crossing).groupBy(id_col).agg(F.min("_f").alias("_f"))
+    return every.select(id_col, F.get(F.array(*map(F.lit, ("no ring", "no area", "repeated point", "crossing"))), c("_f")).alias("fault"))
+
+
+def valid_polygons(parcels: DataFrame, geometry: str = "geom", id_col: str = "uid") -> tuple[DataFrame, DataFrame]:
+    """(rows of valid polygons, the rejected rest with their `fault`)."""
+    faults = polygon_faults(parcels, id_col=id_col, geometry=geometry)
+    return parcels.join(faults, id_col, "left_anti"), parcels.join(faults, id_col)
 
 
 def cells_of(parcels: DataFrame, rule: str = "centre", size: float = 1.0, share: float = 0.5, buffer: float = 0.0) -> DataFrame:
@@ -141,9 +284,55 @@ def clustered(df: DataFrame, *by: str, partitions: int | None = None) -> DataFra
     return (df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)).sortWithinPartitions(*cols)
 
 
-def within_footprint(parcels: DataFrame, footprint: DataFrame, size: float = 1.0) -> DataFrame:
-    """Parcels all of whose pixels are pixels of the footprint polygon (one row uid, geom)."""
-    own, image = rasterised(parcels, size), rasterised(footprint, size).select("row", "col", F.lit(1).alias("_in"))
-    full = own.join(image, ["row", "col"], "left").groupBy("uid").agg(F.count("*").alias("n"), F.count("_in").alias("m")).where("n = m")
-    return parcels.join(full.select("uid"), "uid", "left_semi")
+def _points_in(points: DataFrame, e: DataFrame, band: float, keys: list[str], on: list[str]) -> DataFrame:
+    """`points` (keys, x, y) with `_in`: 1 inside, 0 on the boundary of, -1 outside the polygon of `e`, by the edges of their band."""
+    c = F.col
+    banded = _in_bands(e.select(*on, "ax", "ay", "bx", "by"), band, "ay", "by")
+    met = points.withColumn("_band", F.floor(c("y") / band).cast("long")).join(banded, [*on, "_band"], "left")
+    side = _side("ax", "ay", "bx", "by", "x", "y")
+    length = F.abs(c("bx") - c("ax")) + F.abs(c("by") - c("ay"))
+    slack = 1e-9 * length * F.greatest(F.lit(1.0), length)
+    touches = (F.abs(side) <= slack) & (c("x") >= F.least("ax", "bx") - 1e-9) & (c("x") <= F.greatest("ax", "bx") + 1e-9) & (c("y") >= F.least("ay", "by") - 1e-9) & (c("y") <= F.greatest("ay", "by") + 1e-9)
+    crosses = ((c("ay") <= c("y")) != (c("by") <= c("y"))) & (c("x") < c("ax") + (c("y") - c("ay")) / (c("by") - c("ay")) * (c("bx") - c("ax")))
+    counted = met.groupBy(*keys).agg(F.coalesce(F.bool_or(touches), F.lit(False)).alias("_on"), F.count_if(F.coalesce(crosses, F.lit(False))).alias("_n"))
+    return counted.withColumn("_in", F.when(c("_on"), 0).when(c("_n") % 2 == 1, 1).otherwise(-1)).drop("_on", "_n")
+
+
+def _inner_points(e: DataFrame, id_col: str) -> DataFrame:
+    """(uid, x, y): a point inside each polygon, in the first span of the line between its two lowest corners' heights."""
+    c = F.col
+    heights = F.array_sort(F.collect_set("ay"))
+    line = e.groupBy(id_col).agg(heights.alias("_h")).where(F.size("_h") > 1).select(id_col, ((F.get("_h", F.lit(0)) + F.get("_h", F.lit(1))) / 2).alias("y"))
+    met = e.join(line, id_col).where((c("ay") <= c("y")) != (c("by") <= c("y")))
+    xs = met.groupBy(id_col, "y").agg(F.array_sort(F.collect_list(c("ax") + (c("y") - c("ay")) / (c("by") - c("ay")) * (c("bx") - c("ax")))).alias("_x"))
+    return xs.select(id_col, ((F.get("_x", F.lit(0)) + F.get("_x", F.lit(1))) / 2).alias("x"), "y")
 
+
+def within_footprint(parcels: DataFrame, footprint: DataFrame, band: float = 1.0, id_col: str = "uid", geometry: str = "geom") -> DataFrame:
+    """Parcels that lie within the footprint polygon (one row uid, geom): no point of theirs is outside; boundaries may touch.
+
+    Each edge of a parcel is cut where it meets an edge of the footprint; the middles of all pieces, and a point inside the parcel, must
+    be inside or on the boundary, and no corner of the footprint inside the parcel. Edges meet in bands of height `band` only. Holes count as outside.
+    """
+    c = F.col
+    own, foot = directed(parcels, id_col, geometry), directed(footprint)
+    of_foot = foot.select(c("ax").alias("cx"), c("ay").alias("cy"), c("bx").alias("dx"), c("by").alias("dy"))
+    met = _in_bands(own, band, "ay", "by").join(_in_bands(of_foot, band, "cy", "dy"), "_band").where(_meet())
+    # along the edge from 0 to 1: the crossing, or the footprint edge's ends where the two are parallel
+    cross = (c("bx") - c("ax")) * (c("dy") - c("cy")) - (c("by") - c("ay")) * (c("dx") - c("cx"))
+    at = F.try_divide((c("cx") - c("ax")) * (c("dy") - c("cy")) - (c("cy") - c("ay")) * (c("dx") - c("cx")), cross)
+    square = (c("bx") - c("ax")) ** 2 + (c("by") - c("ay")) ** 2
+    along = lambda x, y: F.try_divide((c(x) - c("ax")) * (c("bx") - c("ax")) + (c(y) - c("ay")) * (c("by") - c("ay")), square)
+    places = F.filter(F.when(cross != 0, F.array(at)).otherwise(F.array(along("cx", "cy"), along("dx", "dy"))), lambda t: (t > 0) & (t < 1))
+    cuts = met.groupBy(id_col, "ring", "edge").agg(F.flatten(F.collect_list(places)).alias("_cuts"))
+    pieces = own.join(cuts, [id_col, "ring", "edge"], "left")
+    ends = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.coalesce("_cuts", F.expr("array()").cast("array<double>")))))
+    pieces = pieces.withColumn("_t", ends).select(id_col, "ring", "edge", "ax", "ay", "bx", "by", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("_t") - 2), lambda i: (F.get(c("_t"), i) + F.get(c("_t"), i + 1)) / 2)).alias("piece", "t"))
+    middles = pieces.select(id_col, "ring", "edge", "piece", (c("ax") + c("t") * (c("bx") - c("ax"))).alias("x"), (c("ay") + c("t") * (c("by") - c("ay"))).alias("y"))
+    middles = middles.unionByName(_inner_points(own, id_col).select(id_col, F.lit(-1).alias("ring"), F.lit(0).alias("edge"), F.lit(0).alias("piece"), "x", "y"))
+    out = _points_in(middles, foot, band, [id_col, "ring", "edge", "piece"], []).where("_in < 0").select(id_col)
+    # corners of the footprint inside a parcel: its boundary runs there
+    corners = _in_bands(own, band, "ay", "by").select(id_col, "_band").distinct().join(foot.select(c("ax").alias("x"), c("ay").alias("y"), F.floor(c("ay") / band).cast("long").alias("_band")).distinct(), "_band").drop("_band")
+    held = _points_in(corners, own, band, [id_col, "x", "y"], [id_col]).where("_in > 0").select(id_col)
+    gone = out.unionByName(held).unionByName(parcels.join(own.select(id_col).distinct(), id_col, "left_anti").select(id_col)).distinct()
+    return parcels.join(gone, id_col, "left_anti")

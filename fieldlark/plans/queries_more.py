@@ -180,9 +180,24 @@ def zonal_half_pixels(spark, sf_dir):
     return out.select("uid", F.col("count").cast("double").alias("count"), F.round("mean", 6).alias("mean"))
 
 
-@query(f"WITH {_POLY}, {hits(4)}, half AS (SELECT uid, row // 4 AS row, col // 4 AS col FROM inside GROUP BY ALL HAVING count(*) >= 8) SELECT uid, count(*) AS count, round(avg(value), 6) AS mean FROM half JOIN grid USING (row, col) GROUP BY uid")
+_GONE = "CASE WHEN {u} <= 0 THEN 0 WHEN {u} < 1 THEN {u} * {u} / 2 ELSE {u} - 0.5 END"
+#: SQL of (uid, row, col, fraction): for each cell of a polygon's box and each edge the mean width right of the edge, by its height.
+_FRACTION = f"""box AS (SELECT uid, floor(min(px))::BIGINT AS c0, ceil(max(px))::BIGINT AS c1, floor(min(py))::BIGINT AS r0, ceil(max(py))::BIGINT AS r1 FROM edge GROUP BY uid),
+cell AS (SELECT uid, row, unnest(range(c0, c1 + 1)) AS col FROM (SELECT *, unnest(range(r0, r1 + 1)) AS row FROM box)),
+part AS (SELECT c.uid, c.row, c.col, px, py, qx, qy, greatest(least(py, qy), c.row) AS y0, least(greatest(py, qy), c.row + 1) AS y1 FROM cell c JOIN edge e ON e.uid = c.uid AND least(py, qy) < c.row + 1 AND greatest(py, qy) > c.row),
+side AS (SELECT *, col + 1 - (px + (y0 - py) / (qy - py) * (qx - px)) AS u, col + 1 - (px + (y1 - py) / (qy - py) * (qx - px)) AS v FROM part),
+fraction AS (SELECT uid, row, col, sum(CASE WHEN qy > py THEN -1 ELSE 1 END * (y1 - y0) * CASE WHEN abs(u - v) < 1e-9 THEN least(greatest((u + v) / 2, 0), 1) ELSE ({_GONE.format(u="u")} - ({_GONE.format(u="v")})) / (u - v) END) AS fraction FROM side GROUP BY ALL)"""
+
+
+@query(f"WITH {_POLY}, {_FRACTION} SELECT uid, row, col, round(fraction, 6) AS fraction FROM fraction WHERE fraction > 1e-9")
+def coverage_fractions(spark, sf_dir):
+    """The exact share of each pixel that a polygon covers."""
+    return ZO.coverage_fractions(polygons(spark, sf_dir)).select("uid", "row", "col", F.round("fraction", 6).alias("fraction"))
+
+
+@query(f"WITH {_POLY}, {_FRACTION} SELECT uid, count(*) AS count, round(avg(value), 6) AS mean FROM fraction JOIN grid USING (row, col) WHERE fraction >= 0.5 - 1e-9 GROUP BY uid")
 def zonal_coverage(spark, sf_dir):
-    """Statistics over pixels that are covered by half, by 16 points in each."""
+    """Statistics over pixels that are covered by half."""
     out = ZO.zonal_stats(grid(spark, sf_dir), polygons(spark, sf_dir), ["image_profile"], rule="coverage")
     return out.select("uid", "count", F.round("mean", 6).alias("mean"))
 

@@ -320,14 +320,14 @@ def small_squares(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "customer").select(key.cast("string").alias("uid"), F.array(F.when(key % 11 == 0, F.slice(ring, 1, 2)).otherwise(ring)).alias("geom"))
 
 
-@query(f"WITH {_TINY} SELECT uid, NOT broken AS valid FROM poly")
+@query(f"WITH {_TINY} SELECT uid, NOT broken AND w > 0 AS valid FROM poly")
 def polygon_validity(spark, sf_dir):
     """Polygons, and what is none, set aside."""
     good, bad = ZO.valid_polygons(small_squares(spark, sf_dir))
     return good.select("uid", F.lit(True).alias("valid")).unionByName(bad.select("uid", F.lit(False).alias("valid")))
 
 
-@query(f"WITH {_TINY} SELECT uid FROM poly WHERE NOT broken AND NOT (x + w > floor(x) + 1.5 AND y + w > floor(y) + 1.5)")
+@query(f"WITH {_TINY} SELECT uid FROM poly WHERE NOT broken AND w > 0 AND NOT (x + w > floor(x) + 1.5 AND y + w > floor(y) + 1.5)")
 def lost_parcels(spark, sf_dir):
     """Parcels without the centre of any pixel."""
     good, _ = ZO.valid_polygons(small_squares(spark, sf_dir))
@@ -371,7 +371,7 @@ def touched_tiles(spark, sf_dir):
     return grid.join(tiles, ["tile_row", "tile_col"], "left_semi").select("row", "col", "value")
 
 
-@query(f"WITH {QM._POLY}, {QM.hits(1)} SELECT uid FROM inside GROUP BY uid HAVING bool_and(row + 0.5 >= 8.2 AND row + 0.5 < 25.3 AND col + 0.5 >= 6.4 AND col + 0.5 < 31.1)")
+@query(f"WITH {QM._POLY} SELECT uid FROM edge GROUP BY uid HAVING min(px) >= 6.4 AND max(px) <= 31.1 AND min(py) >= 8.2 AND max(py) <= 25.3")
 def footprint_parcels(spark, sf_dir):
     """Parcels within the polygon of an image."""
     ring = F.array(*(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y")) for a, b in ((6.4, 8.2), (31.1, 8.2), (31.1, 25.3), (6.4, 25.3))))
@@ -379,6 +379,30 @@ def footprint_parcels(spark, sf_dir):
     return ZO.within_footprint(QM.polygons(spark, sf_dir), foot).select("uid")
 
 
+@query(
+    """SELECT c_custkey::VARCHAR AS uid, CASE c_custkey % 6 WHEN 0 THEN 'crossing' WHEN 1 THEN 'no area' WHEN 2 THEN 'repeated point' WHEN 3 THEN 'no ring' END AS fault FROM customer WHERE c_custkey % 6 < 4"""
+)
+def polygon_faults(spark, sf_dir):
+    """Bow ties, polygons without area, rings that visit a point twice, and what is no ring."""
+    key = F.col("c_custkey")
+    shapes = (((0, 0), (2, 2), (2, 0), (0, 1)), ((0, 0), (1, 1), (3, 3)), ((0, 0), (2, 0), (1, 1), (2, 2), (0, 2), (1, 1)), ((0, 0), (1, 1), (1, 1)), ((0, 0), (2, 0), (2, 2), (2, 2), (0, 2), (0, 0)), ((0, 2), (2, 2), (1, 1), (2, 0), (0, 0)))
+    ring = lambda points: F.array(*(F.struct((key % 40 + float(a)).alias("x"), (key % 30 + float(b)).alias("y")) for a, b in points))
+    pick = F.when(F.lit(False), ring(shapes[0]))
+    for i, points in enumerate(shapes):
+        pick = pick.when(key % 6 == i, ring(points))
+    return ZO.polygon_faults(table(spark, sf_dir, "customer").select(key.cast("string").alias("uid"), F.array(pick).alias("geom")))
+
+
+@query(
+    f"""WITH {QM._POLY}, d AS (SELECT h.uid, h.row, h.col, e.*, least(greatest(((col + 0.5 - px) * (qx - px) + (row + 0.5 - py) * (qy - py)) / ((qx - px) * (qx - px) + (qy - py) * (qy - py)), 0), 1) AS t FROM ({{inside}}) h JOIN edge e ON e.uid = h.uid),
+m AS (SELECT uid, row, col, min(sqrt(pow(col + 0.5 - px - t * (qx - px), 2) + pow(row + 0.5 - py - t * (qy - py), 2))) AS dist FROM d GROUP BY uid, row, col)
+SELECT uid FROM m GROUP BY uid HAVING max(dist) < 2.3""".replace("{inside}", f"WITH {QM.hits(1)} SELECT * FROM inside")
+)
+def emptied_parcels(spark, sf_dir):
+    """Parcels that a negative buffer leaves without a pixel."""
+    return ZO.emptied(QM.polygons(spark, sf_dir), buffer=2.3).select("uid")
+
+
 @query(f"WITH {QM._POLY} SELECT uid, round(min(px), 6) AS minx FROM edge GROUP BY uid")
 def clustered_parcels(spark, sf_dir):
     """Parcels dealt out and sorted by their place."""
