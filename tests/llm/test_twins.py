@@ -175,11 +175,21 @@ def test_scores_do_not_depend_on_batches(spark, monkeypatch, remember, batch):
 # ------------------------------------------------------------- templates
 
 
+def parsed(html):
+    """Blocks and elements by their whole paths: ({path: hash}, [(path, text, noise, role)], [path])."""
+    found, e = extract.blocks(html)
+    paths = [""]
+    for i in range(1, len(e.paths)):
+        paths.append(f"{paths[e.parents[i]]}>{e.paths[i]}.{e.tags[i]}")
+    return dict(zip(paths, e.paths, strict=True)), [(paths[i], s, noise, role) for i, s, noise, role in found], paths[1:]
+
+
 def plain_template(pages):
     """Classes of tokens with equal occurrence vectors, by dictionaries: (constants, slots, container) of one host."""
-    tokens = []
+    tokens, hashes = [], {}
     for html in pages:
-        found, paths = extract.blocks(html)
+        of, found, paths = parsed(html)
+        hashes |= of
         seen = {}
         for p, s in [(p, "") for p in paths] + [(p, s) for p, s, noise, _ in found if not noise]:
             seen.setdefault((p, s), [0, len(seen)])[0] += 1
@@ -203,9 +213,25 @@ def plain_template(pages):
                 chars[p] += n * len(s)
     around = {p: [q for q in nodes if p == q or p.startswith(q + ">")] for p in chars}
     slots = {max(q, key=lambda x: x.count(">")) for q in around.values() if q}
-    held = {q: sum(n for p, n in chars.items() if q in around[p]) for q in nodes if re.search(r">([^>.]*)[^>]*$", q).group(1) in extract.BOXES}
+    held = {q: sum(n for p, n in chars.items() if q in around[p]) for q in nodes if q.rpartition(".")[2] in extract.BOXES}
     boxes = [q for q, n in held.items() if n >= extract.MOST_TEXT * sum(chars.values())]
-    return {extract._hash(f"{p}\0{s}") for p, s in constants}, slots, max(boxes, key=lambda x: x.count(">"), default=None)
+    return {extract.token(hashes[p], s) for p, s in constants}, {hashes[p] for p in slots}, hashes.get(max(boxes, key=lambda x: x.count(">"), default=None))
+
+
+def plain_text(html, constants, slots, container):
+    """page_text from whole paths: blocks of the wanted role that are no constants, in slots inside the container."""
+    of, found, _ = parsed(html)
+    keep = [(p, s, role) for p, s, noise, role in found if not noise]
+    wanted = next((x for x in ("article", "spare", "main") if any(x == r for _, _, r in keep)), "")
+    keep = [(p, s) for p, s, r in keep if not wanted or r == wanted]
+    rest = [(p, s) for p, s in keep if extract.token(of[p], s) not in constants]
+    gone, whole = sum(len(s) for x in keep if x not in rest for s in x[1:]), sum(len(s) for _, s in keep)
+    if gone <= (extract.MOST_CONSTANT if wanted in ("article", "spare") else extract.MOST_ELSEWHERE) * whole:
+        keep = rest
+    if not wanted and slots:
+        up = lambda p: [of[">".join(p.split(">")[:k])] for k in range(1, len(p.split(">")) + 1)]
+        keep = [(p, s) for p, s in keep if container in up(p) and slots & set(up(p))] or keep
+    return "\n\n".join(s for _, s in keep)
 
 
 def host_pages(host, seed, n):
@@ -225,10 +251,12 @@ def test_template_deduction_twin(spark):
     for h in (1, 2, 3):
         want = plain_template([html for _, url, html in rows if f"//h{h}." in url])
         assert got.get(f"h{h}.example", (set(), set(), None)) == want
-    assert got["h1.example"][0] and got["h1.example"][2].endswith("div.story")
+    story = next(h for html in (rows[0][2],) for p, h in parsed(html)[0].items() if h and any(extract._hash(x, "div.story") == h for x in parsed(html)[0].values()))
+    assert got["h1.example"][0] and got["h1.example"][2] == story
     texts = {r["page_id"]: r["text"] for r in extract.extract(df).collect()}
     for page, _, html in rows:
         text, plain = texts[page], extract.page_text(html)
+        assert text == plain_text(html, *got.get(f"h{page // 1000}.example", (set(), set(), None)))
         if page < 2000 or page >= 3000:
             assert "Share with friends" not in text and "Our site" not in text and plain != text
         else:
@@ -258,6 +286,7 @@ def test_template_works_inside_articles_and_leaves_copies_alone(spark):
         ("<p>a <span hidden>gone <b>too</b></span>b</p>", "a b"),
         ('<table><tr><td class="sidebar">Side <p>menu</p></td><td>x</td><td>y</td></tr></table>', "x y"),
         ('<article><p>A</p><div class="comments">c</div></article><article class="comment">me</article>', "A"),
+        ('<article><p>A</p><section id="discussion"><p>B</p></section><div class="legal">C</div><section class="form"><p>D</p></section><div class="wp-block-share-price">E</div><nav>no</nav><div hidden>no</div><aside>no</aside></article>', "A\n\nB\n\nC\n\nD\n\nE"),
         ("<article><h1>T</h1><p>x" + " y" * 200_000, "T\n\nx" + " y" * 200_000),
     ],
 )
@@ -265,6 +294,25 @@ def test_pages_by_structure(page, text):
     assert extract.page_text(page) == text
 
 
+def test_deep_nesting(spark, monkeypatch):
+    """20 000 nested elements take memory in proportion; so do their tokens, and templates that are joined give the same texts."""
+    import tracemalloc
+
+    deep = "<div>" * 20_000 + "<p>deep text" + "</div>" * 20_000
+    tracemalloc.start()
+    assert extract.page_text(deep) == "deep text"
+    tokens = sum(b.num_rows for b in extract._tokens(iter([pa.RecordBatch.from_pydict({"host": ["h"], "page": [1], "html": [deep]})])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6 and 20_000 < tokens < 20_010
+    rows = [(i, "http://d.example/", f"<div>top</div>{'<div class=x>' * 3000}<p>text {i} of this page</p>") for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: f"text {i} of this page" for i in range(4)}
+    assert {r["page_id"]: r["text"] for r in extract.extract(df).collect()} == want
+    monkeypatch.setattr(extract, "MOST_BROADCAST", 0)
+    assert {r["page_id"]: r["text"] for r in extract.extract(df).collect()} == want
+
+
 # ------------------------------------------------------------- search
 
 
