@@ -15,7 +15,8 @@ How much the bounds spare depends on the data: nothing where vectors point evenl
 
 Scores are integer inner products, exact as long as they stay below 2**63. Vectors that are null or hold null or non-finite
 components take no part; a vector of another length than the query's is no candidate of it. A null vec_id takes no
-part. Repeated rows are candidates of their own, but no row with the query's id is a candidate of it. Extra columns are not
+part. Repeated rows are candidates of their own, but no row with the query's id is a candidate of it. Rows with one id are one
+query: that of the least of their vectors, in the order of arrays. Extra columns are not
 read, whatever their names. Empty tables give no rows.
 """
 
@@ -242,6 +243,7 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5, report: dict | None =
     `report` gets the (query, cell) pairs there are, and those that the bounds left to be compared.
     """
     pivots = _pivots(data)
+    queries = stored(queries.groupBy("vec_id").agg(F.min("v").alias("v")))  # rows that share an id are one query
     schema = "query_id long, q array<long>, dim int, cell int"
     placed = stored(data.mapInArrow(lambda b: _cells(b, pivots), "vec_id long, v array<long>, dim int, cell int"))
     found = _summaries(placed, pivots)
@@ -269,7 +271,7 @@ ORACLE_SQL = """
 WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
-  FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+  FROM (SELECT vec_id, min(v) AS v FROM e WHERE vec_id % 50 = 0 GROUP BY vec_id) q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

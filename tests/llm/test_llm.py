@@ -159,6 +159,22 @@ def test_pages_of_the_tables(spark):
 # ------------------------------------------------------------- search
 
 
+def test_top_k_of_repeated_rows(spark):
+    """A repeated query row is one query; of different vectors with one id the least asks; repeated candidates stand for themselves."""
+    import duckdb
+
+    rows = [(50, [1.0, 0.0]), (50, [1.0, 0.0]), (100, [2.0, 1.0]), (100, [0.5, 1.0])] + [(i, [float(9 - i), 1.0]) for i in range(1, 7)] + [(3, [6.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    data = knn.integer_vectors(df)
+    got = sorted(tuple(x) for x in knn.top_k(data, data.where("vec_id % 50 = 0")).select("query_id", "rank", "vec_id", "score").collect())
+    assert [x[2] for x in got if x[0] == 50] == [1, 2, 3, 3, 4] and [x[1] for x in got if x[0] == 50] == [1, 2, 3, 4, 5]
+    assert len(got) == 10
+    con = duckdb.connect()
+    con.register("given", df.toArrow())
+    con.execute("create view embeddings as select * from given")
+    assert sorted(con.sql(knn.ORACLE_SQL).fetchall()) == got
+
+
 @pytest.mark.parametrize("scale", [1.0, 30.0])
 def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch, scale):
     monkeypatch.setattr(knn, "CHUNK", 16)
