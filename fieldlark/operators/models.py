@@ -3,34 +3,136 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LinearSVC, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .features import with_features
 from .sampling import split_folds
 
+class RandomFourier(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Features in which a linear margin is one of a Gaussian kernel: cosines of random projections, the same for a seed."""
+
+    components = Param(Params._dummy(), "components", "number of cosines", typeConverter=TypeConverters.toInt)
+    width = Param(Params._dummy(), "width", "number of input features", typeConverter=TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "of the kernel exp(-gamma * distance ** 2)", typeConverter=TypeConverters.toFloat)
+    seed = Param(Params._dummy(), "seed", "of the projections", typeConverter=TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, inputCol=None, outputCol=None, components=None, width=None, gamma=None, seed=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, rows: DataFrame) -> DataFrame:
+        get = self.getOrDefault
+        lot = np.random.RandomState(get(self.seed))
+        w = lot.normal(0, math.sqrt(2 * get(self.gamma)), (get(self.components), get(self.width)))
+        shift = lot.uniform(0, 2 * math.pi, get(self.components))
+        lines = F.array(*(F.struct(F.lit(line.tolist()).alias("w"), F.lit(float(b)).alias("b")) for line, b in zip(w, shift, strict=True)))
+        x = vector_to_array(self.getInputCol())
+        dot = lambda line: F.aggregate(F.zip_with(line["w"], x, lambda p, q: p * q), F.lit(0.0), lambda p, q: p + q)
+        return rows.withColumn(self.getOutputCol(), array_to_vector(F.transform(lines, lambda line: math.sqrt(2 / get(self.components)) * F.cos(dot(line) + line["b"]))))
+
+
+class Calibrated(Transformer, HasInputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Margins of each class to probabilities that add up to 1, and the prediction of the greatest.
+
+    A class's curve is given by its points (margins in order, probabilities), with straight lines between and constant beyond; with
+    one number for its points it is a sigmoid of slope * margin + offset.
+    """
+
+    margins = Param(Params._dummy(), "margins", "of the points, for each class", typeConverter=TypeConverters.identity)
+    shares = Param(Params._dummy(), "shares", "at the points, for each class", typeConverter=TypeConverters.identity)
+
+    @keyword_only
+    def __init__(self, inputCol=None, margins=None, shares=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, rows: DataFrame) -> DataFrame:
+        raw, curves = vector_to_array(self.getInputCol()), []
+        for i, (xs, ys) in enumerate(zip(self.getOrDefault(self.margins), self.getOrDefault(self.shares), strict=True)):
+            m = F.get(raw, F.lit(i))
+            if len(xs) == 1:
+                curves.append(1 / (1 + F.exp(-(xs[0] * m + ys[0]))))
+                continue
+            points = F.array(*(F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in zip(xs, ys, strict=True)))
+            low, high = F.array_max(F.filter(points, lambda p: p["x"] <= m)), F.array_min(F.filter(points, lambda p: p["x"] >= m))
+            between = F.when(high["x"] == low["x"], low["y"]).otherwise(low["y"] + (m - low["x"]) / (high["x"] - low["x"]) * (high["y"] - low["y"]))
+            curves.append(F.coalesce(between, low["y"], high["y"]))
+        rows = rows.withColumn("_p", F.array(*(F.greatest(c, F.lit(1e-9)) for c in curves)))
+        whole = F.aggregate("_p", F.lit(0.0), lambda a, x: a + x)
+        rows = rows.withColumn("_p", F.transform("_p", lambda x: x / whole))
+        return rows.withColumns({"probability": array_to_vector("_p"), "prediction": (F.array_position("_p", F.array_max("_p")) - 1).cast("double")}).drop("_p")
+
+
 CLASSIFIERS: dict[str, Callable] = {
     "randomforest": lambda n, k, **kw: RandomForestClassifier(labelCol="_label", featuresCol="_features", seed=kw.pop("seed", 1), **kw),
     "gradientboosting": lambda n, k, **kw: OneVsRest(classifier=GBTClassifier(seed=kw.pop("seed", 1), maxIter=kw.pop("maxIter", 5), **kw), labelCol="_label", featuresCol="_features"),
     "multilayer_perceptron": lambda n, k, **kw: MultilayerPerceptronClassifier(layers=[n, *kw.pop("hidden", [max(2, n)]), k], labelCol="_label", featuresCol="_features", seed=kw.pop("seed", 1), **kw),
     "svm": lambda n, k, **kw: OneVsRest(classifier=LinearSVC(**kw), labelCol="_label", featuresCol="_features"),
 }
+#: Classifiers that give margins, and the curve that turns held-out ones into probabilities; folds of the rows that they are held out in.
+CURVES, FOLDS = {"gradientboosting": "isotonic", "svm": "sigmoid"}, 3
+#: Cosines that stand for the Gaussian kernel of the support vector machine.
+COSINES = 200
+
+
+def _sigmoid(rows: DataFrame, i: int) -> tuple[list[float], list[float]]:
+    fit = LogisticRegression(labelCol="_y", featuresCol="_m", maxIter=50).fit(rows.select(array_to_vector(F.array(F.get("_raw", F.lit(i)))).alias("_m"), (F.col("_label") == i).cast("double").alias("_y")))
+    return [float(fit.coefficients[0])], [float(fit.intercept)]
+
+
+def _isotonic(rows: DataFrame, i: int) -> tuple[list[float], list[float]]:
+    fit = IsotonicRegression(labelCol="_y", featuresCol="_m").fit(rows.select(array_to_vector(F.array(F.get("_raw", F.lit(i)))).alias("_m"), (F.col("_label") == i).cast("double").alias("_y")))
+    xs, ys = [float(x) for x in fit.boundaries], [float(y) for y in fit.predictions]
+    return (xs, ys) if len(xs) > 1 else (xs * 2, ys * 2)
+
+
+def _held_out_margins(rows: DataFrame, make: Callable[[], Estimator]) -> DataFrame:
+    """(_label, _raw): each row's margins by a classifier of the other folds; equal rows share a fold."""
+    out, rows = None, rows.withColumn("_fold", F.pmod(F.xxhash64(vector_to_array("_features")), F.lit(FOLDS))).select("_label", "_features", "_fold").persist()
+    for i in range(FOLDS):
+        part = make().fit(rows.where(F.col("_fold") != i)).transform(rows.where(F.col("_fold") == i)).select("_label", vector_to_array("rawPrediction").alias("_raw"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def train(rows: DataFrame, features: list[str], class_col: str, kind: str = "randomforest", **options) -> PipelineModel:
-    """A pipeline of label index, feature vector (in name order) and classifier; its label list and features travel with it."""
+    """A pipeline of label index, feature vector (in name order) and classifier; its label list and features travel with it.
+
+    The support vector machine has a Gaussian kernel, by random Fourier features of the standardised features. Its margins, and those
+    of boosted trees, become probabilities by curves fitted to held-out margins of FOLDS folds (a sigmoid, and isotonic).
+    """
     features = sorted(features)
     indexer = StringIndexer(inputCol=class_col, outputCol="_label", handleInvalid="skip", stringOrderType="alphabetAsc").fit(rows)
-    steps = [indexer, VectorAssembler(inputCols=features, outputCol="_features"), CLASSIFIERS[kind](len(features), len(indexer.labels), **options), IndexToString(inputCol="prediction", outputCol="pred1", labels=indexer.labels)]
-    return Pipeline(stages=steps).fit(rows)
+    steps: list = [VectorAssembler(inputCols=features, outputCol="_features" if kind != "svm" else "_raw_features")]
+    if kind == "svm":
+        gamma, components = options.pop("gamma", 1 / max(1, len(features))), options.pop("components", COSINES)
+        steps += [StandardScaler(inputCol="_raw_features", outputCol="_scaled", withMean=True), RandomFourier(inputCol="_scaled", outputCol="_features", components=components, width=len(features), gamma=float(gamma), seed=options.pop("seed", 1))]
+    make = lambda: CLASSIFIERS[kind](len(features), len(indexer.labels), **options)
+    prepared = Pipeline(stages=steps).fit(indexer.transform(rows))
+    ready = prepared.transform(indexer.transform(rows))
+    stages = [indexer, *prepared.stages, make().fit(ready)]
+    if kind in CURVES:
+        held = _held_out_margins(ready, make).persist()
+        curves = [(_sigmoid if CURVES[kind] == "sigmoid" else _isotonic)(held, i) for i in range(len(indexer.labels))]
+        held.unpersist()
+        stages.append(Calibrated(inputCol="rawPrediction", margins=[c[0] for c in curves], shares=[c[1] for c in curves]))
+    return PipelineModel([*stages, IndexToString(inputCol="prediction", outputCol="pred1", labels=indexer.labels)])
 
 
 def check_features(model: PipelineModel, rows: DataFrame) -> list[str]:
@@ -50,65 +152,119 @@ def same_features(model: PipelineModel, features: list[str]) -> None:
 
 
 def probabilities(model: PipelineModel, rows: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str]]:
-    """One column a class with its probability, besides `keep`; and the classes.
-
-    One-vs-rest models give margins, which are turned into shares by a softmax.
-    """
+    """One column a class with its probability, besides `keep`; and the classes."""
     check_features(model, rows)
-    labels = next(s for s in model.stages if hasattr(s, "labels")).labels
-    out = rows
+    labels, out = classes_of(model), rows
     for stage in model.stages[1:]:
         out = stage.transform(out)
-    if "probability" in out.columns:
-        p = vector_to_array("probability")
-    else:
-        raw = vector_to_array("rawPrediction")
-        e = F.transform(raw, lambda x: F.exp(x - F.array_max(raw)))
-        p = F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
-    out = out.select(*keep, p.alias("_p"))
+    out = out.select(*keep, vector_to_array("probability").alias("_p"))
     return out.select(*keep, *(F.get("_p", F.lit(i)).alias(c) for i, c in enumerate(labels))), labels
 
 
-#: Numbers of training features that are broadcast at once, and rows that a task compares at once.
-MOST_NUMBERS, TOGETHER = 4_000_000, 512
+#: Pivots of the training rows at most, rows of a chunk of a pivot's cell, and rows that are compared with a chunk at once.
+MOST_PIVOTS, CHUNK, TOGETHER = 64, 4096, 1024
 
 
-def _nearest(batches: Iterator[pa.RecordBatch], block, k: int) -> Iterator[pa.RecordBatch]:
-    """The k nearest training rows of one block for every row; ties by id."""
-    ids, classes, x = block.value
-    squares = (x**2).sum(1)
+def _distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Rounded to nine digits; differences are taken around x's mean, which keeps digits."""
+    mean = x.mean(0)
+    q, x = q - mean, x - mean
+    return np.round(np.sqrt(np.maximum((q**2).sum(1)[:, None] + (x**2).sum(1) - 2 * q @ x.T, 0)), 9)
+
+
+def _matrix(column) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _placed(batches: Iterator[pa.RecordBatch], pivots) -> Iterator[pa.RecordBatch]:
+    """Training rows with the cell of the nearest pivot and the distance from it."""
     for batch in batches:
-        for lo in range(0, batch.num_rows, TOGETHER):
-            part = batch.slice(lo, TOGETHER)
-            q = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
-            d = np.round(np.sqrt(np.maximum((q**2).sum(1)[:, None] + squares - 2 * q @ x.T, 0)), 9)
-            best = np.lexsort((np.broadcast_to(np.arange(len(ids)), d.shape), d), axis=1)[:, :k]  # ids come in order
-            n = best.shape[1]
-            take = pa.array(np.repeat(np.arange(part.num_rows), n))
-            yield pa.RecordBatch.from_arrays([part.column(0).take(take), pa.array(ids[best.ravel()]), pa.array(classes[best.ravel()].tolist(), pa.string()), pa.array(np.take_along_axis(d, best, 1).ravel())], names=["_id", "_other", "_class", "_d"])
+        d = _distances(_matrix(batch.column(2)), pivots.value) if batch.num_rows else np.zeros((0, 1))
+        near = d.argmin(1) if batch.num_rows else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(near)), near])], names=["_other", "_class", "_x", "_cell", "_far"])
 
 
-def nearest_neighbours(train_rows: DataFrame, rows: DataFrame, features: list[str], class_col: str, k: int = 5, id_col: str = "uid") -> DataFrame:
+def _cells_to_ask(batches: Iterator[pa.RecordBatch], known, k: int, first: bool) -> Iterator[pa.RecordBatch]:
+    """(_id, _x, _cell): first the nearest cells that hold k rows together; then the others that may hold one as near as column 2."""
+    pivots, count, far = known.value
+    for batch in batches:
+        d = _distances(_matrix(batch.column(1)), pivots) if batch.num_rows else np.zeros((0, len(pivots)))
+        order = np.argsort(d, axis=1, kind="stable")
+        before = np.zeros(d.shape, np.int64)
+        np.put_along_axis(before, order, np.cumsum(count[order], axis=1) - count[order], axis=1)
+        asked = before < k
+        if not first:
+            reached = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
+            asked = ~asked & (d - far <= np.where(np.isnan(reached), np.inf, reached)[:, None] + 1e-8)
+        row, cell = np.nonzero(asked)
+        take = pa.array(row)
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(cell.astype(np.int32))], names=["_id", "_x", "_cell"])
+
+
+def _nearest_of_chunk(k: int):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The k nearest rows of a chunk for every row that asks; ties by id."""
+        schema = pa.schema([("_id", pa.string()), ("_other", pa.string()), ("_class", pa.string()), ("_d", pa.float64())])
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        left = left.sort_by("_other")
+        x, out = _matrix(left["_x"]), []
+        for lo in range(0, right.num_rows, TOGETHER):
+            part = right.slice(lo, TOGETHER)
+            d = _distances(_matrix(part["_x"]), x)
+            best = np.argsort(d, axis=1, kind="stable")[:, :k]  # ids come in order
+            take = pa.array(best.ravel())
+            ids = part["_id"].combine_chunks().take(pa.array(np.repeat(np.arange(part.num_rows), best.shape[1])))
+            out.append(pa.Table.from_arrays([ids, left["_other"].combine_chunks().take(take), left["_class"].combine_chunks().take(take), pa.array(np.take_along_axis(d, best, 1).ravel())], schema=schema))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def nearest_neighbours(train_rows: DataFrame, rows: DataFrame, features: list[str], class_col: str, k: int = 5, id_col: str = "uid", report: dict | None = None) -> DataFrame:
     """Exact votes of the k nearest training rows (distances in nine digits, ties by id): id, pred1, pred1_prob of every row.
 
-    The training sample is compared in blocks of MOST_NUMBERS features at most, each with all rows; a window merges the blocks' best.
-    Null features count as 0. Without training rows the class is null.
+    Training rows lie in the cells of their nearest pivots, which are a bounded sample of them. A row is compared with the cells of its
+    nearest pivots until k rows are met, and then with those cells only that may hold a nearer one, by the triangle inequality.
+    Cells are cut into chunks, so that no group grows with the table. Null features count as 0. Without training rows the class
+    is null. `report` gets the pairs of rows there are, and those that were compared.
     """
     features, spark = sorted(features), rows.sparkSession
     x = F.array(*(F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in features))
     sample = train_rows.where(F.col(class_col).isNotNull()).select(F.col(id_col).cast("string").alias("_other"), F.col(class_col).cast("string").alias("_class"), x.alias("_x"))
-    blocks, near = max(1, -(-sample.count() * len(features) // MOST_NUMBERS)), None
-    left = rows.select(F.col(id_col).cast("string").alias("_id"), x.alias("_x"))
-    for i in range(blocks):
-        own = sample.where(F.pmod(F.xxhash64("_other"), F.lit(blocks)) == i).orderBy("_other").collect()  # a block
-        if own:
-            block = spark.sparkContext.broadcast((np.array([r["_other"] for r in own], object), np.array([r["_class"] for r in own], object), np.array([r["_x"] for r in own], float)))
-            part = left.mapInArrow(lambda b, block=block: _nearest(b, block, k), "_id string, _other string, _class string, _d double")
-            near = part if near is None else near.unionAll(part)
-    if near is None:
+    n = sample.count()
+    wanted = min(MOST_PIVOTS, max(1, int(n**0.5)))
+    lot = sample.where(F.pmod(F.xxhash64("_other"), F.lit(1 << 20)) <= int((1 << 20) * min(1.0, 2 * wanted / max(n, 1)))).select("_x").limit(wanted).collect() or sample.select("_x").limit(wanted).collect()  # at most MOST_PIVOTS
+    if not lot:
         return rows.select(id_col, F.lit(None).cast("string").alias("pred1"), F.lit(None).cast("double").alias("pred1_prob"))
+    pivots = np.unique(np.array([r["_x"] for r in lot], float), axis=0)
+    sent = spark.sparkContext.broadcast(pivots)
+    placed = sample.mapInArrow(lambda b: _placed(b, sent), "_other string, _class string, _x array<double>, _cell int, _far double")
+    sizes = placed.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_far").alias("far")).collect()  # a row for each pivot
+    count, far = np.zeros(len(pivots), np.int64), np.full(len(pivots), -np.inf)
+    for r in sizes:
+        count[r["_cell"]], far[r["_cell"]] = r["n"], r["far"]
+    known = spark.sparkContext.broadcast((pivots, count, far))
+    chunks = F.get(F.array(*(F.lit(max(1, -(-int(c) // CHUNK))) for c in count)), F.col("_cell"))
+    left = placed.withColumn("_chunk", F.pmod(F.xxhash64("_other"), chunks).cast("int")).groupBy("_cell", "_chunk")
+    asking = rows.select(F.col(id_col).cast("string").alias("_id"), x.alias("_x")).distinct()
+
+    def solved(asked: DataFrame) -> DataFrame:
+        right = asked.withColumn("_chunk", F.explode(F.sequence(F.lit(0), chunks - 1))).groupBy("_cell", "_chunk")
+        return left.cogroup(right).applyInArrow(_nearest_of_chunk(k), "_id string, _other string, _class string, _d double")
+
     rank = F.row_number().over(Window.partitionBy("_id").orderBy("_d", "_other"))
-    votes = near.withColumn("_r", rank).where(F.col("_r") <= k).groupBy("_id", "_class").agg(F.count("*").alias("_n"))
+    schema = "_id string, _x array<double>, _cell int"
+    first = asking.mapInArrow(lambda b: _cells_to_ask(b, known, k, True), schema)
+    near = solved(first).withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")
+    reached = near.groupBy("_id").agg(F.when(F.count("*") >= k, F.max("_d")).alias("_reached"))
+    second = asking.join(reached, "_id", "left").select("_id", "_x", "_reached").mapInArrow(lambda b: _cells_to_ask(b, known, k, False), schema)
+    if report is not None:
+        load = first.unionByName(second).groupBy("_cell").count().collect()  # a row for each pivot
+        report |= {"pairs": n * asking.count(), "compared": sum(int(count[r["_cell"]]) * r["count"] for r in load)}
+    every = near.unionByName(solved(second)).withColumn("_r", rank).where(F.col("_r") <= k)
+    votes = every.groupBy("_id", "_class").agg(F.count("*").alias("_n"))
     best = votes.groupBy("_id").agg(F.min(F.struct(-F.col("_n"), "_class")).alias("_b"), F.sum("_n").alias("_all"))
     best = best.select("_id", F.col("_b._class").alias("pred1"), (-F.col("_b.col1") / F.col("_all")).alias("pred1_prob"))
     return rows.select(id_col).join(best, F.col(id_col).cast("string") == F.col("_id"), "left").drop("_id")

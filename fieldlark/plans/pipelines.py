@@ -60,6 +60,89 @@ def mosaics(pixels: DataFrame, profiles: dict[str, Profile], wanted: list[str],
     return {name: made(name) for name in wanted}
 
 
+#: How image tables are partitioned: readers of some profiles, periods and tiles open those folders alone.
+IMAGE_KEYS = ("image_profile", "start_date", "tile")
+
+
+def stored_slices(spark: SparkSession, path: str) -> DataFrame | None:
+    """(image_profile, start_date) of the slices that are stored at a path, with a row for those without pixels too; None without any."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/slices")
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return None
+    return spark.read.schema("image_profile string, start_date date").parquet(f"{path}/slices")
+
+
+def images_at(spark: SparkSession, path: str, profile: str, bands: tuple[str, ...]) -> DataFrame:
+    """The stored images of a profile: pixels with their bands, partitioned by IMAGE_KEYS; a band that older slices lack is null."""
+    schema = "image_profile string, start_date date, tile long, row long, col long, " + ", ".join(f"{b} double" for b in bands)
+    return spark.read.schema(schema).parquet(f"{path}/images").where(F.col("image_profile") == profile)
+
+
+def kept_mosaics(pixels: DataFrame, profiles: dict[str, Profile], wanted: list[str], start: str, end: str, path: str, force: bool = False, **columns) -> DataFrame:
+    """Weekly mosaics kept at `path`: only slices (profile, week) that aren't there are made and written; gives those it wrote.
+
+    A derived profile reads the stored slices of its base, which are written first, wanted or not. Rows of a slice are written
+    before its name, so that a run that was cut short makes it anew. With `force` all slices of the period are made and replaced.
+    """
+    spark, day = pixels.sparkSession, columns.get("day", "day")
+    monday = F.date_trunc("week", F.col(day)).cast("date")
+    weeks = pixels.select(monday.alias("start_date")).where((F.col("start_date") >= F.to_date(F.lit(start))) & (F.date_add("start_date", 7) <= F.to_date(F.lit(end)))).distinct()
+    order = [p for p in dict.fromkeys(x for w in wanted for x in (*_bases(profiles, w), w))]
+    written = None
+    for name in order:
+        known = stored_slices(spark, path)
+        todo = weeks.select(F.lit(name).alias("image_profile"), "start_date")
+        if known is not None and not force:
+            todo = todo.join(known, ["image_profile", "start_date"], "left_anti")
+        days = sorted(r["start_date"] for r in todo.collect())  # a row for each week
+        if days:
+            p = profiles[name]
+            if p.base is not None:
+                base = images_at(spark, path, p.base, _bands_of(profiles, p.base)).where(F.col("start_date").isin(days))
+                made = RA.derived(base.withColumn("image_profile", F.lit(name)), {c: f() for c, f in p.index.items()})
+            else:
+                made = mosaics(pixels.where(monday.isin(days)), profiles, [name], start, end, **columns)[name]
+            bands = _bands_of(profiles, name)
+            rows = made.select("image_profile", "start_date", F.col("tile").cast("long").alias("tile"), F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), *(F.col(b).cast("double").alias(b) for b in bands))
+            writer = rows.repartition(*IMAGE_KEYS).write.partitionBy(*IMAGE_KEYS).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.parquet(f"{path}/images")
+            spark.createDataFrame([(name, d) for d in days], "image_profile string, start_date date").coalesce(1).write.mode("append").parquet(f"{path}/slices")
+            one = spark.createDataFrame([(name, d) for d in days], "image_profile string, start_date date")
+            written = one if written is None else written.unionByName(one)
+    return written if written is not None else spark.createDataFrame([], "image_profile string, start_date date")
+
+
+def _bases(profiles: dict[str, Profile], name: str) -> list[str]:
+    """The profiles that one is based on, the first of all first; an unknown one is an error."""
+    if name not in profiles:
+        raise ValueError(f"unknown profiles {[name]}")
+    base = profiles[name].base
+    return [] if base is None else [*_bases(profiles, base), base]
+
+
+def _bands_of(profiles: dict[str, Profile], name: str) -> tuple[str, ...]:
+    p = profiles[name]
+    return p.bands if p.base is None else tuple(p.index)
+
+
+def pixels_of_parcels(images: DataFrame, cells: DataFrame, tile_of: Callable[[], Column]) -> DataFrame:
+    """(uid and the columns of stored images) of the parcels' pixels; only files of tiles that hold one are read.
+
+    `tile_of` gives a cell's tile from `row` and `col`. The tiles are a small table on the other side of a join by a column
+    that the images are partitioned by, so that the scan is pruned by it when it starts.
+    """
+    placed = cells.withColumn("tile", tile_of())
+    tiles = placed.select("tile").distinct()
+    n, low, high = tiles.agg(F.count("tile"), F.min("tile"), F.max("tile")).first()
+    between = F.col("tile").between(low, high)  # files beyond are left out when the query is planned, those between when it starts
+    wanted = tiles.where(between)
+    return images.where(between).join(F.broadcast(wanted) if n <= MOST_TILES else wanted, "tile", "left_semi").join(placed, ["tile", "row", "col"])
+
+
+#: Tiles whose numbers are broadcast at most, 8 bytes each.
+MOST_TILES = 1_000_000
+
+
 def index_images(images: DataFrame, index: str, red: str = "b04", nir: str = "b08", blue: str = "b02", swir: str = "b11", packed: bool = True) -> DataFrame:
     """The keys of images with an index of their bands, as bytes or as values."""
     makers = {"ndvi": lambda: B.ndvi(F.col(red), F.col(nir)), "bsi": lambda: B.bsi(F.col(blue), F.col(red), F.col(nir), F.col(swir)), "dprvi": lambda: B.dprvi(F.col("vv"), F.col("vh")), "rvi": lambda: B.rvi(F.col("vv"), F.col("vh"))}

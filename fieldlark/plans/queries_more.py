@@ -14,7 +14,7 @@ from ..operators import raster as RA
 from ..operators import report as RE
 from ..operators import sampling as SA
 from ..operators import zonal as ZO
-from ..streaming.weekly import weekly
+from ..streaming.weekly import weekly, weekly_coverage, weekly_statistics
 from .queries import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -303,3 +303,27 @@ def model_neighbours(spark, sf_dir):
 def model_cross_prediction(spark, sf_dir):
     rows, names = labelled_vectors(spark, sf_dir)
     return MO.cross_predict(rows, names, "classname", 2, numTrees=5, maxDepth=3)
+
+
+_WSTAT = """o AS (SELECT user_id, event_type, value, date_trunc('week', ts)::DATE AS start_date FROM events),
+c AS (SELECT user_id, event_type, start_date, value, count(*) AS n FROM o WHERE value IS NOT NULL GROUP BY ALL),
+m AS (SELECT user_id, event_type, start_date, arg_max(value, n * 1e9 - value) AS majority, arg_min(value, n * 1e9 + value) AS minority FROM c GROUP BY ALL)"""
+
+
+@query(
+    f"""WITH {_WSTAT} SELECT o.user_id, o.event_type, start_date, count(value) AS count, round(sum(value), 4) AS sum, round(avg(value), 6) AS mean, round(median(value), 6) AS median, round(stddev_pop(value), 6) AS std, min(value) AS min, max(value) AS max,
+round(max(value) - min(value), 6) AS range, any_value(majority) AS majority, any_value(minority) AS minority FROM o LEFT JOIN m USING (user_id, event_type, start_date) GROUP BY ALL"""
+)
+def weekly_all_statistics(spark, sf_dir):
+    """The batch twin of the stream of all zonal statistics."""
+    out = weekly_statistics(table(spark, sf_dir, "events"), ["user_id", "event_type"])
+    out = out.withColumns({c: F.round(c, 4 if c == "sum" else 6) for c in ("sum", "mean", "median", "std", "range")})
+    return out.withColumn("start_date", F.col("week.start").cast("date")).drop("week", "variance")
+
+
+@query("WITH n AS (SELECT count(DISTINCT user_id) AS n FROM events), o AS (SELECT user_id, event_type, date_trunc('week', ts)::DATE AS start_date, count(value) AS k FROM events GROUP BY ALL) SELECT event_type, start_date, count(*) AS rows, count(*) FILTER (k = 0) AS nulls, round(100.0 * count(*) / any_value(n), 6) AS row_pct, round(100.0 * (1 - count(*) FILTER (k = 0) / any_value(n)), 6) AS value_pct FROM o, n GROUP BY ALL")
+def weekly_slice_coverage(spark, sf_dir):
+    """Coverage of the weekly slices, by the stream's operators."""
+    events = table(spark, sf_dir, "events")
+    out = weekly_coverage(weekly_statistics(events, ["user_id", "event_type"]), events.select("user_id").distinct().count(), ["event_type"])
+    return out.select("event_type", F.col("week.start").cast("date").alias("start_date"), "rows", "nulls", F.round("row_pct", 6).alias("row_pct"), F.round("value_pct", 6).alias("value_pct"))

@@ -12,6 +12,7 @@ from ..functions import bands as B
 from ..operators import consolidate as CO
 from ..operators import cover as CV
 from ..operators import report as RE
+from ..operators import zonal as ZO
 from . import pipelines as P
 from . import queries as Q
 from . import queries_more as QM
@@ -84,6 +85,21 @@ def run_time_series(spark, sf_dir):
     return out.select("uid", "image_profile", "start_date", "band", "count", F.round("mean", 6).alias("mean"), F.round("max", 6).alias("max"))
 
 
+@query(
+    f"""WITH {QM._POLY.replace('(c_custkey * 7) % 30 + 5.7', 'c_custkey % 3 + 0.7')}, {_WEEK.format(agg='max(v)', agg2='max(v / 4 + row)')}, {QM.hits(1)}
+SELECT uid, start_date, row, col, round((b08 - b04) / nullif(b08 + b04, 0), 6) AS ndvi FROM m JOIN inside USING (row, col)"""
+)
+def run_kept_mosaics(spark, sf_dir):
+    """Mosaics kept in partitions, made week by week and only once, and the parcels' pixels from the tiles that hold them."""
+    tile = lambda: F.floor(F.col("row") / 4)
+    rows, path = images(spark, sf_dir).withColumn("tile", tile()), f"{shared_folder(spark)}/mosaics"
+    for end in ("2024-01-15", "2024-01-29"):
+        P.kept_mosaics(rows, PROFILES, ["s2-ndvi-weekly"], "2024-01-01", end, path)
+    cells = ZO.rasterised(QM.polygons(spark, sf_dir, low=True))
+    found = P.pixels_of_parcels(P.images_at(spark, path, "s2-ndvi-weekly", ("ndvi",)), cells, tile)
+    return found.select("uid", "start_date", "row", "col", F.round("ndvi", 6).alias("ndvi"))
+
+
 # ---------------------------------------------------------------- parcels
 
 @query(f"SELECT l.uid, l.classname, l.classname_declared, coalesce(x.pixcount, 0) AS pixcount, l.prod_method FROM ({Q._LABELS['cropgroup'][2]}) l LEFT JOIN ({Q.SQL["pixel_counts"]}) x ON x.uid = l.uid")

@@ -133,13 +133,60 @@ def test_cross_prediction_and_neighbours(spark):
     assert models.nearest_neighbours(learn.limit(0), own, names, "classname").where("pred1 is null").count() == 60
 
 
-def test_neighbours_in_blocks(spark, monkeypatch):
-    rows, names = clusters(spark, 90), ["x1", "x2", "x3"]
+def plain_neighbours(learn, own, names, k):
+    import math
+
+    known, out = [(r["uid"], r["classname"], [r[c] for c in names]) for r in learn.collect()], {}
+    for r in own.collect():
+        near = sorted((round(math.dist([r[c] for c in names], x), 9), i, c) for i, c, x in known)[:k]
+        n = {c: sum(c == x for _, _, x in near) for _, _, c in near}
+        best = min(n, key=lambda c: (-n[c], c))
+        out[r["uid"]] = (best, n[best] / len(near))
+    return out
+
+
+@pytest.mark.parametrize("chunk", [4096, 7])
+def test_neighbours_skip_far_cells(spark, monkeypatch, chunk):
+    """Against plain loops, with ties and cells in chunks; on clustered features less than half of the pairs are compared."""
+    monkeypatch.setattr(models, "CHUNK", chunk)
+    rows, names = clusters(spark, 1600).withColumn("x1", F.round("x1", 1)).withColumn("x2", F.round("x2", 1)).withColumn("x3", F.lit(0.0)), ["x1", "x2", "x3"]
     learn, own = sampling.split_folds(rows, 1)
-    want = sorted(map(tuple, models.nearest_neighbours(learn, own, names, "classname", 5).collect()))
-    monkeypatch.setattr(models, "MOST_NUMBERS", 40)
-    monkeypatch.setattr(models, "TOGETHER", 3)
-    assert sorted(map(tuple, models.nearest_neighbours(learn, own, names, "classname", 5).collect())) == want
+    report = {}
+    got = {r["uid"]: (r["pred1"], r["pred1_prob"]) for r in models.nearest_neighbours(learn, own, names, "classname", 5, report=report).collect()}
+    assert got == plain_neighbours(learn, own, names, 5)
+    assert report["pairs"] == 1200 * 400 and report["compared"] < 0.5 * report["pairs"]
+    few = {r["uid"]: (r["pred1"], r["pred1_prob"]) for r in models.nearest_neighbours(learn.limit(3), own, names, "classname", 5).collect()}
+    assert few == plain_neighbours(learn.limit(3), own, names, 5)
+
+
+def test_kernel_machine_separates_rings(spark, tmp_path):
+    """Two rings that no line separates; held-out log loss beats the class shares, also after saving and loading."""
+    import math
+
+    angle = F.rand(7) * 2 * math.pi
+    radius = F.when(F.col("id") % 2 == 0, 1.0).otherwise(2.0) + F.rand(8) * 0.2
+    rows = spark.range(500).select(F.col("id").cast("string").alias("uid"), F.when(F.col("id") % 2 == 0, "in").otherwise("out").alias("classname"), (radius * F.cos(angle)).alias("x"), (radius * F.sin(angle)).alias("y"), (F.col("id") % 5).alias("fold")).persist()
+    learn, own = rows.where("fold > 0"), rows.where("fold = 0")
+    model = models.trained(learn, ["x", "y"], "classname", str(tmp_path / "m"), "svm", gamma=1.0, maxIter=30)
+    again = models.trained(learn, ["x", "y"], "classname", str(tmp_path / "m"), "svm", gamma=1.0, maxIter=30)
+    found, classes = models.probabilities(model, own, ["uid", "classname"])
+    got = found.collect()
+    assert classes == ["in", "out"] and sum((r["in"] > 0.5) == (r["classname"] == "in") for r in got) > 0.95 * len(got)
+    assert sum(-math.log(r[r["classname"]]) for r in got) / len(got) < 0.5 * math.log(2)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, models.probabilities(again, own, ["uid", "classname"])[0].collect()))
+
+
+def test_boosted_probabilities_are_calibrated(spark):
+    """A class that holds with a known chance: within bins of the predicted probability the share of the class is near it."""
+    x = F.rand(11)
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("uid"), x.alias("x"), F.rand(12).alias("noise"), F.rand(13).alias("u")).withColumn("classname", F.when(F.col("u") < 0.1 + 0.8 * F.col("x"), "yes").otherwise("no")).persist()
+    own = rows.where("cast(uid as int) % 3 = 0")
+    model = models.train(rows.where("cast(uid as int) % 3 <> 0"), ["x", "noise"], "classname", "gradientboosting", maxIter=8, maxDepth=3)
+    found, _ = models.probabilities(model, own, ["uid", "classname"])
+    bins = found.groupBy(F.floor(F.col("yes") * 4).alias("b")).agg(F.avg("yes").alias("p"), F.avg((F.col("classname") == "yes").cast("double")).alias("share"), F.count("*").alias("n")).collect()
+    assert all(abs(r["no"] + r["yes"] - 1) < 1e-9 for r in found.collect())
+    error = sum(abs(r["p"] - r["share"]) * r["n"] for r in bins) / sum(r["n"] for r in bins)
+    assert error < 0.05 and len(bins) >= 3
 
 
 def test_a_classification_run(spark, tmp_path):
@@ -214,3 +261,55 @@ def test_versions_of_inputs(spark, tmp_path):
     with pytest.raises(Exception, match="BROKEN"):
         store.stage("bad", lambda: spark.range(1).selectExpr("raise_error('BROKEN') AS x"), ["in"])
     assert store.stage("bad", lambda: spark.range(3), ["in"]).count() == 3 and store.made == ["bad"]
+
+
+def test_mosaics_are_made_once(spark, tmp_path):
+    """A second run writes nothing, a later week only itself, a derived profile reads its stored base; scans are pruned by tiles."""
+    days = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(0, 28, 3)]
+    rows = [(i // 4, i, j, d, dt.datetime(d.year, d.month, d.day, 10), str(d), 4 if (i + j) % 5 else 9, float(i + j), float(i * j)) for d in days for i in range(8) for j in range(5)]
+    pixels = spark.createDataFrame(rows, "tile long, row long, col long, day date, ts timestamp, image string, scl int, b08 double, b04 double")
+    from fieldlark.functions import bands as B
+
+    profiles = {"base": pipelines.Profile(("b08", "b04"), "max"), "ndvi": pipelines.Profile(base="base", index={"ndvi": lambda: B.ndvi(F.col("b04"), F.col("b08"))})}
+    path = str(tmp_path / "mosaics")
+    args = (profiles, ["ndvi"], "2024-01-01")
+    written = [pipelines.kept_mosaics(pixels, *args, end, path).count() for end in ("2024-01-22", "2024-01-22", "2024-01-29", "2024-01-29")]
+    assert written == [6, 0, 2, 0]  # three weeks of two profiles, then one week
+    assert pipelines.kept_mosaics(pixels, *args, "2024-01-15", path, force=True).count() == 4
+    direct = pipelines.mosaics(pixels, profiles, ["ndvi"], "2024-01-01", "2024-01-29")["ndvi"]
+    kept = pipelines.images_at(spark, path, "ndvi", ("ndvi",))
+    show = lambda df: sorted((r["start_date"], r["tile"], r["row"], r["col"], r["ndvi"] if r["ndvi"] is None else round(r["ndvi"], 9)) for r in df.collect())
+    assert show(kept) == show(direct) and kept.count() == 4 * 40
+    cells = spark.createDataFrame([("p", 1, 2), ("p", 2, 2)], "uid string, row long, col long")
+    found = pipelines.pixels_of_parcels(kept, cells, lambda: F.floor(F.col("row") / 4))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and found.count() == 8 and {r["tile"] for r in found.collect()} == {0}
+    with pytest.raises(ValueError, match="unknown"):
+        pipelines.kept_mosaics(pixels, profiles, ["other"], "2024-01-01", "2024-01-29", path)
+
+
+def test_streamed_statistics_equal_the_batch(spark, tmp_path):
+    """All eleven statistics, with late rows and a restart between files; weeks are emitted once, when the watermark passes."""
+    import random
+
+    from fieldlark.streaming import weekly as W
+
+    r = random.Random(4)
+    day = lambda n: dt.datetime(2024, 1, 1, 12) + dt.timedelta(n)
+    parts = [[(day(r.randrange(7 * w, 7 * w + 7)), r.choice("ab"), r.choice([None, 1.0, 2.0, 2.0, 1e9, 1e9 + 1])) for _ in range(40)] for w in range(4)]
+    parts[3] += [(day(1), "a", 77.0)]  # too late by now
+    parts += [[(day(60), "z", 0.0)]]
+    schema = "ts timestamp, uid string, value double"
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        q = W.weekly_statistics(stream, ["uid"]).writeStream.outputMode("append").format("parquet").option("checkpointLocation", str(tmp_path / "c")).start(out)  # a restart for each file
+        q.processAllAvailable()
+        q.stop()
+    good = [x for part in parts[:4] for x in part if x[2] != 77.0]
+    want = W.weekly_statistics(spark.createDataFrame(good, schema), ["uid"])
+    show = lambda df: sorted((str(x["week"]["start"]), *(x[c] for c in want.columns[1:])) for x in df.collect())
+    assert show(spark.read.parquet(out)) == show(want) and want.count() == 8
+    cover = {str(x["week"]["start"])[:10]: x["row_pct"] for x in W.weekly_coverage(want, 4, []).collect()}
+    assert set(cover.values()) == {50.0}
