@@ -6,7 +6,7 @@ with equal vectors form an equivalence class. A class is valid if it has several
 ordered: its tokens begin in the same order on each of its pages. The element tokens of valid classes, nested by their
 paths, are the host's template; its text tokens are the constants of the template. The text between them is variable, and each path of
 variable text belongs to the deepest template element around it, a slot. The container is the deepest template element that
-holds MOST_TEXT of the host's variable text. All pages of all hosts are counted; a hot host is combined before the
+holds MOST_TEXT of the variable text of the host's pages without an article or main element, which alone need it. All pages of all hosts are counted; a hot host is combined before the
 shuffle, and only template rows leave that step. Paths are hashes made from the parent's hash, so that deep nesting costs
 no more than flat markup.
 
@@ -224,14 +224,17 @@ def token(path: int, text: str) -> int:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each page's tokens with their counts and the place of the first; text blocks outside noise only."""
+    """Each page's tokens with their counts and the place of the first; text blocks outside noise only.
+
+    The characters of the document's own token say whether it has an article or main element.
+    """
     names = ["host", "token", "path", "is_text", "chars", "page", "n", "at"]
     kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
     for batch in batches:
         rows: list[tuple] = []
         for host, page, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            seen: dict[tuple[int, str], list] = {}
             found, elements = blocks(body or "")
+            seen: dict[tuple[int, str], list] = {(0, ""): [0, int(any(role for _, _, noise, role in found if not noise))]}
             for p in elements.paths:
                 seen.setdefault((p, ""), [0, 0])[0] += 1
             for e, s, noise, _ in found:
@@ -335,8 +338,9 @@ def templates(pages: DataFrame) -> DataFrame:
     valid = stored(orders.groupBy("host", "vector").agg(F.min("o").alias("a"), F.max("o").alias("b")).where("a = b").select("host", "vector"))
     template = members.join(small(valid), ["host", "vector"], "left_semi")
     known = stored(template.groupBy("host").agg(F.sort_array(F.collect_set(F.when(F.col("is_text"), F.col("token")))).alias("constants"), F.sort_array(F.collect_set(F.when(~F.col("is_text"), F.col("path")))).alias("nodes")))
-    # variable text within the template's elements; the deepest around a text is its slot
-    rows, template_of = _with_templates(pages.select("host", "html").join(small(known.select("host")), "host", "left_semi"), known)
+    # variable text within the template's elements, on the pages that name no article; the deepest around a text is its slot
+    bare = stored(tokens.where("path = 0 and not is_text and chars = 0").select("host", "page").distinct().join(small(known.select("host")), "host", "left_semi"))
+    rows, template_of = _with_templates(pages.join(small(bare), ["host", "page"], "left_semi").select("host", "html"), known)
     sums = rows.mapInArrow(lambda b: _sums(b, template_of), "host string, path long, depth int, box boolean, slot boolean, chars long")
     sums = stored(sums.groupBy("host", "path").agg(F.max("depth").alias("depth"), F.bool_or("box").alias("box"), F.bool_or("slot").alias("slot"), F.sum("chars").alias("chars")))
     slots = sums.where("slot and path <> 0").groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("slots"))
