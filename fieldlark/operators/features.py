@@ -71,7 +71,7 @@ def long_features(zonal: DataFrame, parcels: DataFrame, stat: str = "mean", leas
     kept = coverage(zonal, parcels, stat, id_col)
     if least_pct > 0:
         kept = kept.where((F.col("row_pct") >= least_pct) & (F.col("value_pct") >= least_pct))
-    known = zonal.join(parcels.select(id_col).distinct(), id_col, "left_semi").join(F.broadcast(kept.select(*KEYS)), list(KEYS), "left_semi")
+    known = zonal.join(parcels.select(id_col).distinct(), id_col, "left_semi").join(kept.select(*KEYS), list(KEYS), "left_semi")
     name = feature_name(F.col("image_profile"), F.col("start_date"), F.col("band"), F.lit(stat))
     return known.select(id_col, name.alias("feature"), scaled(F.col(stat), F.col("image_profile")).alias("value"))
 
