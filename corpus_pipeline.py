@@ -6,6 +6,8 @@ topic, tokens and probability); `run` writes each result as Parquet in the share
 A null text is kept or rejected like an empty one. Rows with a null doc_id pass the near-duplicate stage, which names documents by
 id; of different rows with one id it keeps that whose text has the smallest digest.
 Without a usable label, or without a language to learn, the classifying stages keep what they can't judge.
+Texts of any length are judged whole. Equal documents are judged alike; of equal texts the smallest doc_id stays. An empty table passes
+all stages as an empty one. Columns that documents has besides are carried along; those that the mixture adds replace any of the same name.
 """
 
 from __future__ import annotations

@@ -52,11 +52,16 @@ def stored(df: DataFrame) -> DataFrame:
     return out
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder that `scratch` named, and all in it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def dropped(*tables: DataFrame) -> None:
     """Delete tables that `stored` made, after their last use."""
     for df in tables:
-        where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._fieldlark_path)
-        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+        removed(df.sparkSession, df._fieldlark_path)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -6,7 +6,10 @@ needs no sample and the driver gets two small matrices. Covariances are shrunk t
 their Cholesky factors are computed once and travel with the model.
 
 Null or empty text: the statistics of an empty document, scored like any other. Labels null or of unknown documents
-take no part. One class only, or none: every score is that class's smoothed share. Repeated rows are scored alike.
+take no part. One class only, or none: every score is that class's smoothed share. Repeated rows are scored alike, and each
+counts in the moments. A score of exactly the threshold is predicted 1. A very long text is counted in bounded pieces. An
+empty table gives no rows, and no labelled rows the score of no class. Extra columns are not read, whatever their names; the
+filtering form keeps them.
 """
 
 from __future__ import annotations

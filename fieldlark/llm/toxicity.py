@@ -13,7 +13,9 @@ by hash of the id). Words are runs without white space, whole whatever their len
 runs of single characters count as one word too, so that spelled-out insults match.
 
 Null and empty texts have no sentence and get the score of one without any match. Labels that are null or not 0 or 1
-teach nothing; without both labels every score is the smoothed share of toxic labels. Repeated rows score alike.
+teach nothing; without both labels every score is the smoothed share of toxic labels. Repeated rows score alike. Of landmarks
+that gain alike the longest is taken, then the first in order; of sentences with equal margins either gives the same score. A very
+long text is read in pieces, all its sentences count. An empty table gives no rows. Extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations

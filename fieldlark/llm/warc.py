@@ -1,9 +1,11 @@
 """WARC: writing captures, reading archives, and transaction assembly.
 
 Each page becomes a request, a response or revisit, and a metadata record. They are written as text with the record
-separator of WARC as line separator, gzip-compressed by Spark's writer, at most RECORDS in a file; reading takes whole files
-through the binaryFile source (any store that Spark reads) and parses them by Content-Length. Assembly joins the records
-through WARC-Concurrent-To, resolves revisits through WARC-Refers-To, and emits one nested row for each capture.
+separator of WARC as line separator, gzip-compressed by Spark's writer. An archive holds ARCHIVE_BYTES of payloads at most, or
+one capture: pages are written by classes of their payload's length, each with its own number of records in a file (equal
+payloads are equally long, so a revisit and its response are of one class). Reading takes whole files through the binaryFile
+source (any store that Spark reads) and parses them by Content-Length. Assembly joins the records through WARC-Concurrent-To,
+resolves revisits through WARC-Refers-To, and emits one nested row for each capture.
 
 Of pages with the same payload digest the one with the smallest page_id (nulls last, then the first row) is the response;
 its record id derives from the digest, so revisits can name it without a further join. A digest that very many pages
@@ -25,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._spark import hot_join, scratch, stored, table
+from ._spark import hot_join, removed, scratch, stored, table
 
-#: Records of an archive file at most, three for each capture (a file is also no larger than the task's partition that writes it),
+#: Bytes of the payloads of an archive file at most (a longer payload has a file to itself), the lengths at which classes of pages end,
 #: and bytes of an archive that are inflated at once.
-RECORDS, PIECE = 6000, 1 << 20
+ARCHIVE_BYTES, CLASSES, PIECE = 1 << 27, (1 << 16, 1 << 21), 1 << 20
 VERSION, END = "WARC/1.1", "\r\n\r\n"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _LAST = (1 << 63) - 1
@@ -56,15 +58,16 @@ def _record(kind: Column, fields: list[tuple[str, Column]], block: Column) -> Co
     return F.concat(F.concat_ws("\r\n", F.lit(VERSION), F.concat(F.lit("WARC-Type: "), kind), *lines, F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string"))), F.lit(END), block)
 
 
-def captures(pages: DataFrame, date: str, revisit_from: int = 0) -> DataFrame:
-    """page_id, url, payload, digest (hexadecimal), date, kind, capture (record id), original (record id; null for responses).
-
-    Rows are numbered in two branches of the plan: those that don't come straight from a scan are stored first, so that a task
-    that runs again numbers them alike.
-    """
+def _steady(pages: DataFrame) -> DataFrame:
+    """The columns of captures. They number rows in two branches of the plan, so pages that don't come straight from a scan are
+    stored first: a task that runs again numbers them alike."""
     pages = pages.select("page_id", "url", "html")
-    if "Exchange" in pages._jdf.queryExecution().executedPlan().toString():
-        pages = stored(pages)
+    return stored(pages) if "Exchange" in pages._jdf.queryExecution().executedPlan().toString() else pages
+
+
+def captures(pages: DataFrame, date: str, revisit_from: int = 0) -> DataFrame:
+    """page_id, url, payload, digest (hexadecimal), date, kind, capture (record id), original (record id; null for responses)."""
+    pages = _steady(pages)
     url = F.regexp_replace(F.coalesce(F.col("url").cast("string"), F.lit("")), "[\r\n]", " ")
     base = pages.select(
         F.col("page_id").cast("long").alias("page_id"), url.alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"), F.monotonically_increasing_id().alias("row")
@@ -83,7 +86,16 @@ def captures(pages: DataFrame, date: str, revisit_from: int = 0) -> DataFrame:
 
 
 def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", revisit_from: int = 0) -> None:
-    """Three records for each row of (page_id, url, html); revisits have HTTP headers but no payload."""
+    """Three records for each row of (page_id, url, html), in a folder for each class of lengths; revisits have HTTP headers but no payload."""
+    pages = _steady(pages)
+    length = F.octet_length(F.coalesce(F.col("html").cast("string"), F.lit("")))
+    for i, (low, high) in enumerate(zip((0, *CLASSES), (*CLASSES, None), strict=True)):
+        own = pages.where(length >= low if high is None else (length >= low) & (length < high))
+        _write_class(own, f"{path}/class{i}", 3 * max(1, ARCHIVE_BYTES // high) if high else 3, date, revisit_from)
+
+
+def _write_class(pages: DataFrame, path: str, most: int, date: str, revisit_from: int) -> None:
+    """Archives of at most `most` records."""
     c = captures(pages, date, revisit_from)
     at, to = ("WARC-Date", F.col("date")), ("WARC-Target-URI", F.col("url"))
     path_part = F.coalesce(F.nullif(F.regexp_extract("url", r"^[a-zA-Z]+://[^/?#]*([^#]*)", 1), F.lit("")), F.lit("/"))
@@ -101,7 +113,7 @@ def write_warc(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
         _record(F.lit("request"), [("WARC-Record-ID", own("request")), ("WARC-Concurrent-To", F.col("capture")), at, to, ("Content-Type", F.lit("application/http; msgtype=request"))], ask),
         _record(F.lit("metadata"), [("WARC-Record-ID", own("metadata")), ("WARC-Concurrent-To", F.col("capture")), at, to, ("Content-Type", F.lit("application/warc-fields"))], about),
     )
-    c.select(F.explode(records).alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
+    c.select(F.explode(records).alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
 
 
 def _inflated(content: bytes) -> Iterator[bytes]:
@@ -174,7 +186,7 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, _SCHEMA)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content").mapInArrow(run, _SCHEMA)
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -197,7 +209,9 @@ def op1_warc_transactions(spark, sf_dir: str) -> DataFrame:
     """Writes all pages, reads the archives back, and returns page_id, payload_bytes, payload_digest, record_type, refers_to."""
     path = scratch(spark)
     write_warc(table(spark, sf_dir, "pages"), path)
-    full = assemble(stored(read_warc(spark, path, payload=False)))  # parsed once, and joined from there
+    records = stored(read_warc(spark, path, payload=False))  # parsed once, and joined from there
+    removed(spark, path)
+    full = assemble(records)
     page = lambda fields: F.try_element_at(F.col(fields), F.lit("page-id")).cast("long")
     source = F.coalesce("original", "response")
     return full.select(

@@ -373,6 +373,26 @@ def test_wrapped_and_awkward_notices(spark):
 # ------------------------------------------------------------- archives
 
 
+def test_archives_are_bounded_by_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 4000)
+    monkeypatch.setattr(warc, "CLASSES", (500, 2000))
+    lengths = [0, 1, 499, 500, 501, 1999, 2000, 2001, 30_000, 30_000] * 3
+    rows = [(i, f"http://h{i % 3}.org/{i}", None if n == 0 else chr(97 + i % 20) * n) for i, n in enumerate(lengths)]
+    path = str(tmp_path / "bounded")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    files = [r["content"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content").collect()]
+    held = [[len(block.partition(b"\r\n\r\n")[2]) for f, block in warc.records_in(bytes(x)) if f["warc-type"] in ("response", "revisit")] for x in files]
+    assert all(sum(x) <= 4000 or len(x) == 1 for x in held) and sum(len(x) > 1 for x in held) > 1
+    full = warc.assemble(warc.read_warc(spark, path)).collect()
+    assert len(full) == len(rows) and all(r["request"] and r["metadata"] for r in full)
+    first = {}
+    for i, _, text in rows:
+        first.setdefault(text, i)
+    page = lambda fields: int(fields["page-id"])
+    got = {page(r["metadata"]["fields"]): page(r["original_fields"]) if r["original"] else page(r["metadata"]["fields"]) for r in full}
+    assert got == {i: first[text] for i, _, text in rows}
+
+
 def test_archives_in_small_pieces(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(warc, "PIECE", 5)
     pages = spark.range(40).select(F.col("id").alias("page_id"), F.lit("http://a/b").alias("url"), F.repeat(F.lit("zé "), (F.col("id") % 7).cast("int")).alias("html"), F.lit(1).alias("row"))
