@@ -252,12 +252,11 @@ j AS (SELECT sel.*, finding, checked_main, checked_late, best.cover_s1, CASE WHE
   FROM sel LEFT JOIN chk ON chk.uid = sel.uid AND chk.start_date = sel.start_date AND chk.uid::BIGINT % 3 <> 0 JOIN best ON best.uid = sel.uid WHERE sel.uid::BIGINT % 5 <> 0)"""
 
 
-@query(
-    f"""WITH {_LOCATED}, x AS (SELECT *, CASE WHEN ndvi = 0 THEN 'NODATA' WHEN ndvi < CASE WHEN reason = 'BMG' THEN 0.25 ELSE 0.3 END THEN 'bare-soil' ELSE 'other' END AS cover_check FROM j)
-SELECT uid, start_date, reason, cover_check, cover_s1, {QV._correct_sql('cover_check')} AS ndvi_correct, {QV._correct_sql('cover_s1')} AS s1_correct, 4 AS corners FROM x"""
-)
-def run_cover_report(spark, sf_dir):
-    """Field checks joined by two keys, with geometry and cover, and judged."""
+_JUDGED = f"""{_LOCATED}, x AS (SELECT *, CASE WHEN ndvi = 0 THEN 'NODATA' WHEN ndvi < CASE WHEN reason = 'BMG' THEN 0.25 ELSE 0.3 END THEN 'bare-soil' ELSE 'other' END AS cover_check FROM j),
+y AS (SELECT *, {QV._correct_sql('cover_check')} AS ndvi_correct, {QV._correct_sql('cover_s1')} AS s1_correct FROM x)"""
+
+
+def _cover_report(spark, sf_dir):
     weeks = QV.weeks(spark, sf_dir)
     n, day = F.col("uid").cast("long"), F.unix_date("start_date")
     selected = weeks.select(F.col("uid").alias("a"), day.cast("double").alias("b"), "uid", "all_best", "ndvi", "start_date")
@@ -265,11 +264,25 @@ def run_cover_report(spark, sf_dir):
     checks = weeks.select("uid", "start_date").distinct().where(n % 3 != 0).select(n.alias("a"), day.alias("b"), F.when(n % 4 == 0, "plough").alias("finding"), main.alias("checked_main"), F.when(n % 9 == 0, "98").alias("checked_late"))
     ring = F.array(*(F.struct((n + x).cast("double").alias("x"), F.lit(float(y)).alias("y")) for x, y in ((0, 0), (1, 0), (1, 1), (0, 1))))
     parcels = weeks.select("uid", "start_date").distinct().where(n % 5 != 0).select(n.alias("a"), day.alias("b"), F.array(ring).alias("geom"))
-    cover = CV.best_week(weeks, ["cover_s1"])
-    rows, _ = P.cover_report(selected, checks, parcels, cover, ["a", "b"])
+    return P.cover_report(selected, checks, parcels, CV.best_week(weeks, ["cover_s1"]), ["a", "b"])
+
+
+@query(f"WITH {_JUDGED} SELECT uid, start_date, reason, cover_check, cover_s1, ndvi_correct, s1_correct, 4 AS corners FROM y")
+def run_cover_report(spark, sf_dir):
+    """Field checks joined by two keys, with geometry and cover, and judged."""
+    rows, _ = _cover_report(spark, sf_dir)
     return rows.select("uid", "start_date", "reason", "cover_check", "cover_s1", "ndvi_correct", "s1_correct", F.size(F.element_at("geom", 1)).alias("corners"))
 
 
+@query(
+    f"""WITH {_JUDGED} SELECT reason, count(*) AS n, {", ".join(f"count(*) FILTER ({c}_correct = '{v}') AS {c}_{v.lower()}" for c in ("ndvi", "s1") for v in ("yes", "no", "NODATA"))},
+count(*) FILTER (ndvi_correct = 'no_groundtruth') AS unchecked FROM y GROUP BY reason"""
+)
+def run_cover_statistics(spark, sf_dir):
+    """How often the satellites' verdicts agree with the field checks of the report, by reason of selection."""
+    return _cover_report(spark, sf_dir)[1]
+
+
 @query(f"WITH {QV._COVER}, best AS (SELECT uid, arg_min(cover_s1, r) AS cover_s1 FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY pred1_prob DESC NULLS LAST, start_date) AS r FROM cov) GROUP BY uid), own AS (SELECT DISTINCT uid, all_best FROM cov WHERE uid::BIGINT % 5 <> 0), sat AS (SELECT uid, max(ndvi) AS ndvi FROM cov WHERE uid::BIGINT % 7 <> 0 GROUP BY uid) SELECT uid, all_best, cover_s1, ndvi FROM own JOIN best USING (uid) JOIN sat USING (uid)")
 def cover_with_features(spark, sf_dir):
     """Parcels with their cover and satellite features."""
