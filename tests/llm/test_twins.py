@@ -442,6 +442,16 @@ def test_classifiers_without_documents(spark):
     assert language.predict(docs, *language.train(docs.withColumn("lang", F.lit("en")))).count() == 0
 
 
+def test_stages_without_documents_and_with_extra_columns(spark):
+    source = spark.read.parquet(f"{SF}/documents.parquet")
+    few = source.where("doc_id < 40").withColumns({"score": F.lit(0.5), "root": F.lit(3), "class_id": F.lit("c"), "n": F.lit(1)})
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, source.limit(0), SF).count() == 0, name
+        out = stage(spark, few, SF)
+        assert set(few.columns) <= set(out.columns) and 0 < out.count() <= few.count(), name
+        assert out.select("score", "root", "class_id", "n").distinct().collect() == [(0.5, 3, "c", 1)], name
+
+
 def test_clusters_in_small_blocks(spark, monkeypatch):
     from test_llm import brute_components, near_copies
 
