@@ -115,3 +115,13 @@ def test_neighbourhoods_with_gaps(spark, half):
     assert twice == {0: 3.0, 1: 3.0, 9: 7.0}
     dense = spark.range(900).select(F.lit(0).alias("tile"), F.floor(F.col("id") / 30).alias("row"), (F.col("id") % 30).alias("col"), F.col("id").cast("double").alias("value"))
     assert raster._with_gaps(dense, half).count() == 30 * (30 + 2 * half)
+
+
+@pytest.mark.parametrize("name", ["footprint_parcels", "polygon_faults", "coverage_fractions", "emptied_parcels", "zonal_eroded", "zonal_half_pixels", "zonal_coverage", "polygon_validity", "lost_parcels", "zonal_polygons", "run_time_series"])
+def test_edges_and_pixels_are_never_broadcast(spark, name):
+    import __spark_entry__
+
+    plan = __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    # only the one polygon of an image is sent to all tasks
+    assert plan.count("BroadcastHashJoin") == (3 if name == "footprint_parcels" else 0)
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
