@@ -323,3 +323,16 @@ def test_run_classification_learns_from_all_rows_as_its_sql(spark, monkeypatch):
     # an upper limit that small classes reach too
     monkeypatch.setitem(sampling.STRATEGIES, "UPPER_LIMIT", (sampling.Tier(2, 2), sampling.Tier(0, None)))
     compare(spark, __spark_entry__.queries()["run_classification"], __spark_entry__.oracle_sql()["run_classification"])
+
+
+def test_kernel_features_keep_plans_small(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = spark.createDataFrame([(Vectors.dense([0.0, 1.0, 2.0]),), (Vectors.sparse(3, [1], [4.0]),)], ["x"]).repartition(3)
+    out = models.RandomFourier(inputCol="x", outputCol="f", components=200, width=3, gamma=0.5, seed=7).transform(rows)
+    # as literals the projections took 800 expressions of every later plan
+    assert len(out._jdf.queryExecution().analyzed().toJSON()) < 40_000
+    got = {tuple(r.x.toArray()): r.f.toArray() for r in out.collect()}
+    (a, fa), (b, fb) = got.items()
+    kernel = 2.718281828459045 ** (-0.5 * sum((p - q) ** 2 for p, q in zip(a, b)))
+    assert len(fa) == 200 and abs(fa @ fa - 1) < 0.2 and abs(fa @ fb - kernel) < 0.2
