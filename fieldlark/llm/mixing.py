@@ -10,7 +10,7 @@ marginals of the final probabilities are met to TOLERANCE. A value with fewer to
 of its dimension shares what it lacks; targets that can't be met are named in a warning.
 
 The cell table has as many rows as there are combinations of values, whatever the number of documents: raking runs on the
-driver up to MOST_CELLS cells, and beyond as joins of tables with the same steps, which end at TOLERANCE_BEYOND.
+driver up to MOST_CELLS cells, and beyond as joins of tables with the same steps, which end where those on the driver do.
 
 Null source or language is the value `unknown`; a null text counts as empty, with 1 token. Values that have no target get
 weight 0; targets of absent values are left out and the rest is normalised. Repeated rows share the decision of
@@ -34,8 +34,8 @@ TEMPER, KEEP, SEED = 0.5, 0.5, "mix"
 MOST_CELLS = 200_000
 #: Share of all kept tokens by which a marginal of bounded raking may be off, rounds at most, and the largest weight.
 TOLERANCE, MOST_ROUNDS, LARGEST = 1e-6, 2000, 1e100
-#: The same for tables of more than MOST_CELLS cells, where a round is three jobs.
-TOLERANCE_BEYOND, ROUNDS_BEYOND = 1e-4, 40
+#: The same for tables of more than MOST_CELLS cells: the size of the input picks the way, not the result.
+TOLERANCE_BEYOND, ROUNDS_BEYOND = TOLERANCE, MOST_ROUNDS
 
 
 def tokens(text: Column) -> Column:

@@ -409,3 +409,7 @@ def test_stages(spark):
             kept = [r["doc_id"] for r in out.collect() if r["doc_id"] is not None]
             assert sorted(kept) == sorted(want)
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_raking_ends_alike_on_either_side_of_the_switch():
+    assert (mixing.TOLERANCE_BEYOND, mixing.ROUNDS_BEYOND) == (mixing.TOLERANCE, mixing.MOST_ROUNDS)
