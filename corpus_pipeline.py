@@ -40,7 +40,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays: the one with the smallest id."""
-    found = jaccard_join.jaccard_components(docs)
+    found = jaccard_join.jaccard_components(docs, links=False)
     gone = stored(found.where("component_id <> doc_id").select("doc_id"))
     kept = docs.join(small(gone), "doc_id", "left_anti")
     again = stored(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))

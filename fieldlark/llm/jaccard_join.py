@@ -18,8 +18,12 @@ A text that is null, empty or without words has no shingles and links with nothi
 as unique; rows of a null id are left out. Repeated rows of one id count once (its class with the most shingles). A very long text
 is hashed in pieces. An empty table gives no rows. Extra columns are not read, whatever their names.
 
-Components are exact. Links within a component are found until it hangs together, not counted to the last: that number
-grows with the square of a group of near copies. n_links says how many of the links found name a class.
+5. Links are counted within the components: their classes lie in blocks, by bands of sizes of which only neighbours can
+link, and every block meets those of its band and of the next. Overlaps follow from one computed overlap for each text
+and block. Only counts leave a task, no pairs. The comparisons grow with the square of a component's classes of like size.
+
+Components and n_links are exact. n_links says with how many other classes (different sets) a class links; exact copies
+share a class, and its links.
 """
 
 from __future__ import annotations
@@ -42,6 +46,8 @@ COUNTERS, PIECES = 1 << 20, 64
 BLOCK = 256
 #: Members of open clusters in a block at most, shingles of a block, and members of each that are compared first.
 MEMBERS, SHINGLES, PROBE = 64, 1 << 19, 8
+#: Classes of a block when links are counted.
+COUNTED = 512
 #: Min-hash keys under which a representative looks for a leader.
 KEYS = 4
 _EPS = 1e-9
@@ -264,30 +270,61 @@ def _compared(docs: DataFrame, pairs: DataFrame, k: int, t: float) -> DataFrame:
     return stored(found.select("a", "b", (F.col("inter") * den >= union * num).alias("linked"), (1 - F.col("inter") / union).alias("d")))
 
 
+def _overlaps(hosts: list[np.ndarray], guests: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each guest its overlaps with all hosts.
+
+    The first host's overlap with a guest is computed; the others' follow from it by the shingles in which they differ
+    from the first, so that a guest costs one look-up of its shingles for all hosts together.
+    """
+    base = hosts[0]
+    lost, new = [np.setdiff1d(base, s, True) for s in hosts], [np.setdiff1d(s, base, True) for s in hosts]
+    key = np.concatenate([*lost, *new])
+    host = np.repeat(np.tile(np.arange(len(hosts)), 2), [len(x) for x in (*lost, *new)])
+    sign = np.repeat([-1.0, 1.0], [sum(map(len, lost)), sum(map(len, new))])
+    order = np.argsort(key, kind="stable")
+    key, host, sign = key[order], host[order], sign[order]
+    for x in guests:
+        lo, hi = np.searchsorted(key, x, "left"), np.searchsorted(key, x, "right")
+        n = hi - lo
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        yield len(np.intersect1d(base, x, True)) + np.bincount(host[at], sign[at], len(hosts)).astype(np.int64)
+
+
+def _tally(num: int, den: int):
+    def once(table: pa.Table) -> dict[int, np.ndarray]:
+        """The sets by id; of rows that share an id the largest."""
+        out: dict[int, np.ndarray] = {}
+        for i, x in zip(table["id"].to_pylist(), table["set"].to_pylist(), strict=True):
+            if i not in out or len(x) > 8 * len(out[i]):
+                out[i] = np.frombuffer(x, np.uint64)
+        return out
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        """How many classes of the other block each class links with; a block that meets itself counts for its guests alone."""
+        hosts, guests = once(left), once(right)
+        own = np.fromiter(hosts, np.int64, len(hosts))
+        size, by_host, by_guest = np.array([len(x) for x in hosts.values()]), np.zeros(len(hosts), np.int64), []
+        if len(hosts):
+            for i, x, shared in zip(guests, guests.values(), _overlaps([*hosts.values()], [*guests.values()]), strict=True):
+                linked = (shared * den >= (size + len(x) - shared) * num) & (own != i)
+                by_guest.append(int(linked.sum()))
+                by_host += linked
+        _, _, up, x, y = (v.as_py() for v in key)
+        ids, n = ([*hosts, *guests], [*by_host.tolist(), *by_guest]) if len(hosts) and (up or x != y) else ([*guests], by_guest)
+        return pa.table([pa.array(ids[: len(n)], pa.int64()), pa.array(n, pa.int64())], names=["id", "n"])
+
+    return run
+
+
 def _derive(num: int, den: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        """A link, if there is one, of each guest with a host of the block.
-
-        The first host's overlap with a guest is computed; the others' follow from it by the shingles in which they
-        differ from the first, so that a guest costs one look-up of its shingles for all hosts together.
-        """
+        """A link, if there is one, of each guest with a host of the block."""
         out: list[tuple[int, int]] = []
         if left.num_rows and right.num_rows:
             ids = left["id"].to_pylist()
             sets = [np.frombuffer(x, np.uint64) for x in left["set"].to_pylist()]
-            size, base = np.array([len(s) for s in sets]), sets[0]
-            lost, new = [np.setdiff1d(base, s, True) for s in sets], [np.setdiff1d(s, base, True) for s in sets]
-            key = np.concatenate([*lost, *new])
-            host = np.repeat(np.tile(np.arange(len(sets)), 2), [len(x) for x in (*lost, *new)])
-            sign = np.repeat([-1.0, 1.0], [sum(map(len, lost)), sum(map(len, new))])
-            order = np.argsort(key, kind="stable")
-            key, host, sign = key[order], host[order], sign[order]
-            for i, x in zip(right["id"].to_pylist(), right["set"].to_pylist(), strict=True):
-                x = np.frombuffer(x, np.uint64)
-                lo, hi = np.searchsorted(key, x, "left"), np.searchsorted(key, x, "right")
-                n = hi - lo
-                at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-                shared = len(np.intersect1d(base, x, True)) + np.bincount(host[at], sign[at], len(sets)).astype(np.int64)
+            size, others = np.array([len(s) for s in sets]), [np.frombuffer(x, np.uint64) for x in right["set"].to_pylist()]
+            for i, x, shared in zip(right["id"].to_pylist(), others, _overlaps(sets, others), strict=True):
                 linked = np.flatnonzero((shared * den >= (size + len(x) - shared) * num) & (np.array(ids) != i))
                 if len(linked):
                     out.append((ids[linked[0]], i))
@@ -338,6 +375,35 @@ def _apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
     return stored(pairs.join(ra, "a", "left").join(rb, "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)").select(*pairs.columns))
 
 
+def _counted(docs: DataFrame, reps: DataFrame, root: DataFrame, k: int, t: float) -> DataFrame:
+    """(class_id, n_links): with how many other classes each class of the components (node, root) links; stored.
+
+    A component of two classes has one link. In larger ones blocks of classes meet: a band of sizes is as wide as the
+    threshold allows two sets to differ, so that each block meets those of its own band and of the next alone.
+    """
+    ids = stored(root.select(F.col("node").alias("id"), "root").unionAll(root.select(F.col("root").alias("id"), "root").distinct()))
+    member = stored(reps.select("id", "n").join(small(ids), "id").groupBy("id").agg(F.max("n").alias("n"), F.first("root").alias("root")))
+    member = stored(hot_join(member, member.groupBy("root").agg(F.count("*").alias("classes")), "root"))
+    width = max(-math.log(t), 0.01) * (1 + 1e-6)  # a little wider, so that rounded logarithms part no two sets that fit
+    many = member.where("classes > 2").select("id", "n", "root", F.floor(F.log("n") / width).cast("int").alias("band"))
+    plan = stored(many.groupBy("root", "band").agg(F.greatest(F.ceil(F.count("*") / COUNTED), F.ceil(F.sum("n") / SHINGLES)).cast("int").alias("blocks")))
+    above, below = (plan.select("root", (F.col("band") - step).alias("band"), F.col("blocks").alias(name)) for step, name in ((1, "above"), (-1, "below")))
+    plan = stored(plan.join(above, ["root", "band"], "left").join(below, ["root", "band"], "left").fillna(0, ["above", "below"]))
+    placed = small(stored(many.join(small(plan), ["root", "band"]).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))))
+    sets = stored(docs.join(placed.select("id"), "id", "left_semi").select("id", "text").mapInArrow(lambda x: _sets(x, k), "id long, set binary"))
+    upto = lambda n: F.filter(F.sequence(F.lit(0), F.col(n)), lambda i: i < F.col(n))
+    at = lambda band, up, x, y: F.struct((F.col("band") + band).alias("low"), F.lit(up).alias("up"), x.alias("x"), y.alias("y"))
+    own = F.col("own")
+    left = F.concat(F.transform(F.sequence("own", F.col("blocks") - 1), lambda i: at(0, 0, own, i)), F.transform(upto("above"), lambda i: at(0, 1, own, i)))
+    right = F.concat(F.transform(F.sequence(F.lit(0), "own"), lambda i: at(0, 0, i, own)), F.transform(upto("below"), lambda i: at(-1, 1, i, own)))
+    where = ["root", "low", "up", "x", "y"]
+    named = sets.join(placed, "id")
+    sides = [named.select("id", "set", "root", F.inline(spots)).select(*where, "id", "set").toDF(*where, "id", "set") for spots in (left, right)]
+    found = sides[0].groupBy(*where).cogroup(sides[1].groupBy(*where)).applyInArrow(_tally(*_ratio(t)), "id long, n long")
+    found = found.unionAll(member.where("classes = 2").select("id", F.lit(1).cast("long").alias("n")))
+    return stored(found.groupBy(F.col("id").alias("class_id")).agg(F.sum("n").alias("n_links")))
+
+
 def _ratio(t: float) -> tuple[int, int]:
     num, den = round(t * 100), 100
     if abs(num / den - t) > 1e-12:
@@ -345,9 +411,9 @@ def _ratio(t: float) -> tuple[int, int]:
     return num, den
 
 
-def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8) -> DataFrame:
+def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8, links: bool = True) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (smallest id reachable by links), class_id (smallest id of an
-    equal set) and n_links (links found that name its class, at least one for each class that is linked; copies are not expanded).
+    equal set) and n_links (with how many other classes its class links; copies are not expanded). Without `links` that column is left out.
 
     No text, empty text or no word: n_shingles 0 and the document's own id as component. Empty input: no rows.
     """
@@ -395,9 +461,12 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
         edges = stored(edges.unionAll(_opened(docs, member, unsure, k, t, probe)))
         root = stored(components(edges))
 
-    degree = edges.select(F.col("a").alias("class_id")).unionAll(edges.select("b")).groupBy("class_id").agg(F.count("*").alias("n_links"))
-    label = reps.select(F.col("id").alias("class_id"), "digest").join(small(root.withColumnRenamed("node", "class_id")), "class_id", "left").join(degree, "class_id", "left")
-    label = label.select("digest", "class_id", F.coalesce("root", "class_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    label = reps.select(F.col("id").alias("class_id"), "digest").join(small(root.withColumnRenamed("node", "class_id")), "class_id", "left")
+    n_links = []
+    if links:
+        label = label.join(small(_counted(docs, reps, root, k, t)), "class_id", "left")
+        n_links = [F.coalesce("n_links", F.lit(0)).alias("n_links")]
+    label = label.select("digest", "class_id", F.coalesce("root", "class_id").alias("component_id"), *n_links)
     out = hot_join(rows, label, "digest", "left")
     own = F.col("n") == 0
     return out.select(
@@ -405,7 +474,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
         F.col("n").cast("long").alias("n_shingles"),
         F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(own, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
+        *([F.when(own, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links")] if links else []),
     )
 
 

@@ -461,3 +461,21 @@ def test_clusters_in_small_blocks(spark, monkeypatch):
     rows = near_copies(21, 100)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(documents(spark, rows)).collect()}
     assert got == brute_components(rows)
+
+
+@pytest.mark.parametrize("block", [512, 5])
+def test_every_link_is_counted(spark, monkeypatch, block):
+    """n_links against all pairs of different sets: groups of near copies, copies, sizes in the ratio 4 to 5, repeated rows."""
+    from test_llm import near_copies, shingle_set
+
+    monkeypatch.setattr(jaccard_join, "COUNTED", block)
+    rows = near_copies(33, 90)
+    rows += [(500 + i, t.upper()) for i, t in rows[:30]] + [(600 + n, " ".join(f"w{j}" for j in range(n + 4))) for n in (64, 80, 81, 90, 100, 101, 125)]
+    rows += [(900, "alone in the world of texts"), (901, "a pair of texts " * 9 + "one"), (902, "a pair of texts " * 9 + "one"), (903, ""), rows[7]]
+    sets = {i: frozenset(shingle_set(t)) for i, t in rows}
+    classes = {s for s in sets.values() if s}
+    link = lambda a, b: a != b and 100 * (n := len(a & b)) >= 80 * (len(a) + len(b) - n)
+    want = {i: sum(link(s, c) for c in classes) if s else 0 for i, s in sets.items()}
+    got = {r["doc_id"]: r["n_links"] for r in jaccard_join.jaccard_components(documents(spark, rows)).collect()}
+    assert got == want and max(want.values()) > 5
+    assert "n_links" not in jaccard_join.jaccard_components(documents(spark, rows[:3]), links=False).columns
