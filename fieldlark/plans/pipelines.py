@@ -60,8 +60,14 @@ def mosaics(pixels: DataFrame, profiles: dict[str, Profile], wanted: list[str],
     return {name: made(name) for name in wanted}
 
 
-#: How image tables are partitioned: readers of some profiles, periods and tiles open those folders alone.
-IMAGE_KEYS = ("image_profile", "start_date", "tile")
+#: How image tables are partitioned: readers of some profiles, periods and tiles open those folders alone. A block holds the
+#: tiles of one remainder, so that a slice has as many folders, whatever the number of its tiles; files are sorted by tile.
+IMAGE_KEYS = ("image_profile", "start_date", "tile_block")
+TILE_BLOCKS = 32
+
+
+def tile_block() -> Column:
+    return F.pmod(F.col("tile").cast("long"), F.lit(TILE_BLOCKS)).cast("int")
 
 
 def stored_slices(spark: SparkSession, path: str) -> DataFrame | None:
@@ -74,7 +80,7 @@ def stored_slices(spark: SparkSession, path: str) -> DataFrame | None:
 
 def images_at(spark: SparkSession, path: str, profile: str, bands: tuple[str, ...]) -> DataFrame:
     """The stored images of a profile: pixels with their bands, partitioned by IMAGE_KEYS; a band that older slices lack is null."""
-    schema = "image_profile string, start_date date, tile long, row long, col long, " + ", ".join(f"{b} double" for b in bands)
+    schema = "image_profile string, start_date date, tile_block int, tile long, row long, col long, " + ", ".join(f"{b} double" for b in bands)
     return spark.read.schema(schema).parquet(f"{path}/images").where(F.col("image_profile") == profile)
 
 
@@ -86,15 +92,14 @@ def kept_mosaics(pixels: DataFrame, profiles: dict[str, Profile], wanted: list[s
     """
     spark, day = pixels.sparkSession, columns.get("day", "day")
     monday = F.date_trunc("week", F.col(day)).cast("date")
-    weeks = pixels.select(monday.alias("start_date")).where((F.col("start_date") >= F.to_date(F.lit(start))) & (F.date_add("start_date", 7) <= F.to_date(F.lit(end)))).distinct()
+    found = pixels.select(monday.alias("start_date")).where((F.col("start_date") >= F.to_date(F.lit(start))) & (F.date_add("start_date", 7) <= F.to_date(F.lit(end)))).distinct()
+    weeks = sorted(r["start_date"] for r in found.collect())  # a row for each week
     order = [p for p in dict.fromkeys(x for w in wanted for x in (*_bases(profiles, w), w))]
     written = None
     for name in order:
-        known = stored_slices(spark, path)
-        todo = weeks.select(F.lit(name).alias("image_profile"), "start_date")
-        if known is not None and not force:
-            todo = todo.join(known, ["image_profile", "start_date"], "left_anti")
-        days = sorted(r["start_date"] for r in todo.collect())  # a row for each week
+        known = None if force or not weeks else stored_slices(spark, path)
+        there = set() if known is None else {r["start_date"] for r in known.where((F.col("image_profile") == name) & F.col("start_date").isin(weeks)).select("start_date").distinct().collect()}
+        days = [d for d in weeks if d not in there]
         if days:
             p = profiles[name]
             if p.base is not None:
@@ -103,8 +108,9 @@ def kept_mosaics(pixels: DataFrame, profiles: dict[str, Profile], wanted: list[s
             else:
                 made = mosaics(pixels.where(monday.isin(days)), profiles, [name], start, end, **columns)[name]
             bands = _bands_of(profiles, name)
-            rows = made.select("image_profile", "start_date", F.col("tile").cast("long").alias("tile"), F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), *(F.col(b).cast("double").alias(b) for b in bands))
-            writer = rows.repartition(*IMAGE_KEYS).write.partitionBy(*IMAGE_KEYS).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            rows = made.select("image_profile", "start_date", tile_block().alias("tile_block"), F.col("tile").cast("long").alias("tile"), F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), *(F.col(b).cast("double").alias(b) for b in bands))
+            dealt = rows.hint("rebalance", *IMAGE_KEYS).sortWithinPartitions(*IMAGE_KEYS, "tile")
+            writer = dealt.write.partitionBy(*IMAGE_KEYS).mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.parquet(f"{path}/images")
             spark.createDataFrame([(name, d) for d in days], "image_profile string, start_date date").coalesce(1).write.mode("append").parquet(f"{path}/slices")
             one = spark.createDataFrame([(name, d) for d in days], "image_profile string, start_date date")
@@ -129,14 +135,18 @@ def pixels_of_parcels(images: DataFrame, cells: DataFrame, tile_of: Callable[[],
     """(uid and the columns of stored images) of the parcels' pixels; only files of tiles that hold one are read.
 
     `tile_of` gives a cell's tile from `row` and `col`. The tiles are a small table on the other side of a join by a column
-    that the images are partitioned by, so that the scan is pruned by it when it starts.
+    that the images are partitioned by, so that the scan is pruned by it when it starts. They are stored, so that cells are
+    made once for them and once for the join.
     """
-    placed = cells.withColumn("tile", tile_of())
-    tiles = placed.select("tile").distinct()
+    spark, placed = images.sparkSession, cells.withColumn("tile", tile_of())
+    path = f"{shared_folder(spark)}/tiles"
+    placed.select(F.col("tile").cast("long").alias("tile"), tile_block().alias("tile_block")).where("tile is not null").distinct().write.parquet(path)
+    tiles = spark.read.schema("tile long, tile_block int").parquet(path)
     n, low, high = tiles.agg(F.count("tile"), F.min("tile"), F.max("tile")).first()
-    between = F.col("tile").between(low, high)  # files beyond are left out when the query is planned, those between when it starts
+    between = F.col("tile").between(low, high)  # row groups beyond are left out by their statistics, blocks when the scan starts
     wanted = tiles.where(between)
-    return images.where(between).join(F.broadcast(wanted) if n <= MOST_TILES else wanted, "tile", "left_semi").join(placed, ["tile", "row", "col"])
+    near = images.where(between).join(F.broadcast(wanted) if n <= MOST_TILES else wanted, ["tile_block", "tile"], "left_semi").drop("tile_block")
+    return near.join(placed, ["tile", "row", "col"])
 
 
 #: Tiles whose numbers are broadcast at most, 8 bytes each.

@@ -288,6 +288,22 @@ def test_mosaics_are_made_once(spark, tmp_path):
         pipelines.kept_mosaics(pixels, profiles, ["other"], "2024-01-01", "2024-01-29", path)
 
 
+def test_folders_of_mosaics_do_not_grow_with_tiles(spark, tmp_path):
+    """A slice has as many folders at most as there are blocks, whatever the number of its tiles."""
+    when = dt.datetime(2024, 1, 2, 10)
+    tiles = range(-100, 100)
+    pixels = spark.createDataFrame([(i, 4 * i, 0, when.date(), when, "a", 4, float(i), 1.0) for i in tiles], "tile long, row long, col long, day date, ts timestamp, image string, scl int, b08 double, b04 double")
+    profiles, path = {"base": pipelines.Profile(("b08", "b04"), "max")}, str(tmp_path / "mosaics")
+    assert pipelines.kept_mosaics(pixels, profiles, ["base"], "2024-01-01", "2024-01-08", path).count() == 1
+    folders = {p.parent for p in (tmp_path / "mosaics" / "images").rglob("*.parquet")}
+    assert len(folders) == pipelines.TILE_BLOCKS
+    kept = pipelines.images_at(spark, path, "base", ("b08", "b04"))
+    assert sorted((r["tile"], r["row"], r["b08"]) for r in kept.collect()) == [(i, 4 * i, float(i)) for i in tiles]
+    cells = spark.createDataFrame([("p", -396, 0), ("p", -396, 0), ("q", 128, 0), ("q", 132, 1)], "uid string, row long, col long")
+    found = pipelines.pixels_of_parcels(kept, cells, lambda: F.floor(F.col("row") / 4))
+    assert sorted((r["uid"], r["tile"], r["b08"]) for r in found.collect()) == [("p", -99, -99.0), ("p", -99, -99.0), ("q", 32, 32.0)]
+
+
 def test_streamed_statistics_equal_the_batch(spark, tmp_path):
     """All eleven statistics, with late rows and a restart between files; weeks are emitted once, when the watermark passes."""
     import random
