@@ -169,7 +169,6 @@ def time_series(images: dict[str, DataFrame], parcels: DataFrame, wanted: list[s
     """
     if roi is not None:
         ZO.check_inside(ZO.bounds(parcels), roi)
-    good, _ = ZO.valid_polygons(parcels)
     out = None
     for name in wanted:
         if name not in images:
@@ -182,7 +181,7 @@ def time_series(images: dict[str, DataFrame], parcels: DataFrame, wanted: list[s
         raise ValueError(f"none of {wanted} is known")
     if expected is not None:
         RA.missing_slices(expected, out, ["image_profile", "start_date"], policy)
-    return ZO.zonal_stats(out, good, ["image_profile", "start_date", "band"], **zonal)
+    return ZO.valid_stats(out, parcels, ["image_profile", "start_date", "band"], **zonal)
 
 
 def prepared_parcels(parcels: DataFrame, lut: DataFrame, class_type: str, least: int, class_col: str, counts: DataFrame, fields: LA.Fields = LA.Fields(), key: str = "cropcode", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -125,3 +125,48 @@ def test_edges_and_pixels_are_never_broadcast(spark, name):
     # only the one polygon of an image is sent to all tasks
     assert plan.count("BroadcastHashJoin") == (3 if name == "footprint_parcels" else 0)
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def slices(spark, rows, cols, n=3):
+    """Pixels of n slices with gaps, repeated values, nulls, a NaN and a pixel that is there twice."""
+    r = random.Random(5)
+    cells = [(f"s{k}", k % 2 or None, i, j, None if r.random() < 0.1 else float("nan") if r.random() < 0.01 else float(r.randrange(5)) - 2) for k in range(n) for i in rows for j in cols if r.random() < 0.9]
+    return spark.createDataFrame(cells + cells[:1], "profile string, part int, row long, col long, value double")
+
+
+@pytest.mark.parametrize("home, boxes, values", [(128, 1 << 20, 1 << 21), (8, 40, 50)])
+def test_pixels_come_to_parcels(spark, monkeypatch, home, boxes, values):
+    """Parcels with holes, faults, many points, a wide box, without pixels, below 0: as if all were dealt out as pixels; also in groups of few."""
+    for name, x in (("HOME", home), ("SENT", max(4, home // 4)), ("MOST_BOXES", boxes), ("MOST_VALUES", values)):
+        monkeypatch.setattr(zonal, name, x)
+    r = random.Random(3)
+    shapes = {f"p{i}": [[(x + 5 * math.cos(a) * r.uniform(0.3, 1), y + 5 * math.sin(a) * r.uniform(0.3, 1)) for a in (0, 1, 2, 3, 4, 5)]] for i in range(60) for x, y in [(r.uniform(-30, 30), r.uniform(-30, 30))]}
+    circle = [(3 + 9 * math.cos(2 * math.pi * i / 90), 3 + 9 * math.sin(2 * math.pi * i / 90)) for i in range(90)]
+    shapes |= {"hole": [[(0, 0), (9, 0), (9, 9), (0, 9), (0, 9)], [(3, 3), (5, 3), (5, 5), (3, 5)]], "bow": [[(0, 0), (2, 2), (0, 2), (2, 0)]], "line": [[(0, 0), (5, 0), (9, 0)]], "spike": [[(0, 0), (4, 0), (4, 4), (8, 4), (4, 4), (0, 4)]], "many": [circle], "wide": [[(-300, 0.2), (300, 0.2), (300, 1.9)]], "far": [[(900, 900), (905, 900), (905, 905)]], "thin": [[(1, 1.6), (8, 1.6), (8, 1.9)]], "empty": [], "two points": [[(0, 0), (3, 3)]], "corners": [[(2.5, 2.5), (6.5, 2.5), (6.5, 6.5), (2.5, 6.5)]]}
+    rows = polygons(spark, shapes).unionByName(spark.createDataFrame([("null", None)], "uid string, geom array<array<struct<x: double, y: double>>>"))
+    pixels, keys = slices(spark, range(-35, 36), range(-35, 36)), ["profile", "part"]
+    digits = lambda df: sorted(tuple(round(x, 9) + 0.0 if isinstance(x, float) else x for x in row) for row in map(tuple, df.na.fill(-1, ["part"]).na.fill(-99.0).collect()))
+    plain = zonal.zonal_stats(pixels, zonal.valid_polygons(rows)[0], keys)
+    got = zonal.valid_stats(pixels, rows, keys)
+    assert got.columns == plain.columns and [f.dataType for f in got.schema] == [f.dataType for f in plain.schema]
+    assert str(digits(got)) == str(digits(plain)) and {"hole", "many", "wide", "p1"} <= {x.uid for x in got.collect()}
+    assert {x.uid for x in zonal._faultless(rows.where(zonal.few()), "geom").collect()} == {x.uid for x in zonal.valid_polygons(rows.where(zonal.few()))[0].collect()}
+    twice = rows.unionByName(rows.where("uid = 'hole'"))
+    assert str(digits(zonal.valid_stats(pixels, twice, keys))) == str(digits(zonal.zonal_stats(pixels, zonal.valid_polygons(twice)[0], keys)))
+    assert zonal.valid_stats(pixels, rows.limit(0), keys).count() == 0 and zonal.valid_stats(pixels.limit(0), rows, keys).count() == 0
+
+
+def test_shuffles_do_not_grow_with_pixels_in_parcels(spark):
+    """3000 parcels on the same 50 pixels of 12 slices: more than a million pairs, of which none is shuffled."""
+    from fieldlark.plans import pipelines
+
+    rows = polygons(spark, {f"p{i}": [[(1, 1), (11, 1), (11, 6), (1, 6)]] for i in range(3000)})
+    images = {"a": slices(spark, range(8), range(13), 12).where("value = value").select(F.lit("a").alias("image_profile"), F.date_add(F.lit("2024-01-01").cast("date"), F.substring("profile", 2, 2).cast("int")).alias("start_date"), F.lit(0).alias("tile"), "row", "col", F.col("value").alias("b"))}
+    sc = spark.sparkContext
+    sc.setJobGroup("shuffled", "")
+    got = pipelines.time_series(images, rows, ["a"]).collect()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    store, tracker = sc._jsc.sc().statusStore(), sc.statusTracker()
+    stages = {i for job in tracker.getJobIdsForGroup("shuffled") for i in tracker.getJobInfo(job).stageIds}
+    assert len(got) == 3000 * 12 and all(30 <= x["count"] <= 51 for x in got)
+    assert 3000 <= sum(store.lastStageAttempt(i).shuffleWriteRecords() for i in stages) < 40_000
