@@ -352,3 +352,19 @@ def test_kernel_features_keep_plans_small(spark):
     (a, fa), (b, fb) = got.items()
     kernel = 2.718281828459045 ** (-0.5 * sum((p - q) ** 2 for p, q in zip(a, b)))
     assert len(fa) == 200 and abs(fa @ fa - 1) < 0.2 and abs(fa @ fb - kernel) < 0.2
+
+
+def test_boosting_takes_all_its_trees(spark):
+    """No option of the query shortens the boosting; its default is that of the reference's library."""
+    from fieldlark.plans import queries_more
+
+    seen = {}
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(queries_more.MO, "train", lambda rows, names, column, kind, **options: seen.update({kind: options}))
+        m.setattr(queries_more.MO, "probabilities", lambda model, rows, keep: (rows, []))
+        queries_more.model_gradient_boosting(spark, "/root/testdata/sf0.001")
+    boosted = models.CLASSIFIERS["gradientboosting"](2, 2, **seen["gradientboosting"]).getClassifier()
+    assert (boosted.getMaxIter(), boosted.getMaxDepth()) == (100, 5)
+    learn, names = sampling.split_folds(clusters(spark, 60), 0)[0], ["x1", "x2", "x3"]
+    fitted = next(s for s in models.train(learn, names, "classname", "gradientboosting", maxIter=3, maxDepth=2).stages if hasattr(s, "models"))
+    assert [m.getNumTrees for m in fitted.models] == [3, 3, 3]
