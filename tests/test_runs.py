@@ -368,3 +368,31 @@ def test_boosting_takes_all_its_trees(spark):
     learn, names = sampling.split_folds(clusters(spark, 60), 0)[0], ["x1", "x2", "x3"]
     fitted = next(s for s in models.train(learn, names, "classname", "gradientboosting", maxIter=3, maxDepth=2).stages if hasattr(s, "models"))
     assert [m.getNumTrees for m in fitted.models] == [3, 3, 3]
+
+
+def test_kernel_machine_goes_on_to_its_tolerance(spark):
+    """No option of the query stops the fit early: it is as good as one of many more steps, and better than one of five."""
+    import numpy as np
+
+    from fieldlark.plans import queries_more
+
+    seen = {}
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(queries_more.MO, "train", lambda rows, names, column, kind, **options: seen.update(options))
+        m.setattr(queries_more.MO, "probabilities", lambda model, rows, keep: (rows, []))
+        queries_more.model_svm(spark, "/root/testdata/sf0.001")
+    rows = spark.range(120).select(F.when(F.rand(1) < 0.5 + 0.4 * F.signum(F.rand(2) - 0.5), "a").otherwise("b").alias("classname"), F.randn(3).alias("x"), F.randn(4).alias("y")).persist()
+    n = rows.count()
+
+    def objective(**options) -> float:
+        """Mean hinge loss and penalty of the machine of the first class, by plain sums."""
+        model = models.train(rows, ["x", "y"], "classname", "svm", gamma=1.0, components=40, **options)
+        machine, ready = next(s for s in model.stages if hasattr(s, "models")).models[0], rows
+        for stage in model.stages[:4]:
+            ready = stage.transform(ready)
+        w, b = machine.coefficients.toArray(), machine.intercept
+        got = [(1.0 if r["_label"] == 0 else -1.0, r["_features"].toArray()) for r in ready.collect()]
+        return sum(max(0.0, 1 - y * (float(np.dot(w, x)) + b)) for y, x in got) / n + float(np.dot(w, w)) / (2 * n)
+
+    whole, long, short = objective(**seen), objective(maxIter=2000), objective(maxIter=5)
+    assert abs(whole - long) < 1e-6 and whole < short - 1e-3
